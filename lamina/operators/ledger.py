@@ -51,21 +51,22 @@ def manifest(
     ingested_at: Column | None = None,
     keys: Sequence[str] = MONTH,
 ) -> DataFrame:
-    """One record per written partition: rows, announced rows, load time, filter, files.
+    """One record per loaded partition: rows, announced rows, load time, filter, files.
 
     ``written`` is a table read from files, with the partition columns ``keys``; its
-    data columns are not read.  ``announced`` has the keys and ``annonces``.
+    data columns are not read.  ``announced`` has the keys and ``annonces`` of the
+    partitions of this load.
     """
     stored = written.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("rows_written"),
         F.sort_array(F.collect_set(F.col("_metadata.file_name"))).alias("files"),
     )
-    joined = stored.join(announced, list(keys), "left")
+    joined = stored.join(announced, list(keys))
     return joined.select(
         *keys,
         partition_name(*keys).alias("partition"),
         "rows_written",
-        F.coalesce("annonces", F.lit(0)).cast("bigint").alias("rows_announced_by_source"),
+        F.col("annonces").cast("bigint").alias("rows_announced_by_source"),
         (F.current_timestamp() if ingested_at is None else ingested_at).alias("ingested_at_utc"),
         source_filter.alias("source_filter"),
         "files",

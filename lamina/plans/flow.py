@@ -46,13 +46,15 @@ def load_bronze(spark: SparkSession, lake: Lake, landing: str, announced: DataFr
     """Lands CSV files as the months they belong to and records what was written.
 
     ``announced`` holds the rows that the source announces per ``annee``, ``mois`` as
-    ``annonces``.  Returns the load report.
+    ``annonces``, for the months of this load; the ledger keeps the records of the
+    others.  Returns the load report.
     """
     rows = with_month_keys(read_landing(spark, landing), fixed.PARTITION_DATE)
     write_partitions(rows, lake.bronze, MONTH_KEYS, "dynamic")
     record = manifest(read_bronze(spark, lake), announced, source_filter)
-    record.write.mode("overwrite").parquet(lake.ledger)
-    return load_report(spark.read.parquet(lake.ledger))
+    write_partitions(record, lake.ledger, MONTH_KEYS, "dynamic")
+    loaded = read_table(spark, lake.ledger).join(announced.select(*MONTH_KEYS), list(MONTH_KEYS), "left_semi")
+    return load_report(loaded)
 
 
 def read_bronze(spark: SparkSession, lake: Lake) -> DataFrame:
