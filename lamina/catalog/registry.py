@@ -6,7 +6,7 @@ import importlib
 
 from lamina.catalog.base import ORACLES, QUERIES, Query
 
-MODULES = ["cleaning"]
+MODULES = ["cleaning", "ruling", "summaries"]
 
 
 def load() -> tuple[dict[str, Query], dict[str, str]]:
