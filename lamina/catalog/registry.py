@@ -6,7 +6,7 @@ import importlib
 
 from lamina.catalog.base import ORACLES, QUERIES, Query
 
-MODULES = ["cleaning", "ruling", "summaries"]
+MODULES = ["cleaning", "ruling", "summaries", "certificates", "contracts", "ledgers", "storage"]
 
 
 def load() -> tuple[dict[str, Query], dict[str, str]]:
