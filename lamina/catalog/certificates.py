@@ -34,11 +34,11 @@ def bronze(spark: SparkSession, sf: str) -> DataFrame:
         """case when (l_orderkey * 7 + l_linenumber) % 12 = 0 then concat(l_orderkey - 1, '-', l_linenumber)
                 when l_orderkey % 500 = 0 then concat(l_orderkey, '-', l_linenumber) else '' end
                 as numero_dpe_remplace""",
-        "if(l_partkey % 89 = 0, 'non renseigné', date_format(o_orderdate, 'yyyy-MM-dd')) as date_etablissement_dpe",
-        "date_format(o_orderdate + make_dt_interval(l_suppkey % 30), 'yyyy-MM-dd') as date_reception_dpe",
-        """if(l_partkey % 83 = 0, '', concat(' ', date_format(l_shipdate, 'yyyy-MM-dd'), ' '))
+        "if(l_partkey % 89 = 0, 'non renseigné', cast(cast(o_orderdate as date) as string)) as date_etablissement_dpe",
+        "cast(date_add(cast(o_orderdate as date), cast(l_suppkey % 30 as int)) as string) as date_reception_dpe",
+        """if(l_partkey % 83 = 0, '', concat(' ', cast(cast(l_shipdate as date) as string), ' '))
                 as date_derniere_modification_dpe""",
-        "date_format(add_months(o_orderdate, 120), 'yyyy-MM-dd') as date_fin_validite_dpe",
+        "cast(add_months(o_orderdate, 120) as string) as date_fin_validite_dpe",
         """case when l_partkey % 101 = 0 then 'Z' when l_partkey % 103 = 0 then null
                 else substr('ABCDEFG', cast(l_quantity as int) % 7 + 1, 1) end as etiquette_dpe""",
         "if(l_partkey % 59 = 0, null, substr('ABCDEFG', l_linenumber % 7 + 1, 1)) as etiquette_ges",
@@ -88,11 +88,10 @@ def prepared(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def staged(spark: SparkSession, sf: str) -> DataFrame:
-    """Warehouse slice, written and read back as a load does; columns no line item has are null."""
+    """Warehouse slice under its warehouse names; columns no line item has are null."""
     wide = silver.current_rows(prepared(spark, sf))
     missing = [c for c in fixed.WAREHOUSE_COLUMNS if c not in wide.columns]
-    wide = wide.withColumns({c: F.lit(None).cast("string") for c in missing})
-    return materialise(gold.staging(wide), "staging")
+    return gold.staging(wide.withColumns({c: F.lit(None).cast("string") for c in missing}))
 
 
 PREPARED = f"""
@@ -276,10 +275,19 @@ PER_M2 = """
 """
 
 
+# What the dimension, the marts and the fact contracts read of the slice.
+STAR_COLUMNS = [
+    "cle_dpe", "code_commune", "nom_commune", "code_departement", "code_region", "coord_x_lambert93",
+    "coord_y_lambert93", "geocodage_precis", "annee_etablissement", "type_batiment", "tranche_age_batiment",
+    "etiquette_dpe", "etiquette_ges", "est_passoire_thermique", "est_performant", "surface_m2",
+    "conso_ep_kwh_m2_an", "emission_ges_kg_m2_an", "cout_annuel_total_eur",
+]
+
+
 def stars(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    """Fact and dimension, each read back from files as marts find them."""
-    rows = staged(spark, sf)
-    return gold.fact(rows), materialise(gold.dim_commune(rows), "dim")
+    """Facts and dimension, each read back from files as the marts find them."""
+    facts = materialise(staged(spark, sf).select(*STAR_COLUMNS), "facts")
+    return facts, materialise(gold.dim_commune(facts), "dim")
 
 
 @query(

@@ -58,8 +58,8 @@ def exact_quantiles(
     """One row per group with a column per named probability (null without values)."""
     sizes = group_sizes(df, keys, [value])
     if sizes.distinct <= max_state:
-        exact = {n: F.percentile(F.col(value), F.lit(p)).alias(n) for n, p in probs.items()}
-        return df.groupBy(*keys).agg(*exact.values())
+        found = df.groupBy(*keys).agg(F.percentile(F.col(value), list(probs.values())).alias("_q"))
+        return found.select(*keys, *[F.get("_q", F.lit(i)).alias(n) for i, n in enumerate(probs)])
     return fenced_quantiles(df, keys, value, probs, sizes.groups <= BROADCAST_GROUPS, small_group)
 
 
