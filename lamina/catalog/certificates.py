@@ -78,18 +78,30 @@ def bronze(spark: SparkSession, sf: str) -> DataFrame:
 AREA = "case c_nationkey when 3 then '2A' when 4 then '97' else lpad(cast(c_nationkey + 1 as string), 2, '0') end"
 
 
-def prepared(spark: SparkSession, sf: str) -> DataFrame:
+# What the rules, the dimensions and the marts read of a bronze row.
+MART_SOURCES = [
+    "numero_dpe", "numero_dpe_remplace", "date_etablissement_dpe", "date_reception_dpe",
+    "date_derniere_modification_dpe", "date_fin_validite_dpe", "identifiant_ban", "etiquette_dpe", "etiquette_ges",
+    "code_insee_ban", "nom_commune_ban", "code_departement_ban", "code_region_ban",
+    "coordonnee_cartographique_x_ban", "coordonnee_cartographique_y_ban", "statut_geocodage", "score_ban",
+    "type_batiment", "annee_construction", "surface_habitable_logement", "conso_5_usages_par_m2_ep",
+    "emission_ges_5_usages_par_m2", "cout_total_5_usages", "cout_chauffage",
+]
+
+
+def prepared(spark: SparkSession, sf: str, columns: list[str] | None = None) -> DataFrame:
     order = [
         F.desc_nulls_last("date_derniere_modification_dpe"),
         F.desc_nulls_last("date_reception_dpe"),
         F.asc("identifiant_ban"),
     ]
-    return silver.prepare(bronze(spark, sf), F.lit(AS_OF).cast("date"), order=order)
+    rows = bronze(spark, sf) if columns is None else bronze(spark, sf).select(*columns)
+    return silver.prepare(rows, F.lit(AS_OF).cast("date"), order=order)
 
 
-def staged(spark: SparkSession, sf: str) -> DataFrame:
+def staged(spark: SparkSession, sf: str, columns: list[str] | None = None) -> DataFrame:
     """Warehouse slice under its warehouse names; columns no line item has are null."""
-    wide = silver.current_rows(prepared(spark, sf))
+    wide = silver.current_rows(prepared(spark, sf, columns))
     missing = [c for c in fixed.WAREHOUSE_COLUMNS if c not in wide.columns]
     return gold.staging(wide.withColumns({c: F.lit(None).cast("string") for c in missing}))
 
@@ -165,7 +177,7 @@ PREPARED = f"""
     """,
 )
 def certificates_prepared(spark, sf):
-    return prepared(spark, sf).select(
+    return prepared(spark, sf, MART_SOURCES).select(
         "numero_dpe", "date_etablissement_dpe", "date_derniere_modification_dpe", "etiquette_dpe",
         "surface_habitable_logement", "conso_5_usages_par_m2_ep", "annee_construction", "est_remplace",
         "motif_rejet", "est_valide", "geocodage_fiable", "geocodage_precis", "est_passoire_thermique",
@@ -183,7 +195,7 @@ def certificates_prepared(spark, sf):
     """,
 )
 def certificates_rejected(spark, sf):
-    return silver.rejected_rows(prepared(spark, sf))
+    return silver.rejected_rows(prepared(spark, sf, MART_SOURCES))
 
 
 @query(
@@ -199,7 +211,7 @@ def certificates_rejected(spark, sf):
     """,
 )
 def certificates_metrics(spark, sf):
-    return silver.metrics(bronze(spark, sf), materialise(prepared(spark, sf), "prepared"))
+    return silver.metrics(bronze(spark, sf), prepared(spark, sf, MART_SOURCES))
 
 
 @query(
@@ -249,7 +261,7 @@ def rounded_points(df: DataFrame, x: str = gold.X, y: str = gold.Y) -> DataFrame
     """,
 )
 def certificates_dim(spark, sf):
-    return rounded_points(gold.dim_commune(staged(spark, sf)))
+    return rounded_points(gold.dim_commune(staged(spark, sf, MART_SOURCES)))
 
 
 COUNTS = """
@@ -286,7 +298,7 @@ STAR_COLUMNS = [
 
 def stars(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     """Facts and dimension, each read back from files as the marts find them."""
-    facts = materialise(staged(spark, sf).select(*STAR_COLUMNS), "facts")
+    facts = materialise(staged(spark, sf, MART_SOURCES).select(*STAR_COLUMNS), "facts")
     return facts, materialise(gold.dim_commune(facts), "dim")
 
 
@@ -355,7 +367,7 @@ PROFILE = PREPARED + f"""
 
 
 def profile(spark: SparkSession, sf: str) -> DataFrame:
-    return gold.mart_profil(gold.fact(staged(spark, sf)))
+    return gold.mart_profil(gold.fact(staged(spark, sf, MART_SOURCES)))
 
 
 @query("certificates_mart_profil", PROFILE + "select * from profile")
@@ -444,7 +456,7 @@ def certificates_new_houses(spark, sf):
     """,
 )
 def certificates_heating_cost(spark, sf):
-    facts = gold.fact(staged(spark, sf))
+    facts = gold.fact(staged(spark, sf, MART_SOURCES))
     return plain(analysis.cost_per_size(facts, "etiquette_dpe", "cout_annuel_chauffage_eur", "surface_m2"))
 
 
@@ -470,7 +482,7 @@ def certificates_extremes(spark, sf):
     """,
 )
 def certificates_anomalies(spark, sf):
-    facts = gold.fact(staged(spark, sf))
+    facts = gold.fact(staged(spark, sf, MART_SOURCES))
     return analysis.label_anomalies(facts, "etiquette_dpe", "conso_ep_kwh_m2_an", "surface_m2")
 
 

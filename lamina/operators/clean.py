@@ -81,16 +81,31 @@ def referenced_keys(df: DataFrame, replaces: str, name: str = "_replaced") -> Da
     return refs.filter(F.col(name).isNotNull() & (F.col(name) != "")).distinct()
 
 
+def superseded_keys(df: DataFrame, key: str, replaces: str, name: str = "_replaced") -> DataFrame:
+    """Referenced keys that some row really has: a join of two single columns."""
+    known = df.select(F.trim(F.col(key)).alias(name)).distinct()
+    return referenced_keys(df, replaces, name).join(known, name, "left_semi")
+
+
+def mark_listed(df: DataFrame, key: str, listed: DataFrame, flag: str = "est_remplace") -> DataFrame:
+    """Flag rows whose trimmed key is in the only column of ``listed``, which is distinct.
+
+    No side is hinted: the list is broadcast if Spark finds it small enough, else the
+    join is sort-merge and AQE splits an oversized left partition.
+    """
+    marks = listed.toDF("_listed")
+    joined = df.join(marks, F.trim(F.col(key)) == F.col("_listed"), "left")
+    return joined.withColumn(flag, F.col("_listed").isNotNull()).drop("_listed")
+
+
 def mark_superseded(df: DataFrame, key: str, replaces: str, flag: str = "est_remplace") -> DataFrame:
     """Flag rows whose trimmed key is referenced by the ``replaces`` column of any row.
 
-    The reference set is distinct, so the join never multiplies rows.  No side is
-    hinted: it is broadcast only if Spark finds it small, else sort-merge joined, and
-    AQE splits an oversized left partition.
+    ``df`` is planned twice, so it should be a scan or cheap; for wide rows that took a
+    shuffle to make, store them first and pass stored ``superseded_keys`` to
+    ``mark_listed``.
     """
-    refs = referenced_keys(df, replaces)
-    joined = df.join(refs, F.trim(F.col(key)) == F.col("_replaced"), "left")
-    return joined.withColumn(flag, F.col("_replaced").isNotNull()).drop("_replaced")
+    return mark_listed(df, key, referenced_keys(df, replaces), flag)
 
 
 def orphan_references(df: DataFrame, key: str, replaces: str) -> DataFrame:

@@ -9,7 +9,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lamina.functions import fixed
-from lamina.operators.clean import cast_columns, dedup_latest, mark_superseded, normalise_names, row_fingerprint
+from lamina.operators.clean import (
+    cast_columns,
+    dedup_latest,
+    mark_listed,
+    normalise_names,
+    row_fingerprint,
+    superseded_keys,
+)
 from lamina.operators.enrich import enrich
 from lamina.operators.quality import (
     Rule,
@@ -43,6 +50,12 @@ def latest_order(df: DataFrame) -> list[Column]:
     ]
 
 
+def latest(bronze: DataFrame, order: Sequence[Column] | None = None, keep_null_keys: bool = False) -> DataFrame:
+    """Typed rows, the latest version of every key."""
+    rows = typed(bronze)
+    return dedup_latest(rows, [fixed.PRIMARY_KEY], order or latest_order(rows), keep_null_keys)
+
+
 def prepare(
     bronze: DataFrame,
     as_of: Column | None = None,
@@ -54,10 +67,16 @@ def prepare(
 
     Dedup comes before supersession, so that an outdated version of a row supersedes
     nothing, and both come before the quality rules.
+
+    The deduplicated rows are written to the shared folder: bronze is read and shuffled
+    once, however many outputs follow.  Which keys are superseded is then a join of two
+    columns of that table; its result is stored too, so that Spark knows its size, and
+    is as a rule small enough to mark the wide rows without shuffling them again.  The
+    rules and dimensions on top are plain expressions, cheaper to repeat than to store.
     """
-    rows = typed(bronze)
-    once = dedup_latest(rows, [fixed.PRIMARY_KEY], order or latest_order(rows), keep_null_keys)
-    marked = mark_superseded(once, fixed.PRIMARY_KEY, "numero_dpe_remplace")
+    once = materialise(latest(bronze, order, keep_null_keys), "latest")
+    replaced = materialise(superseded_keys(once, fixed.PRIMARY_KEY, "numero_dpe_remplace"), "superseded")
+    marked = mark_listed(once, fixed.PRIMARY_KEY, replaced)
     ruled = apply_quality(marked, standard_rules() if rules is None else rules)
     return enrich(status_flags(ruled, "statut_geocodage", "score_ban"), as_of)
 
@@ -96,10 +115,9 @@ def build_silver(
 ) -> None:
     """Writes the current rows, the rejects and the metrics of one run.
 
-    The prepared rows are worked out once and written to the shared folder; the three
-    outputs read them back, each with only the columns it needs.
+    Each output reads only the columns it needs of the stored, deduplicated rows.
     """
-    prepared = materialise(prepare(bronze, as_of), "prepared")
+    prepared = prepare(bronze, as_of)
     write_partitions(current_rows(prepared), paths.current, CURRENT_KEYS, overwrite)
     write_partitions(rejected_rows(prepared), paths.rejects, REJECT_KEYS, overwrite)
     write_metrics(metrics(bronze, prepared), paths.metrics)
