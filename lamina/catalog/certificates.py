@@ -26,9 +26,9 @@ AS_OF = "2008-06-15"
 
 def bronze(spark: SparkSession, sf: str) -> DataFrame:
     lines, orders, customers = (table(spark, sf, n) for n in ("lineitem", "orders", "customer"))
-    rows = lines.join(orders, lines.l_orderkey == orders.o_orderkey).join(
-        customers, orders.o_custkey == customers.c_custkey
-    )
+    # Both sides grow with the data, so neither may be broadcast however small it is in a test.
+    placed = lines.join(orders.hint("merge"), lines.l_orderkey == orders.o_orderkey)
+    rows = placed.join(customers, orders.o_custkey == customers.c_custkey)
     return rows.selectExpr(
         "concat(if(l_orderkey % 211 = 0, ' ', ''), l_orderkey, '-', l_linenumber) as numero_dpe",
         """case when (l_orderkey * 7 + l_linenumber) % 12 = 0 then concat(l_orderkey - 1, '-', l_linenumber)
