@@ -15,6 +15,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lamina.operators.clean import without_match
+
 WARN, ERROR, PASS = "warn", "error", "pass"
 
 
@@ -43,7 +45,7 @@ def check_relationship(child: DataFrame, parent: DataFrame, key: str, parent_key
     """Child keys without a parent, with their row counts; null keys pass."""
     counted = child.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n_rows"))
     known = parent.select(F.col(parent_key or key).alias(key)).distinct()
-    return counted.join(known, key, "left_anti")
+    return without_match(counted, known, key)
 
 
 def check_not_null(df: DataFrame, column: str) -> DataFrame:

@@ -82,9 +82,23 @@ def referenced_keys(df: DataFrame, replaces: str, name: str = "_replaced") -> Da
 
 
 def superseded_keys(df: DataFrame, key: str, replaces: str, name: str = "_replaced") -> DataFrame:
-    """Referenced keys that some row really has: a join of two single columns."""
+    """Referenced keys that some row really has: a join of two single columns.
+
+    An inner join of distinct sides, because Spark would move a semi join below the
+    ``distinct`` and let every reference of a hot key through the join.
+    """
     known = df.select(F.trim(F.col(key)).alias(name)).distinct()
-    return referenced_keys(df, replaces, name).join(known, name, "left_semi")
+    return referenced_keys(df, replaces, name).join(known, name)
+
+
+def without_match(counted: DataFrame, known: DataFrame, key: str) -> DataFrame:
+    """Rows of an aggregate whose ``key`` is not in the distinct ``known``.
+
+    An outer join and a null filter, because Spark would move an anti join below the
+    aggregate that is there to shrink a hot key to one row.
+    """
+    marked = known.withColumn("_known", F.lit(True))
+    return counted.join(marked, key, "left").filter(F.col("_known").isNull()).drop("_known")
 
 
 def mark_listed(df: DataFrame, key: str, listed: DataFrame, flag: str = "est_remplace") -> DataFrame:
@@ -117,4 +131,4 @@ def orphan_references(df: DataFrame, key: str, replaces: str) -> DataFrame:
     refs = refs.filter(F.col("reference").isNotNull() & (F.col("reference") != ""))
     counted = refs.groupBy("reference").agg(F.count(F.lit(1)).alias("n_rows"))
     known = df.select(F.trim(F.col(key)).alias("reference")).distinct()
-    return counted.join(known, "reference", "left_anti")
+    return without_match(counted, known, "reference")

@@ -15,7 +15,8 @@ MONTH = ("annee", "mois")
 
 def expand_months(bounds: DataFrame, start: Column, end: Column) -> DataFrame:
     """Months that cover [start, end] of each row of ``bounds``, with first and last day."""
-    months = F.sequence(F.trunc(start, "MM"), F.trunc(end, "MM"), F.expr("interval 1 month"))
+    last = F.greatest(F.trunc(start, "MM"), F.trunc(end, "MM"))
+    months = F.sequence(F.trunc(start, "MM"), last, F.expr("interval 1 month"))
     first = bounds.filter(start <= end).select(F.explode(months).alias("premier_jour"))
     return first.select(
         F.year("premier_jour").alias("annee"),

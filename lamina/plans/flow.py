@@ -11,7 +11,7 @@ from lamina.operators.checks import gate, run_checks
 from lamina.operators.ledger import load_report, manifest
 from lamina.plans import gold
 from lamina.plans.contracts import all_contracts
-from lamina.plans.silver import SilverPaths, build_silver
+from lamina.plans.silver import SilverPaths, build_silver, silver_schemas
 from lamina.sources.exports import Export, export_all
 from lamina.sources.landing import read_landing
 from lamina.sources.tables import bronze_schema, read_table, with_month_keys, write_partitions
@@ -62,13 +62,9 @@ def read_bronze(spark: SparkSession, lake: Lake) -> DataFrame:
 
 
 def read_silver(spark: SparkSession, lake: Lake) -> tuple[DataFrame, DataFrame]:
-    """Current rows and rejects; region codes are read as text whatever they look like."""
-    schemas = [spark.read.parquet(p).schema for p in (lake.silver.current, lake.silver.rejects)]
-    for schema in schemas:
-        for f in schema.fields:
-            if f.name == "code_region_ban":
-                f.dataType = bronze_schema()["code_region_ban"].dataType
-    return tuple(read_table(spark, p, s) for p, s in zip((lake.silver.current, lake.silver.rejects), schemas))
+    """Current rows and rejects under their declared schemas, so that region codes stay text."""
+    current, rejects = silver_schemas(spark)
+    return read_table(spark, lake.silver.current, current), read_table(spark, lake.silver.rejects, rejects)
 
 
 def load_warehouse(

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lamina.functions import fixed
 from lamina.operators.clean import (
@@ -30,7 +31,7 @@ from lamina.operators.quality import (
     status_flags,
 )
 from lamina.sources.shared import materialise
-from lamina.sources.tables import write_metrics, write_partitions
+from lamina.sources.tables import bronze_schema, write_metrics, write_partitions
 
 CURRENT_KEYS = ("code_region_ban", "annee_etablissement")
 REJECT_KEYS = ("annee_etablissement",)
@@ -76,11 +77,22 @@ def prepare(
     """
     once = materialise(latest(bronze, order, keep_null_keys), "latest")
     replaced = materialise(superseded_keys(once, fixed.PRIMARY_KEY, "numero_dpe_remplace"), "superseded")
-    marked = mark_listed(once, fixed.PRIMARY_KEY, replaced)
+    return judge(mark_listed(once, fixed.PRIMARY_KEY, replaced), as_of, rules)
+
+
+def judge(marked: DataFrame, as_of: Column | None = None, rules: Sequence[Rule] | None = None) -> DataFrame:
+    """Motives, flags and dimensions of deduplicated, marked rows."""
     ruled = apply_quality(marked, standard_rules() if rules is None else rules)
     return enrich(status_flags(ruled, "statut_geocodage", "score_ban"), as_of)
 
 
+def silver_schemas(spark: SparkSession) -> tuple[T.StructType, T.StructType]:
+    """Schemas of the current and the rejects table, known even while a table is empty."""
+    empty = typed(spark.createDataFrame([], bronze_schema())).withColumn("est_remplace", F.lit(False))
+    judged = judge(empty)
+    return current_rows(judged).schema, rejected_rows(judged).schema
+
+
 def current_rows(prepared: DataFrame) -> DataFrame:
     return current(prepared).drop("motif_rejet", "est_valide")
 
