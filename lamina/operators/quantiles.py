@@ -24,7 +24,7 @@ MAX_STATE = 200_000
 BROADCAST_GROUPS = 50_000
 ACCURACY = 10_000
 MARGIN = 0.001
-GRID = [i / 1000 for i in range(1001)]
+STEPS = 1000
 
 
 @dataclass(frozen=True)
@@ -137,6 +137,11 @@ def _inside(i: int) -> Column:
     return ~_below(i) & ~_above(i)
 
 
+def _grid() -> Column:
+    """0, 1/STEPS, ... 1 as one constant: a thousand literals would slow planning down."""
+    return F.split(F.lit(",".join(str(i / STEPS) for i in range(STEPS + 1))), ",").cast("array<double>")
+
+
 def _second_fences(rows: DataFrame, keys: Sequence[str], probs: Mapping[str, float], small: int) -> DataFrame:
     """Exact counts around the first fences, and a finer fence inside them.
 
@@ -150,7 +155,7 @@ def _second_fences(rows: DataFrame, keys: Sequence[str], probs: Mapping[str, flo
             F.first(f"_hi{i}").alias(f"_hi{i}"),
             F.count_if(_below(i)).alias(f"_b{i}"),
             F.count_if(_inside(i)).alias(f"_m{i}"),
-            F.percentile_approx(F.when(_inside(i), F.col("_v")), GRID, ACCURACY).alias(f"_g{i}"),
+            F.percentile_approx(F.when(_inside(i), F.col("_v")), _grid(), ACCURACY).alias(f"_g{i}"),
         ]
     counted = rows.groupBy(*keys).agg(*aggs)
     fences = []
@@ -158,7 +163,7 @@ def _second_fences(rows: DataFrame, keys: Sequence[str], probs: Mapping[str, flo
         low_rank, high_rank = _ranks(F.col("_n"), prob)
         start, size = F.col(f"_b{i}"), F.col(f"_m{i}")
         hit = (low_rank >= start) & (high_rank < start + size) & (size > F.lit(small))
-        steps = F.lit(len(GRID) - 1)
+        steps = F.lit(STEPS)
         low_step = F.floor((low_rank - start) / size * steps).cast("int") - 1
         high_step = F.ceil((high_rank + 1 - start) / size * steps).cast("int") + 1
         low = F.when(hit & (low_step > 0), F.get(f"_g{i}", low_step)).otherwise(F.col(f"_lo{i}"))
