@@ -70,12 +70,16 @@ def read_silver(spark: SparkSession, lake: Lake) -> tuple[DataFrame, DataFrame]:
 def load_warehouse(
     spark: SparkSession, lake: Lake, since: int | None = None, sinks: dict[str, Sink] | None = None
 ) -> dict[str, int]:
-    """Loads both silver tables through the sinks (Parquet tables of the lake by default)."""
+    """Loads both silver tables through the sinks, or as Parquet tables of the lake.
+
+    Only sinks that were given, such as a database, get a bounded number of writers.
+    """
     current, rejects = read_silver(spark, lake)
     out = sinks or {n: parquet_sink(lake.path("warehouse", n)) for n in ("dpe_courant", "dpe_rejets")}
+    bound = None if sinks is None else fixed.MAX_WRITERS
     return {
-        "dpe_courant": load_table(current, out["dpe_courant"], fixed.WAREHOUSE_COLUMNS, since),
-        "dpe_rejets": load_table(rejects, out["dpe_rejets"], (), since),
+        "dpe_courant": load_table(current, out["dpe_courant"], fixed.WAREHOUSE_COLUMNS, since, bound),
+        "dpe_rejets": load_table(rejects, out["dpe_rejets"], (), since, bound),
     }
 
 

@@ -63,20 +63,21 @@ def prepare(
     rules: Sequence[Rule] | None = None,
     order: Sequence[Column] | None = None,
     keep_null_keys: bool = False,
+    work: str | None = None,
 ) -> DataFrame:
     """Every bronze key once, with its flags and motive; rejects nothing yet.
 
     Dedup comes before supersession, so that an outdated version of a row supersedes
     nothing, and both come before the quality rules.
 
-    The deduplicated rows are written to the shared folder: bronze is read and shuffled
+    The deduplicated rows are written to the shared folder, or to ``work``: bronze is read and shuffled
     once, however many outputs follow.  Which keys are superseded is then a join of two
     columns of that table; its result is stored too, so that Spark knows its size, and
     is as a rule small enough to mark the wide rows without shuffling them again.  The
     rules and dimensions on top are plain expressions, cheaper to repeat than to store.
     """
-    once = materialise(latest(bronze, order, keep_null_keys), "latest")
-    replaced = materialise(superseded_keys(once, fixed.PRIMARY_KEY, "numero_dpe_remplace"), "superseded")
+    once = materialise(latest(bronze, order, keep_null_keys), "latest", work)
+    replaced = materialise(superseded_keys(once, fixed.PRIMARY_KEY, "numero_dpe_remplace"), "superseded", work)
     return judge(mark_listed(once, fixed.PRIMARY_KEY, replaced), as_of, rules)
 
 
@@ -113,10 +114,11 @@ class SilverPaths:
     current: str
     rejects: str
     metrics: str
+    work: str | None = None
 
     @classmethod
     def under(cls, root: str) -> SilverPaths:
-        return cls(f"{root}/dpe_courant", f"{root}/dpe_rejets", f"{root}/metrics")
+        return cls(f"{root}/dpe_courant", f"{root}/dpe_rejets", f"{root}/metrics", f"{root}/work")
 
 
 def build_silver(
@@ -129,7 +131,7 @@ def build_silver(
 
     Each output reads only the columns it needs of the stored, deduplicated rows.
     """
-    prepared = prepare(bronze, as_of)
+    prepared = prepare(bronze, as_of, work=paths.work)
     write_partitions(current_rows(prepared), paths.current, CURRENT_KEYS, overwrite)
     write_partitions(rejected_rows(prepared), paths.rejects, REJECT_KEYS, overwrite)
     write_metrics(metrics(bronze, prepared), paths.metrics)

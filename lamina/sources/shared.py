@@ -22,12 +22,13 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Writes ``df`` once to the shared folder and reads it back.
+def materialise(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
+    """Writes ``df`` once and reads it back, from ``folder`` or from a fresh shared path.
 
     Cuts the lineage: what follows neither recomputes ``df`` nor depends on executors
-    that computed it, and the optimizer knows the real size.
+    that computed it, and the optimizer knows the real size.  In a folder of its own a
+    run replaces what the last one left.
     """
-    path = shared_path(df.sparkSession, name)
-    df.write.parquet(path)
+    path = shared_path(df.sparkSession, name) if folder is None else f"{folder}/{name}"
+    df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

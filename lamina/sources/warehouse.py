@@ -30,18 +30,18 @@ def load_table(
     sink: Sink,
     columns: Sequence[str] = (),
     since: int | None = None,
-    max_parts: int = fixed.MAX_WRITERS,
+    max_parts: int | None = fixed.MAX_WRITERS,
     rows_per_part: int = fixed.ROWS_PER_WRITER,
 ) -> int:
     """Writes the slice through ``sink`` on a bounded number of writers; returns the rows.
 
     The count reads no column data from Parquet.  The bound is the number of
     connections that the receiving database stands: raise ``max_parts`` for one that
-    takes more, and for file sinks.
+    takes more.  None, for file sinks, writes from every task without a shuffle.
     """
     part = warehouse_slice(df, columns, since)
     rows = part.count()
-    sink(part.repartition(write_parallelism(rows, max_parts, rows_per_part)))
+    sink(part if max_parts is None else part.repartition(write_parallelism(rows, max_parts, rows_per_part)))
     return rows
 
 
