@@ -3,25 +3,44 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lamina.llm import mixing, packing, simhash
-from lamina.llm.common import store
+from lamina.llm import language, lines, mixing, packing, simhash
+from lamina.llm.common import WHITE, store
 from lamina.llm.queries import tokenizer_path
 
 
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is recognised; the model learns from the labelled ones."""
+    return language.accepted_documents(docs, language.fitted(docs))
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the blocks of lines that earlier ones have; those left blank by it go."""
+    done = lines.deduplicated(docs)
+    blank = F.trim(F.translate("text", WHITE[1:], " " * (len(WHITE) - 1))) == ""
+    stays = done.filter((F.col("n_removed") == 0) | ~blank)
+    return stays.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies: five-word shingles, similarity of 0.8 or more."""
     return simhash.kept_documents(docs)
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents repeated, or left out, as the sources' target weights ask."""
     return mixing.mixed_documents(docs)
 
 
 def best_fit(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row per piece of a document, with its training sequence."""
     return packing.pack_documents(docs, tokenizer_path())
 
 
 STAGES = [
+    ("language_id", language_id),
+    ("line_dedup", line_dedup),
     ("near_duplicates", near_duplicates),
     ("source_mix", source_mix),
     ("best_fit", best_fit),

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lamina.llm import exact, mixing, packing, sharding, simhash
+from lamina.llm import exact, language, lines, mixing, neighbours, packing, secret_scan, sharding, simhash, substrings
 
 SHARDS = 24
 
@@ -41,19 +41,52 @@ def op2_slot_shards(spark, sf_dir):
     )
 
 
+def op3_language_id(spark, sf_dir):
+    return language.identify(_table(spark, sf_dir, "documents"))
+
+
+def op4_fm_substrings(spark, sf_dir):
+    return substrings.deduplicated(_table(spark, sf_dir, "documents"))
+
+
 def op5_simhash(spark, sf_dir):
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"), simhash.NEAR_EXACT)
 
 
+def op6_secret_scan(spark, sf_dir):
+    return secret_scan.scan(_table(spark, sf_dir, "documents"))
+
+
 def op7_best_fit(spark, sf_dir):
     return packing.pack_documents(_table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op8_line_dedup(spark, sf_dir):
+    return lines.deduplicated(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op9_grace_dedup(spark, sf_dir):
     return exact.duplicate_classes(_table(spark, sf_dir, "documents"))
 
 
+def op10_dimension_scan(spark, sf_dir):
+    table = _table(spark, sf_dir, "embeddings")
+    return neighbours.nearest(table, F.col("vec_id") % 100 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_source_mix, op2_slot_shards, op5_simhash, op7_best_fit, op9_grace_dedup)
+    f.__name__: f
+    for f in (
+        op1_source_mix,
+        op2_slot_shards,
+        op3_language_id,
+        op4_fm_substrings,
+        op5_simhash,
+        op6_secret_scan,
+        op7_best_fit,
+        op8_line_dedup,
+        op9_grace_dedup,
+        op10_dimension_scan,
+    )
 }
 ORACLES: dict[str, str] = {}
