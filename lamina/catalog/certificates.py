@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lamina.catalog.base import plain, query, sql_rate, sql_round, table
+from lamina.catalog.base import plain, query, sql_located, sql_rate, sql_round, table
 from lamina.functions import fixed
 from lamina.operators import analysis
 from lamina.operators.checks import run_checks
@@ -380,17 +380,15 @@ def certificates_mart_profil(spark, sf):
 
 @query(
     "certificates_map",
-    DEPARTMENT + """
-    select code_departement, nb_dpe, taux_passoires_pct, latitude is not null as located from (
-        select dept.*, case when est_metropole and centroide_x_lambert93 is not null then 1 end as latitude from dept)
-    where est_metropole order by taux_passoires_pct desc, code_departement limit 15
-    """,
+    DEPARTMENT
+    + "select code_departement, nb_dpe, taux_passoires_pct, latitude, longitude from "
+    + sql_located("dept", "*", "centroide_x_lambert93", "centroide_y_lambert93")
+    + "where est_metropole order by taux_passoires_pct desc, code_departement limit 15",
 )
 def certificates_map(spark, sf):
-    placed = reproject(department(spark, sf)).filter("est_metropole")
+    placed = reproject(rounded_points(department(spark, sf))).filter("est_metropole")
     best = top_k(placed, "taux_passoires_pct", 15, ["code_departement"])
-    return plain(best.select("code_departement", "nb_dpe", "taux_passoires_pct",
-                             F.col("latitude").isNotNull().alias("located")))
+    return plain(best.select("code_departement", "nb_dpe", "taux_passoires_pct", "latitude", "longitude"))
 
 
 @query(

@@ -57,9 +57,19 @@ def month_calendar(spark, sf):
     return calendar(spark, sf)
 
 
-@query("completeness", LEDGER + "select * from ledger")
+EVERY_MONTH = LEDGER + """
+    , whole as (select annee, mois, n as rows_written, annonces as rows_announced_by_source, n = annonces as is_complete
+        from counted join announced using (annee, mois))
+"""
+
+
+def whole_ledger(spark: SparkSession, sf: str) -> DataFrame:
+    return ledger.completeness(dated_orders(spark, sf), announced(spark, sf))
+
+
+@query("completeness", EVERY_MONTH + "select * from whole")
 def completeness(spark, sf):
-    return written(spark, sf)
+    return whole_ledger(spark, sf)
 
 
 @query(
@@ -109,14 +119,14 @@ def status_totals(spark, sf):
 
 @query(
     "load_report",
-    LEDGER + """
+    EVERY_MONTH + """
     select count(*) as partitions_ecrites, cast(sum(rows_written) as bigint) as total_rows,
         list(printf('annee=%04d/mois=%02d', annee, mois) order by annee, mois) filter (where not is_complete) as incomplete
-    from ledger
+    from whole
     """,
 )
 def load_report(spark, sf):
-    return ledger.load_report(written(spark, sf).withColumn("partition", ledger.partition_name()))
+    return ledger.load_report(whole_ledger(spark, sf).withColumn("partition", ledger.partition_name()))
 
 
 @query(

@@ -11,12 +11,13 @@ from lamina.operators.quality import (
     RuleColumns,
     apply_quality,
     current,
-    metrics_table,
+    metrics_of,
     reject_histogram,
     reject_rows,
     run_counters,
     split,
     standard_rules,
+    tally,
     with_share,
 )
 
@@ -106,9 +107,7 @@ def counters(spark, sf):
 
 
 def long_metrics(spark: SparkSession, sf: str) -> DataFrame:
-    rows = prepared(spark, sf)
-    counted = run_counters(rows).withColumn("lignes_bronze", F.col("apres_deduplication"))
-    return metrics_table(counted, reject_histogram(rows))
+    return metrics_of(tally(prepared(spark, sf)))
 
 
 METRICS = ITEMS + ", " + COUNTERS + """,

@@ -5,16 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lamina.catalog.base import query, table
+from lamina.catalog.base import query, sql_located, table
 from lamina.catalog.ledgers import announced, dated_orders
 from lamina.catalog.ruling import ITEMS, METRICS, long_metrics, prepared
+from lamina.functions import fixed
 from lamina.operators.geo import reproject
 from lamina.operators.ledger import manifest
 from lamina.operators.quality import reject_rows
+from lamina.plans.flow import Lake, load_bronze
 from lamina.sources.exports import Export, export_all, export_csv, export_parquet, export_schema
 from lamina.sources.landing import read_landing
 from lamina.sources.shared import shared_path
-from lamina.sources.tables import read_reference, read_table, write_metrics, write_partitions, year_window
+from lamina.sources.tables import bronze_schema, read_reference, read_table, write_metrics, write_partitions, year_window
 from lamina.sources.warehouse import load_table, parquet_sink
 
 ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice"]
@@ -101,7 +103,7 @@ def window_on_partitions(spark, sf):
     select cast(year(o_orderdate) as integer) as annee, cast(month(o_orderdate) as integer) as mois,
         printf('annee=%04d/mois=%02d', year(o_orderdate), month(o_orderdate)) as partition, count(*) as rows_written,
         case month(o_orderdate) when 6 then count(*) + 1 when 11 then 0 else count(*) end as rows_announced_by_source,
-        month(o_orderdate) not in (6, 11) as is_complete, true as has_files,
+        month(o_orderdate) not in (6, 11) as is_complete, true as has_files, true as files_in_order,
         'o_orderdate:' || year(o_orderdate) as source_filter
     from orders group by year(o_orderdate), month(o_orderdate)
     """,
@@ -112,7 +114,49 @@ def partition_manifest(spark, sf):
     write_partitions(rows, path, ["annee", "mois"], "static")
     asked = F.concat(F.lit("o_orderdate:"), F.col("annee").cast("string"))
     record = manifest(read_table(spark, path, rows.schema), announced(spark, sf), asked)
-    return record.withColumn("has_files", F.size("files") > 0).drop("files", "ingested_at_utc")
+    in_order = F.col("files") == F.array_sort(F.array_distinct("files"))
+    return record.withColumns({"has_files": F.size("files") > 0, "files_in_order": in_order}).drop("files", "ingested_at_utc")
+
+
+MONTHS = ((1996, 2), (1996, 3))
+
+
+@query(
+    "incremental_loads",
+    """
+    with o as (select o_orderkey, year(o_orderdate) as y, month(o_orderdate) as m, o_orderkey % 40 = 0 as undated,
+        year(o_orderdate) = 1996 and month(o_orderdate) = 2 and o_orderkey % 3 = 0 as late from orders)
+    select cast(o_orderkey as varchar) as numero_dpe, cast(case when not undated then y end as integer) as annee,
+        cast(case when not undated then m end as integer) as mois,
+        case when undated or y <> 1996 or m not in (2, 3) or late then 'hors_chargement' else 'bronze' end as destination,
+        case when late or (y = 1996 and m = 3) then 'second' else 'first' end as chargement
+    from o
+    """,
+)
+def incremental_loads(spark, sf):
+    """Orders as text, landed in two loads of a month each: the first with all other months'
+    rows in it, the second with a few late rows of the first's month, both with undated rows.
+    """
+    lake = Lake(shared_path(spark, "lake"))
+    k, day = F.col("o_orderkey"), F.col("o_orderdate")
+    month = F.date_format(day, "yyyy-MM")
+    orders = table(spark, sf, "orders").select(
+        k.cast("string").alias("numero_dpe"),
+        F.when(k % 40 == 0, F.lit("")).otherwise(F.date_format(day, "yyyy-MM-dd")).alias(fixed.PARTITION_DATE),
+        ((month == "1996-03") | ((month == "1996-02") & (k % 3 == 0))).alias("second"),
+    )
+    loads = {"first": ~F.col("second"), "second": F.col("second")}
+    for (name, rows), (year, m) in zip(loads.items(), MONTHS):
+        landing = f"{lake.root}/landing/{name}"
+        orders.filter(rows).drop("second").write.option("header", True).csv(landing)
+        said = spark.createDataFrame([(year, m, 0)], "annee int, mois int, annonces long")
+        load_bronze(spark, lake, landing, said, F.lit(name), name)
+    keep = ["numero_dpe", "annee", "mois"]
+    inside = read_table(spark, lake.bronze, bronze_schema()).select(
+        *keep, F.lit("bronze").alias("destination"), F.when(F.col("mois") == 2, "first").otherwise("second").alias("chargement")
+    )
+    outside = read_table(spark, lake.out_of_load, bronze_schema().add("chargement", "string"))
+    return inside.unionByName(outside.select(*keep, F.lit("hors_chargement").alias("destination"), "chargement"))
 
 
 @query(
@@ -195,11 +239,14 @@ def export_declared(spark, sf):
 @query(
     "export_selection",
     """
-    select 'facts' as name, count(*) as n_rows, count(*) as n_stored, cast(0 as bigint) as n_located from orders
+    select 'facts' as name, count(*) as n_rows, count(*) as n_stored, cast(0 as bigint) as n_located,
+        cast(null as double) as south, cast(null as double) as east from orders
     union all
-    select 'places', count(*), count(*),
-        count(*) filter (where c_custkey % 2 = 0) from customer
-    """,
+    select 'places', count(*), count(*), count(latitude), min(latitude), max(longitude) from """
+    + sql_located(
+        "(select case when c_custkey % 2 = 0 then 650000 + c_custkey % 1000 else -9000000 end as x, 6800000 as y from customer)",
+        "1", "x", "y",
+    ),
 )
 def export_selection(spark, sf):
     """Two tables of three, one of them with coordinates; every second point is off the map."""
@@ -218,13 +265,18 @@ def export_selection(spark, sf):
     rows = export_all(tables, root, ["facts", "places"])
     header = "c_custkey long, centroide_x_lambert93 long, centroide_y_lambert93 long, latitude double, longitude double"
     stored = {
-        "facts": spark.read.parquet(f"{root}/facts").withColumn("latitude", F.lit(None).cast("double")),
+        "facts": spark.read.parquet(f"{root}/facts").withColumns(
+            {n: F.lit(None).cast("double") for n in ("latitude", "longitude")}
+        ),
         "places": spark.read.schema(header).option("header", True).csv(f"{root}/places"),
     }
     parts = [
-        df.agg(F.count(F.lit(1)).alias("n_stored"), F.count("latitude").alias("n_located")).select(
-            F.lit(n).alias("name"), F.lit(rows[n]).cast("bigint").alias("n_rows"), "n_stored", "n_located"
-        )
+        df.agg(
+            F.count(F.lit(1)).alias("n_stored"),
+            F.count("latitude").alias("n_located"),
+            F.min("latitude").alias("south"),
+            F.max("longitude").alias("east"),
+        ).withColumns({"name": F.lit(n), "n_rows": F.lit(rows[n]).cast("bigint")})
         for n, df in stored.items()
     ]
     return parts[0].unionByName(parts[1])
@@ -232,20 +284,21 @@ def export_selection(spark, sf):
 
 @query(
     "export_csv_coordinates",
-    """
-    select c_custkey, c_name, c_custkey % 2 = 0 as located from customer
-    """,
+    "select * from " + sql_located(
+        "(select c_custkey, c_name, case when c_custkey % 2 = 0 then 650000.0 + c_custkey end as x, 6800000.0 as y from customer)",
+        "c_custkey, c_name", "x", "y",
+    ),
 )
 def export_csv_coordinates(spark, sf):
     path = shared_path(spark, "csv")
     k = F.col("c_custkey")
     points = table(spark, sf, "customer").select(
         k, "c_name",
-        F.when(k % 2 == 0, F.lit(650000.0)).alias("centroide_x_lambert93"),
+        F.when(k % 2 == 0, F.lit(650000.0) + k).alias("centroide_x_lambert93"),
         F.lit(6800000.0).alias("centroide_y_lambert93"),
     )
     export_csv(reproject(points), path)
     header = "c_custkey long, c_name string, centroide_x_lambert93 double, centroide_y_lambert93 double, " \
              "latitude double, longitude double"
     stored = spark.read.schema(header).option("header", True).option("escape", '"').csv(path)
-    return stored.select("c_custkey", "c_name", F.col("latitude").isNotNull().alias("located"))
+    return stored.select("c_custkey", "c_name", "latitude", "longitude")

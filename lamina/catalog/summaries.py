@@ -206,14 +206,14 @@ def rate_corr(spark, sf):
     "extreme_ratio",
     PLACE_YEAR + """
     , e as (select cast(round(max(urgent_pct) * 100) as hugeint) as h, cast(round(min(urgent_pct) * 100) as hugeint) as l
-        from m where nb_dpe >= 10)
+        from m)
     select h / 100.0 as highest, l / 100.0 as lowest,
         case when l <> 0 then cast((200 * h + l) // (2 * l) as double) / 100.0 end as factor from e
     """,
 )
 def extremes(spark, sf):
     counted = with_rates(summarise(facts(spark, sf), ["place", "annee"], summary(medians=False)), RATES)
-    return plain(analysis.extreme_ratio(counted.filter("nb_dpe >= 10"), "urgent_pct"))
+    return plain(analysis.extreme_ratio(counted, "urgent_pct"))
 
 
 @query(
@@ -303,7 +303,7 @@ def fenced_groups(spark, sf):
     lines = table(spark, sf, "lineitem").select(
         F.when(F.col("l_suppkey") % 3 != 0, F.col("l_returnflag")).alias("flag"), "l_extendedprice"
     )
-    return rounded(fenced_quantiles(lines, ["flag"], "l_extendedprice", QUANTILES, few_groups=True, small_group=500))
+    return rounded(fenced_quantiles(lines, ["flag"], "l_extendedprice", QUANTILES, small_group=500))
 
 
 @query("fenced_score_quantiles", f"select {quantile_sql('l_extendedprice')} from lineitem")
@@ -331,3 +331,25 @@ def share_above(spark, sf):
 )
 def shares(spark, sf):
     return plain(analysis.status_share(table(spark, sf, "events"), "event_type"))
+
+
+@query(
+    "dirty_measures",
+    f"""
+    with d as (select l_suppkey % 6 as kind, l_quantity as size, case l_suppkey % 6 when 0 then 1e15 when 1 then 1e300
+        when 2 then cast('NaN' as double) when 3 then cast('inf' as double) when 4 then null else l_extendedprice end as cost
+        from lineitem),
+    a as (select kind, avg(cost) as m, quantile_cont(cost, 0.5) as q, max(size) as s, count(*) as nb_dpe from d group by kind)
+    select kind, nb_dpe, case kind when 5 then {sql_round('m', 1)} when 0 then m end as cost_mean,
+        case kind when 5 then {sql_round('q', 1)} when 0 then q end as cost_median from a
+    """.replace("cast(round(cast(m", "cast(round(try_cast(m").replace("cast(round(cast(q", "cast(round(try_cast(q"),
+)
+def dirty_measures(spark, sf):
+    """A measure that no rule has cleaned: too large, without end, not a number, missing."""
+    kind, price = F.col("l_suppkey") % 6, F.col("l_extendedprice")
+    cost = (
+        F.when(kind == 0, 1e15).when(kind == 1, 1e300).when(kind == 2, float("nan")).when(kind == 3, float("inf"))
+        .when(kind == 5, price)
+    )
+    rows = table(spark, sf, "lineitem").select(kind.alias("kind"), cost.alias("cost"))
+    return plain(summarise(rows, ["kind"], Summary(means={"cost_mean": ("cost", 1)}, medians={"cost_median": ("cost", 1)})))

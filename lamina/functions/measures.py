@@ -2,6 +2,9 @@
 
 Means and ratios are rounded half-up on decimals, never on binary doubles, so that
 the printed digits do not depend on the order in which a sum was built.
+
+No value stops a mart: what a decimal can't hold (beyond 31 digits before the point, NaN,
+infinity) has no rounded value and gives null.
 """
 
 from __future__ import annotations
@@ -10,11 +13,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 EXACT = "decimal(20,6)"
+WIDE = "decimal(38,6)"
 COUNT = "decimal(20,0)"
 
 
 def round_exact(c: Column, digits: int) -> Column:
-    return F.round(c.cast(EXACT), digits)
+    """Half-up; means of up to 31 digits before the point keep their value."""
+    return F.round(c.try_cast(WIDE), digits)
 
 
 def avg_round(c: Column, digits: int = 1) -> Column:
@@ -29,10 +34,10 @@ def rate(part: Column, whole: Column, digits: int = 2) -> Column:
 
 def ratio(a: Column, b: Column, digits: int = 1) -> Column:
     """Quotient of two measures that are already rounded; null when ``b`` is 0."""
-    safe = F.nullif(b.cast(EXACT), F.lit(0).cast(EXACT))
-    return F.round(a.cast(EXACT) / safe, digits)
+    safe = F.nullif(b.try_cast(EXACT), F.lit(0).cast(EXACT))
+    return F.round(a.try_cast(EXACT) / safe, digits)
 
 
 def product_round(a: Column, b: Column, digits: int = 0) -> Column:
     """Rounded product, null if either side is null."""
-    return F.round((a * b).cast("decimal(26,6)"), digits)
+    return F.round((a * b).try_cast(WIDE), digits)

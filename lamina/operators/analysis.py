@@ -4,18 +4,24 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lamina.functions.measures import rate
+from lamina.functions.measures import rate, round_exact
 from lamina.operators.clean import mark_superseded
 from lamina.operators.quantiles import exact_quantiles
 
 
-def score_quantiles(df: DataFrame, column: str, probs: dict[str, float] | None = None) -> DataFrame:
-    """Exact quantiles of a whole column, 1/25/50/75/90 % unless told otherwise."""
+def score_quantiles(
+    df: DataFrame, column: str, probs: dict[str, float] | None = None, method: str = "state"
+) -> DataFrame:
+    """Exact quantiles of a whole column, 1/25/50/75/90 % unless told otherwise.
+
+    A score has few distinct values, which one task can hold; ``method="fenced"`` is for
+    columns that have no such bound.
+    """
     wanted = probs or {"p1": 0.01, "p25": 0.25, "p50": 0.5, "p75": 0.75, "p90": 0.9}
-    return exact_quantiles(df, [], column, wanted)
+    return exact_quantiles(df, [], column, wanted, method)
 
 
 def share_where(df: DataFrame, condition: Column, name: str = "part_pct") -> DataFrame:
@@ -27,7 +33,7 @@ def share_where(df: DataFrame, condition: Column, name: str = "part_pct") -> Dat
 def status_share(df: DataFrame, column: str, name: str = "part_pct") -> DataFrame:
     """Rows per value and their share of all rows."""
     counted = df.groupBy(column).agg(F.count(F.lit(1)).alias("n_rows"))
-    total = df.agg(F.count(F.lit(1)).alias("n")).scalar()
+    total = F.sum("n_rows").over(Window.partitionBy())  # one row per value
     return counted.withColumn(name, rate(F.col("n_rows"), total))
 
 
@@ -71,7 +77,7 @@ def cost_per_size(df: DataFrame, label: str, cost: str, size: str, name: str = "
     """Cost per unit of size by label, as the ratio of the sums over complete rows."""
     complete = df.filter(F.col(cost).isNotNull() & F.col(size).isNotNull())
     return complete.groupBy(label).agg(
-        F.round((F.sum(cost) / F.nullif(F.sum(size), F.lit(0.0))).cast("decimal(20,6)"), 1).alias(name)
+        round_exact(F.sum(cost) / F.nullif(F.sum(size), F.lit(0.0)), 1).alias(name)
     )
 
 

@@ -11,6 +11,11 @@ from pyspark.sql import functions as F
 from lamina.functions.casts import text_date, text_double, text_int
 
 
+# Begins the probe of a row without a key; no trimmed key begins so.
+NOT_A_KEY = "\u0000 "
+SPREAD = 4
+
+
 def repaired(name: str) -> str:
     return re.sub(r"\s+", "_", name.strip())
 
@@ -101,14 +106,22 @@ def without_match(counted: DataFrame, known: DataFrame, key: str) -> DataFrame:
     return counted.join(marked, key, "left").filter(F.col("_known").isNull()).drop("_known")
 
 
-def mark_listed(df: DataFrame, key: str, listed: DataFrame, flag: str = "est_remplace") -> DataFrame:
+def mark_listed(
+    df: DataFrame, key: str, listed: DataFrame, flag: str = "est_remplace", spread: Sequence[str] | None = None
+) -> DataFrame:
     """Flag rows whose trimmed key is in the only column of ``listed``, which is distinct.
 
     No side is hinted: the list is broadcast if Spark finds it small enough, else the
-    join is sort-merge and AQE splits an oversized left partition.
+    join is sort-merge and AQE splits an oversized left partition.  Null and blank keys
+    match nothing, however many there are: a hash of the columns ``spread`` (a few others,
+    unless given; not all, so that scans stay narrow) deals them over all partitions.
     """
+    others = [c for c in df.columns if c != key][:SPREAD] if spread is None else list(spread)
     marks = listed.toDF("_listed")
-    joined = df.join(marks, F.trim(F.col(key)) == F.col("_listed"), "left")
+    trimmed = F.trim(F.col(key))
+    apart = F.concat(F.lit(NOT_A_KEY), F.xxhash64(*others).cast("string") if others else F.lit(""))
+    probe = F.when(trimmed.isNull() | (trimmed == ""), apart).otherwise(trimmed)
+    joined = df.join(marks, probe == F.col("_listed"), "left")
     return joined.withColumn(flag, F.col("_listed").isNotNull()).drop("_listed")
 
 

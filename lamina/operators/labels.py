@@ -32,3 +32,34 @@ def centroids(df: DataFrame, key: str, x: str, y: str, where: Column | None, out
     return located.groupBy(key).agg(
         F.avg(x).alias(out_x), F.avg(y).alias(out_y), F.count(F.lit(1)).alias(out_n)
     )
+
+
+def described_points(
+    df: DataFrame, key: str, attrs: Sequence[str], x: str, y: str, where: Column, out_x: str, out_y: str, out_n: str
+) -> DataFrame:
+    """``mode_label`` and ``centroids`` of a key together, from one pass over the rows.
+
+    The mean point is null, and the number of points 0, where no row is located.
+    """
+    located = F.coalesce(where & F.col(x).isNotNull() & F.col(y).isNotNull(), F.lit(False))
+    counted = df.groupBy(key, *attrs).agg(
+        F.count(F.lit(1)).alias("occurrences"),
+        F.count_if(located).alias("_n"),
+        F.sum(F.when(located, F.col(x))).alias("_x"),
+        F.sum(F.when(located, F.col(y))).alias("_y"),
+    )
+    # The least of (-occurrences, nulls last, value, ...) is the most frequent description.
+    order = [(-F.col("occurrences")).alias("_o")]
+    for a in attrs:
+        order += [F.col(a).isNull().alias(f"_null_{a}"), F.col(a)]
+    grouped = counted.groupBy(key).agg(
+        F.min(F.struct(*order)).alias("_best"), F.sum("_n").alias(out_n), F.sum("_x").alias("_x"), F.sum("_y").alias("_y")
+    )
+    count = F.nullif(F.col(out_n), F.lit(0))
+    return grouped.select(
+        key,
+        *[F.col(f"_best.{a}").alias(a) for a in attrs],
+        (F.col("_x") / count).alias(out_x),
+        (F.col("_y") / count).alias(out_y),
+        out_n,
+    )

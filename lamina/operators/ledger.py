@@ -52,17 +52,18 @@ def manifest(
     ingested_at: Column | None = None,
     keys: Sequence[str] = MONTH,
 ) -> DataFrame:
-    """One record per loaded partition: rows, announced rows, load time, filter, files.
+    """One record per written partition: rows, announced rows, load time, filter, files.
 
     ``written`` is a table read from files, with the partition columns ``keys``; its
-    data columns are not read.  ``announced`` has the keys and ``annonces`` of the
-    partitions of this load.
+    data columns are not read.  ``announced`` has the keys and ``annonces``.  A partition
+    that nobody announced gets a record too, incomplete.  For the partitions of one load
+    pass ``written`` through ``only_months``, which prunes the others.
     """
     stored = written.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("rows_written"),
         F.sort_array(F.collect_set(F.col("_metadata.file_name"))).alias("files"),
     )
-    joined = stored.join(announced, list(keys))
+    joined = stored.join(announced, list(keys), "left")
     return joined.select(
         *keys,
         partition_name(*keys).alias("partition"),
@@ -71,7 +72,37 @@ def manifest(
         (F.current_timestamp() if ingested_at is None else ingested_at).alias("ingested_at_utc"),
         source_filter.alias("source_filter"),
         "files",
-    ).withColumn("is_complete", F.col("rows_written") == F.col("rows_announced_by_source"))
+    ).withColumn(
+        "is_complete", F.coalesce(F.col("rows_written") == F.col("rows_announced_by_source"), F.lit(False))
+    )
+
+
+def only_months(df: DataFrame, months: Sequence[tuple[int, int]], keys: Sequence[str] = MONTH) -> DataFrame:
+    """Rows of the listed months, by a condition on the partition columns that prunes folders."""
+    wanted = F.lit(False)
+    for values in sorted(set(months)):
+        here = F.lit(True)
+        for key, value in zip(keys, values):
+            here = here & (F.col(key) == F.lit(value))
+        wanted = wanted | here
+    return df.filter(wanted)
+
+
+def divided(
+    df: DataFrame, months: Sequence[tuple[int, int]], keys: Sequence[str] = MONTH
+) -> tuple[DataFrame, DataFrame]:
+    """Rows of the requested months, and all others: of other months, or without a date."""
+    name = F.struct(*keys)
+    wanted = name.isin([F.struct(*[F.lit(v) for v in values]) for values in sorted(set(months))]) if months else F.lit(False)
+    inside = F.coalesce(wanted, F.lit(False))
+    return df.filter(inside), df.filter(~inside)
+
+
+def load_accounts(report: DataFrame, outside: DataFrame, keys: Sequence[str] = MONTH) -> DataFrame:
+    """The load report with the rows that went to no requested month: stray, and undated."""
+    undated = F.col(keys[0]).isNull()
+    counted = outside.agg(F.count_if(~undated).alias("hors_chargement"), F.count_if(undated).alias("sans_date"))
+    return report.join(counted)  # one row each
 
 
 def completeness(df: DataFrame, announced: DataFrame, keys: Sequence[str] = MONTH) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lamina.functions.measures import avg_round, rate, round_exact
-from lamina.operators.quantiles import MAX_STATE, exact_quantiles, fits_in_state, join_groups
+from lamina.operators.quantiles import at_rank, exact_quantiles, join_groups, with_ranks
 
 
 @dataclass(frozen=True)
@@ -33,33 +33,53 @@ def label_flags(column: str, labels: Sequence[str], prefix: str) -> dict[str, Co
     return {f"{prefix}{label.lower()}": F.col(column) == F.lit(label) for label in labels}
 
 
-def summarise(df: DataFrame, keys: Sequence[str], spec: Summary, max_state: int = MAX_STATE) -> DataFrame:
-    """One row per group with the measures of ``spec``.
+def summarise(df: DataFrame, keys: Sequence[str], spec: Summary, method: str = "counts") -> DataFrame:
+    """One row per group with the measures of ``spec``, from one pass over ``df``.
 
-    All plain measures come from one aggregation with a map-side partial step, so a
-    hot group costs no more than any other.  Medians ride along in that aggregation
-    when their state is known to be bounded, and are worked out apart and joined on
-    the group keys otherwise.
+    Plain measures come from hash aggregation with a map-side partial step, so a hot
+    group costs no more than any other.  With a median, the first aggregation is by
+    (group, value of the median's column); its rows carry the parts of all measures, and
+    the median is read off their running counts.  ``method`` ("state", "fenced") takes
+    medians from ``exact_quantiles`` instead; those and further medians read ``df`` again,
+    so it should then be a scan or stored.
     """
-    pick = {"min": F.min, "max": F.max}
-    aggs = [pick[how](c).alias(n) for n, (how, c) in spec.spans.items()]
+    if spec.medians and method == "counts":
+        (name, (column, digits)), *others = spec.medians.items()
+        out = _with_one_median(df, keys, spec, name, column, digits)
+    else:
+        others = list(spec.medians.items())
+        out = df.groupBy(*keys).agg(*_measures(spec))
+    for name, (column, digits) in others:
+        median = exact_quantiles(df, keys, column, {name: 0.5}, method)
+        out = join_groups(out, median.withColumn(name, round_exact(F.col(name), digits)), keys)
+    return out
+
+
+_PICK = {"min": F.min, "max": F.max}
+
+
+def _measures(spec: Summary) -> list[Column]:
+    aggs = [_PICK[how](c).alias(n) for n, (how, c) in spec.spans.items()]
     aggs.append(F.count(F.lit(1)).alias(spec.total))
     aggs += [F.count_if(cond).alias(n) for n, cond in spec.flags.items()]
-    aggs += [avg_round(F.col(c), d).alias(n) for n, (c, d) in spec.means.items()]
-
-    columns = sorted({c for c, _ in spec.medians.values()})
-    if not columns:
-        return df.groupBy(*keys).agg(*aggs)
-    if fits_in_state(df, keys, columns, max_state):
-        aggs += [round_exact(F.percentile(F.col(c), F.lit(0.5)), d).alias(n) for n, (c, d) in spec.medians.items()]
-        return df.groupBy(*keys).agg(*aggs)
-
-    out = df.groupBy(*keys).agg(*aggs)
-    for name, (c, digits) in spec.medians.items():
-        median = exact_quantiles(df, keys, c, {name: 0.5}, max_state)
-        median = median.withColumn(name, round_exact(F.col(name), digits))
-        out = join_groups(out, median, keys)
-    return out
+    return aggs + [avg_round(F.col(c), d).alias(n) for n, (c, d) in spec.means.items()]
+
+
+def _with_one_median(
+    df: DataFrame, keys: Sequence[str], spec: Summary, name: str, column: str, digits: int
+) -> DataFrame:
+    parts = [_PICK[how](c).alias(f"_s_{n}") for n, (how, c) in spec.spans.items()]
+    parts += [F.count_if(cond).alias(f"_f_{n}") for n, cond in spec.flags.items()]
+    parts += [x for n, (c, _) in spec.means.items() for x in (F.sum(c).alias(f"_t_{n}"), F.count(c).alias(f"_k_{n}"))]
+    counted = df.groupBy(*keys, F.col(column).cast("double").alias("_v")).agg(F.count(F.lit(1)).alias("_c"), *parts)
+    whole = [_PICK[how](f"_s_{n}").alias(n) for n, (how, _) in spec.spans.items()]
+    whole.append(F.sum("_c").alias(spec.total))
+    whole += [F.sum(f"_f_{n}").alias(n) for n in spec.flags]
+    for n, (_, d) in spec.means.items():
+        mean = F.sum(f"_t_{n}") / F.nullif(F.sum(f"_k_{n}"), F.lit(0))
+        whole.append(round_exact(mean, d).alias(n))
+    whole.append(round_exact(at_rank(0.5), digits).alias(name))
+    return with_ranks(counted, keys).groupBy(*keys).agg(*whole)
 
 
 def with_rates(df: DataFrame, rates: Mapping[str, str], total: str = "nb_dpe") -> DataFrame:

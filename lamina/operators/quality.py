@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lamina.functions import fixed
@@ -107,6 +107,41 @@ def reject_rows(df: DataFrame, keep: Sequence[str]) -> DataFrame:
     return rejects(df).select(*keep, reject_motive().alias("motif_rejet"))
 
 
+def tally(df: DataFrame) -> DataFrame:
+    """Rows per motive and flags: one pass over the prepared rows, a few dozen rows out."""
+    flags = ["motif_rejet", "est_valide", "est_remplace", "geocodage_fiable"]
+    return df.groupBy(*flags).agg(F.count(F.lit(1)).alias("n"))
+
+
+def metrics_of(counted: DataFrame, bronze_rows: Column | None = None) -> DataFrame:
+    """The long metrics table from a ``tally``: every counter, also at 0, and every motive.
+
+    ``bronze_rows`` is the number of rows before dedup; without it, those of the tally.
+    """
+    n, valid, superseded = F.col("n"), F.col("est_valide"), F.col("est_remplace")
+    counters = {
+        "apres_deduplication": F.lit(True),
+        "remplaces": superseded,
+        "rejetes": ~valid,
+        "retenus": valid & ~superseded,
+        "geocodage_non_fiable": valid & ~F.col("geocodage_fiable"),
+    }
+    if bronze_rows is None:
+        counters = {"lignes_bronze": F.lit(True), **counters}
+
+    def entry(name: Column, value: Column) -> Column:
+        return F.struct(name.alias("metrique"), value.cast("bigint").alias("valeur"))
+
+    entries = [entry(F.lit(m), F.when(cond, n).otherwise(F.lit(0))) for m, cond in counters.items()]
+    motive = entry(F.concat(F.lit(fixed.METRIC_MOTIVE_PREFIX), F.col("motif_rejet")), n)
+    listed = counted.select(F.inline(F.array(*entries, motive))).filter("metrique is not null")
+    fixed_rows = [entry(F.lit(m), F.lit(0)) for m in counters]
+    if bronze_rows is not None:
+        fixed_rows.append(entry(F.lit("lignes_bronze"), bronze_rows))
+    start = counted.sparkSession.range(1).select(F.inline(F.array(*fixed_rows)))
+    return listed.unionByName(start).groupBy("metrique").agg(F.sum("valeur").alias("valeur"))
+
+
 def run_counters(df: DataFrame) -> DataFrame:
     """One row of counters from one pass over the prepared rows."""
     valid, superseded = F.col("est_valide"), F.col("est_remplace")
@@ -125,19 +160,8 @@ def reject_histogram(df: DataFrame) -> DataFrame:
     return counted.orderBy(F.desc("n"), "motif_rejet")
 
 
-def metrics_table(counters: DataFrame, histogram: DataFrame) -> DataFrame:
-    """Long ``(metrique, valeur)`` table: one row per counter, then one per motive."""
-    names = [n for n in fixed.METRIC_NAMES if n in counters.columns]
-    long = counters.unpivot([], names, "metrique", "valeur").withColumn("valeur", F.col("valeur").cast("bigint"))
-    motives = histogram.select(
-        F.concat(F.lit(fixed.METRIC_MOTIVE_PREFIX), F.col("motif_rejet")).alias("metrique"),
-        F.col("n").alias("valeur"),
-    )
-    return long.unionByName(motives)
-
-
 def with_share(metrics: DataFrame, total: str = "lignes_bronze") -> DataFrame:
     """Adds each value's percentage of the ``total`` metric as text, ``-`` when it is 0."""
-    whole = metrics.filter(F.col("metrique") == total).agg(F.max("valeur").alias("v")).scalar()
-    share = rate(F.col("valeur"), whole)
+    here = F.when(F.col("metrique") == total, F.col("valeur"))
+    share = rate(F.col("valeur"), F.max(here).over(Window.partitionBy()))  # one row per metric
     return metrics.withColumn("part", F.coalesce(F.concat(share.cast("string"), F.lit("%")), F.lit("-")))

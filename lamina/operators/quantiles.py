@@ -1,66 +1,81 @@
 """Exact interpolated quantiles that hold when one group has most of the rows.
 
-Spark's ``percentile`` is exact but keeps every distinct value of a group in the
-memory of one task.  That is right while a group has a bounded number of distinct
-values, so the number is looked up first (one scan of two columns, one row to the
-driver).  Above the limit the target ranks are closed in instead: approximate
-quantiles give a fence on each side, one aggregation counts exactly what lies outside
-and keeps only the distinct values between, and a second fence inside the first makes
-what is left a few millionths of the group.  No raw row is shuffled in either case.
-
-Approximation only decides how much is kept, never the answer: ranks are exact counts,
-and a rank that does not fall on a kept value stops the query.
+Three methods give the same answers; the caller chooses, and no job runs while a plan is
+built:
+
+``counts`` (the default) counts each group's distinct values, map-side first, and reads the
+target ranks off the running counts.  A group's distinct values are sorted in one task,
+which spills; no raw row is shuffled and no state grows in memory.
+
+``state`` is Spark's ``percentile``: one aggregation, but the distinct values of a group are
+kept in the memory of a task.  For columns with a known, modest number of values.
+
+``fenced`` also holds when a single group has billions of distinct values.  Approximate
+quantiles give a fence on each side of a target rank, one aggregation counts exactly what
+lies outside and keeps only the distinct values between, and a second fence inside the
+first makes what is left a few millionths of the group.  Approximation only decides how
+much is kept, never the answer: ranks are exact counts, and a rank that does not fall on a
+kept value stops the query.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
-MAX_STATE = 200_000
-BROADCAST_GROUPS = 50_000
+METHODS = ("counts", "state", "fenced")
 ACCURACY = 10_000
 MARGIN = 0.001
 STEPS = 1000
 
 
-@dataclass(frozen=True)
-class GroupSizes:
-    """Largest number of distinct values in a group, and the number of groups."""
-
-    distinct: int
-    groups: int
-
-
-def group_sizes(df: DataFrame, keys: Sequence[str], values: Sequence[str]) -> GroupSizes:
-    per_group = df.groupBy(*keys).agg(
-        F.greatest(*[F.approx_count_distinct(v) for v in values], F.lit(0)).alias("d")
-    )
-    row = per_group.agg(F.max("d").alias("distinct"), F.count(F.lit(1)).alias("groups")).first()
-    return GroupSizes(row["distinct"] or 0, row["groups"])
-
-
-def fits_in_state(df: DataFrame, keys: Sequence[str], values: Sequence[str], max_state: int = MAX_STATE) -> bool:
-    return group_sizes(df, keys, values).distinct <= max_state
-
-
 def exact_quantiles(
     df: DataFrame,
     keys: Sequence[str],
     value: str,
     probs: Mapping[str, float],
-    max_state: int = MAX_STATE,
+    method: str = "counts",
     small_group: int = 10_000,
 ) -> DataFrame:
     """One row per group with a column per named probability (null without values)."""
-    sizes = group_sizes(df, keys, [value])
-    if sizes.distinct <= max_state:
+    if method not in METHODS:
+        raise ValueError(f"method must be one of {METHODS}")
+    if method == "fenced":
+        return fenced_quantiles(df, keys, value, probs, small_group)
+    if method == "state":
         found = df.groupBy(*keys).agg(F.percentile(F.col(value), list(probs.values())).alias("_q"))
         return found.select(*keys, *[F.get("_q", F.lit(i)).alias(n) for i, n in enumerate(probs)])
-    return fenced_quantiles(df, keys, value, probs, sizes.groups <= BROADCAST_GROUPS, small_group)
+    counted = df.groupBy(*keys, F.col(value).cast("double").alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
+    ranked = with_ranks(counted, keys)
+    return ranked.groupBy(*keys).agg(*[at_rank(p).alias(n) for n, p in probs.items()])
+
+
+def with_ranks(counted: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Adds the ranks [_from, _to) of each (group, ``_v``) of ``_c`` rows, and the group's ``_n`` values.
+
+    Null values have no ranks.
+    """
+    known = F.when(F.col("_v").isNotNull(), F.col("_c")).otherwise(F.lit(0))
+    group = Window.partitionBy(*keys)
+    upto = group.orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return counted.withColumns({"_to": F.sum(known).over(upto), "_n": F.sum(known).over(group)}).withColumn(
+        "_from", F.col("_to") - known
+    )
+
+
+def at_rank(prob: float) -> Column:
+    """Aggregate of a group's ranked values: the interpolated quantile."""
+    position = (F.col("_n") - 1) * F.lit(prob)
+
+    def value_at(rank: Column) -> Column:
+        return F.max(F.when((rank >= F.col("_from")) & (rank < F.col("_to")), F.col("_v")))
+
+    low_rank, high_rank = F.floor(position), F.ceil(position)
+    low, high, at = value_at(low_rank), value_at(high_rank), F.max(position)
+    between = (F.ceil(at) - at) * low + (at - F.floor(at)) * high
+    return F.when(low == high, low).otherwise(between)
 
 
 def fenced_quantiles(
@@ -68,17 +83,20 @@ def fenced_quantiles(
     keys: Sequence[str],
     value: str,
     probs: Mapping[str, float],
-    few_groups: bool = False,
     small_group: int = 10_000,
 ) -> DataFrame:
-    """Quantiles by two rounds of fencing; ``few_groups`` lets the fences be broadcast."""
+    """Quantiles by two rounds of fencing.
+
+    ``df`` is planned three times, so it should be a scan or stored.  Fences are joined
+    without a hint: Spark broadcasts them if it finds them small.
+    """
     names = list(probs)
     rows = df.select(*keys, F.col(value).cast("double").alias("_v"))
     valid = rows.filter(F.col("_v").isNotNull())
 
     first = _first_fences(valid, keys, probs, small_group)
-    second = _second_fences(_attach(valid, first, keys, few_groups), keys, probs, small_group)
-    kept = _kept_values(_attach(valid, second, keys, few_groups), keys, len(names))
+    second = _second_fences(_attach(valid, first, keys), keys, probs, small_group)
+    kept = _kept_values(_attach(valid, second, keys), keys, len(names))
     found = _pick(kept, keys, probs)
     if not keys:
         return found
@@ -87,7 +105,7 @@ def fenced_quantiles(
     return found.unionByName(groups, allowMissingColumns=True)
 
 
-def _attach(rows: DataFrame, fences: DataFrame, keys: Sequence[str], few_groups: bool) -> DataFrame:
+def _attach(rows: DataFrame, fences: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Puts each group's fences beside its rows.
 
     Without keys the fences are a single row of fixed width and become literals, which
@@ -97,7 +115,7 @@ def _attach(rows: DataFrame, fences: DataFrame, keys: Sequence[str], few_groups:
         row: Row = fences.first()
         types = dict(fences.dtypes)
         return rows.select("*", *[F.lit(row[n]).cast(types[n]).alias(n) for n in fences.columns])
-    return join_groups(rows, F.broadcast(fences) if few_groups else fences, keys)
+    return join_groups(rows, fences, keys)
 
 
 def join_groups(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
@@ -194,6 +212,7 @@ def _kept_values(rows: DataFrame, keys: Sequence[str], n_probs: int) -> DataFram
 
 
 def _pick(kept: DataFrame, keys: Sequence[str], probs: Mapping[str, float]) -> DataFrame:
+    # Without keys this window is one task's; the fences bound its rows.
     w = Window.partitionBy(*keys).orderBy("_min", "_max").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ranked = kept.withColumn("_to", F.sum("_c").over(w)).withColumn("_from", F.col("_to") - F.col("_c"))
 

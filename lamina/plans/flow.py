@@ -2,19 +2,22 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import datetime as dt
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lamina.functions import fixed
-from lamina.operators.checks import gate, run_checks
-from lamina.operators.ledger import load_report, manifest
+from lamina.operators.checks import check_freshness, gate, run_checks
+from lamina.operators.ledger import divided, load_accounts, load_report, manifest, only_months
+from lamina.operators.quality import with_share
 from lamina.plans import gold
 from lamina.plans.contracts import all_contracts
 from lamina.plans.silver import SilverPaths, build_silver, silver_schemas
 from lamina.sources.exports import Export, export_all
 from lamina.sources.landing import read_landing
-from lamina.sources.tables import bronze_schema, read_table, with_month_keys, write_partitions
+from lamina.sources.tables import bronze_schema, dropped_by_window, read_table, with_month_keys, write_partitions
 from lamina.sources.warehouse import Sink, load_table, parquet_sink
 
 MONTH_KEYS = ("annee", "mois")
@@ -33,6 +36,11 @@ class Lake:
     def bronze(self) -> str:
         return self.path("bronze", "dpe_existant")
 
+    @property
+    def out_of_load(self) -> str:
+        """Landed rows that belong to no month of their load, by load."""
+        return self.path("bronze", "hors_chargement")
+
     @property
     def ledger(self) -> str:
         return self.path("bronze", "ledger")
@@ -42,25 +50,48 @@ class Lake:
         return SilverPaths.under(f"{self.root}/silver")
 
 
-def load_bronze(spark: SparkSession, lake: Lake, landing: str, announced: DataFrame, source_filter: Column) -> DataFrame:
-    """Lands CSV files as the months they belong to and records what was written.
+def load_bronze(
+    spark: SparkSession, lake: Lake, landing: str, announced: DataFrame, source_filter: Column, load: str | None = None
+) -> DataFrame:
+    """Lands CSV files as the requested months and records what was written.
 
     ``announced`` holds the rows that the source announces per ``annee``, ``mois`` as
-    ``annonces``, for the months of this load; the ledger keeps the records of the
-    others.  Returns the load report.
+    ``annonces``, for the months that this load requests.  Only these months are written,
+    each as a whole, so that a load never replaces part of another's.  Rows of other months
+    and rows without a readable date are kept in ``Lake.out_of_load`` under the load's name
+    (``load``, or the requested months), and a load of that name replaces them.
+
+    Returns the load report with the numbers of such rows.
     """
+    months = [(r["annee"], r["mois"]) for r in announced.select(*MONTH_KEYS).distinct().collect()]  # what one load requests
+    name = load or "_".join(f"{a:04d}-{m:02d}" for a, m in sorted(months))
     rows = with_month_keys(read_landing(spark, landing), fixed.PARTITION_DATE)
-    write_partitions(rows, lake.bronze, MONTH_KEYS, "dynamic")
-    record = manifest(read_bronze(spark, lake), announced, source_filter)
+    inside, outside = divided(rows, months)
+    write_partitions(inside, lake.bronze, MONTH_KEYS, "dynamic")
+    write_partitions(outside.withColumn("chargement", F.lit(name)), lake.out_of_load, ["chargement"], "dynamic")
+    record = manifest(only_months(_months_of_bronze(spark, lake), months), announced, source_filter)
     write_partitions(record, lake.ledger, MONTH_KEYS, "dynamic")
-    loaded = read_table(spark, lake.ledger).join(announced.select(*MONTH_KEYS), list(MONTH_KEYS), "left_semi")
-    return load_report(loaded)
+    loaded = only_months(read_table(spark, lake.ledger), months)
+    return load_accounts(load_report(loaded), _out_of_load(spark, lake).filter(F.col("chargement") == name))
 
 
-def read_bronze(spark: SparkSession, lake: Lake) -> DataFrame:
+def _months_of_bronze(spark: SparkSession, lake: Lake) -> DataFrame:
     return read_table(spark, lake.bronze, bronze_schema())
 
 
+def _out_of_load(spark: SparkSession, lake: Lake) -> DataFrame:
+    return read_table(spark, lake.out_of_load, bronze_schema().add("chargement", "string"))
+
+
+def read_bronze(spark: SparkSession, lake: Lake) -> DataFrame:
+    """The loaded months, and the undated rows of all loads: silver rejects these with a motive.
+
+    Stray rows of other months stay out until their month is loaded.
+    """
+    undated = _out_of_load(spark, lake).filter("annee is null").drop("chargement")
+    return _months_of_bronze(spark, lake).unionByName(undated)
+
+
 def read_silver(spark: SparkSession, lake: Lake) -> tuple[DataFrame, DataFrame]:
     """Current rows and rejects under their declared schemas, so that region codes stay text."""
     current, rejects = silver_schemas(spark)
@@ -70,19 +101,21 @@ def read_silver(spark: SparkSession, lake: Lake) -> tuple[DataFrame, DataFrame]:
 def load_warehouse(
     spark: SparkSession, lake: Lake, since: int | None = None, sinks: dict[str, Sink] | None = None
 ) -> dict[str, int]:
-    """Loads both silver tables through the sinks, or as Parquet tables of the lake.
-
-    Only sinks that were given, such as a database, get a bounded number of writers.
-    """
+    """Loads both silver tables through the sinks, or as Parquet tables of the lake."""
     current, rejects = read_silver(spark, lake)
     out = sinks or {n: parquet_sink(lake.path("warehouse", n)) for n in ("dpe_courant", "dpe_rejets")}
-    bound = None if sinks is None else fixed.MAX_WRITERS
     return {
-        "dpe_courant": load_table(current, out["dpe_courant"], fixed.WAREHOUSE_COLUMNS, since, bound),
-        "dpe_rejets": load_table(rejects, out["dpe_rejets"], (), since, bound),
+        "dpe_courant": load_table(current, out["dpe_courant"], fixed.WAREHOUSE_COLUMNS, since),
+        "dpe_rejets": load_table(rejects, out["dpe_rejets"], (), since),
     }
 
 
+def outside_window(spark: SparkSession, lake: Lake) -> dict[str, int]:
+    """Silver rows that no year window can ever see, because they have no year."""
+    current, rejects = read_silver(spark, lake)
+    return {n: dropped_by_window(df).first()["n_rows"] for n, df in (("dpe_courant", current), ("dpe_rejets", rejects))}
+
+
 def build_gold(spark: SparkSession, lake: Lake, reference: DataFrame) -> dict[str, DataFrame]:
     """Writes the fact, the dimension and the marts in dependency order; returns all tables.
 
@@ -121,6 +154,17 @@ def exports_of(tables: dict[str, DataFrame]) -> dict[str, Export]:
     return out
 
 
+@dataclass(frozen=True)
+class RunReport:
+    """What a run did: exported rows, loaded rows, rows without a year, shares, checks."""
+
+    exported: dict[str, int]
+    loaded: dict[str, int]
+    outside_window: dict[str, int] = field(default_factory=dict)
+    shares: dict[str, str] = field(default_factory=dict)
+    checks: list = field(default_factory=list)
+
+
 def run(
     spark: SparkSession,
     lake: Lake,
@@ -128,12 +172,23 @@ def run(
     as_of: Column | None = None,
     since: int | None = None,
     overwrite: str = "static",
-) -> dict[str, int]:
-    """Everything after bronze; stops before the exports if a contract is broken."""
+    fresh_at: dt.datetime | Column | None = None,
+) -> RunReport:
+    """Everything after bronze; stops before the exports if a contract is broken.
+
+    The age of the newest certificate is checked at ``fresh_at`` (now, unless given); it
+    warns, and an old slice is reported as ``error`` but does not stop the run.
+    """
     build_silver(read_bronze(spark, lake), lake.silver, as_of, overwrite)
-    load_warehouse(spark, lake, since)
+    metrics = with_share(spark.read.parquet(lake.silver.metrics))
+    shares = {r["metrique"]: r["part"] for r in metrics.collect()}  # a row per metric
+    loaded = load_warehouse(spark, lake, since)
     tables = build_gold(spark, lake, reference)
     summary = run_checks(tables, all_contracts(tables))
     summary.write.mode("overwrite").parquet(lake.path("gold", "checks"))
-    gate(spark.read.parquet(lake.path("gold", "checks")))
-    return export_all(exports_of(tables), lake.path("exports", "report"))
+    checked = gate(spark.read.parquet(lake.path("gold", "checks")))
+    now = F.current_timestamp() if fresh_at is None else fresh_at
+    fresh = check_freshness(tables["dpe_courant"], "date_etablissement_dpe", "dpe_courant", now).collect()
+    exported = export_all(exports_of(tables), lake.path("exports", "report"))
+    lost = outside_window(spark, lake) if since is not None else {}
+    return RunReport(exported, loaded, lost, shares, [*checked, *fresh])

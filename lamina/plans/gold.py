@@ -10,7 +10,7 @@ from lamina.functions.bands import display_label, display_rank
 from lamina.functions.codes import derive_parent, name_or_unknown
 from lamina.functions.measures import product_round, ratio
 from lamina.operators.clean import project_present, rename
-from lamina.operators.labels import centroids, mode_label
+from lamina.operators.labels import described_points
 from lamina.operators.marts import Summary, centres, label_flags, summarise, with_rates
 
 X, Y = "centroide_x_lambert93", "centroide_y_lambert93"
@@ -49,14 +49,16 @@ def fact(staged: DataFrame) -> DataFrame:
 
 
 def dim_commune(staged: DataFrame) -> DataFrame:
-    """One row per place: most frequent description, parent code and centroid."""
+    """One row per place: most frequent description, parent code and centroid.
+
+    One pass over the facts: counts and sums per place and description, from which both
+    the most frequent description and the centroid follow.
+    """
     placed = staged.filter(F.col("code_commune").isNotNull())
-    described = mode_label(placed, "code_commune", ["nom_commune", "code_departement", "code_region"])
-    points = centroids(
-        placed, "code_commune", "coord_x_lambert93", "coord_y_lambert93",
-        F.col("geocodage_precis"), X, Y, "nb_points",
-    )
-    return described.join(points, "code_commune", "left").select(
+    return described_points(
+        placed, "code_commune", ["nom_commune", "code_departement", "code_region"],
+        "coord_x_lambert93", "coord_y_lambert93", F.col("geocodage_precis"), X, Y, "nb_points",
+    ).select(
         "code_commune",
         "nom_commune",
         derive_parent(F.col("code_commune"), F.col("code_departement")).alias("code_departement"),

@@ -23,17 +23,18 @@ from lamina.operators.quality import (
     Rule,
     apply_quality,
     current,
-    metrics_table,
-    reject_histogram,
+    metrics_of,
     reject_rows,
-    run_counters,
     standard_rules,
     status_flags,
+    tally,
 )
 from lamina.sources.shared import materialise
 from lamina.sources.tables import bronze_schema, write_metrics, write_partitions
 
 CURRENT_KEYS = ("code_region_ban", "annee_etablissement")
+# What deals rows without a key over the partitions; the rules read these columns anyway.
+KEYLESS_SPREAD = ("date_etablissement_dpe", "code_insee_ban", "surface_habitable_logement", "conso_5_usages_par_m2_ep")
 REJECT_KEYS = ("annee_etablissement",)
 REJECT_COLUMNS = ("numero_dpe", "date_etablissement_dpe", "code_region_ban", "annee_etablissement")
 
@@ -78,7 +79,8 @@ def prepare(
     """
     once = materialise(latest(bronze, order, keep_null_keys), "latest", work)
     replaced = materialise(superseded_keys(once, fixed.PRIMARY_KEY, "numero_dpe_remplace"), "superseded", work)
-    return judge(mark_listed(once, fixed.PRIMARY_KEY, replaced), as_of, rules)
+    spread = [c for c in KEYLESS_SPREAD if c in once.columns]
+    return judge(mark_listed(once, fixed.PRIMARY_KEY, replaced, spread=spread), as_of, rules)
 
 
 def judge(marked: DataFrame, as_of: Column | None = None, rules: Sequence[Rule] | None = None) -> DataFrame:
@@ -103,10 +105,8 @@ def rejected_rows(prepared: DataFrame) -> DataFrame:
 
 
 def metrics(bronze: DataFrame, prepared: DataFrame) -> DataFrame:
-    """Bronze rows, the run counters and the motives, as one long table."""
-    counted = bronze.agg(F.count(F.lit(1)).alias("lignes_bronze")).scalar()
-    counters = run_counters(prepared).withColumn("lignes_bronze", counted)
-    return metrics_table(counters, reject_histogram(prepared))
+    """Bronze rows, the run counters and the motives, as one long table, from one pass over each."""
+    return metrics_of(tally(prepared), bronze.agg(F.count(F.lit(1)).alias("lignes_bronze")).scalar())
 
 
 @dataclass(frozen=True)

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import csv
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 from functools import reduce
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,19 +18,39 @@ from lamina.operators.clean import normalise_names, project_present
 BOM = "\ufeff"
 
 
+def first_lines() -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Passes on the first line of each file that begins in a task.
+
+    Lines of a file come in order.  A split that does not reach its file's end fills its
+    task, so a task that begins with one has no other file and stops after a batch.
+    """
+
+    def run(batches):
+        seen: set[str] = set()
+        for batch in batches:
+            lines, files, starts, lengths, sizes = (batch.column(i) for i in range(5))
+            rows: tuple[list[str], list[str]] = ([], [])
+            named = files.dictionary_encode()
+            for i, file in enumerate(named.dictionary.to_pylist()):
+                at = pc.index(named.indices, pa.scalar(i, named.indices.type)).as_py()
+                if file not in seen and starts[at].as_py() == 0:
+                    rows[0].append(file)
+                    rows[1].append(lines[at].as_py())
+                seen.add(file)
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in rows], ["file", "header"])
+            if batch.num_rows and len(seen) == 1 and starts[0].as_py() + lengths[0].as_py() < sizes[0].as_py():
+                return
+
+    return run
+
+
 def file_headers(spark: SparkSession, path: str) -> DataFrame:
     """``(file, header)`` of every file that has a first line.
 
-    The first line is the earliest line of the split that starts the file; that split
-    is read by one task, where the running id follows the order of the lines.
+    Tasks pass over their lines without sorting or shuffling them.
     """
-    lines = spark.read.text(path).select(
-        "value",
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("start"),
-        F.monotonically_increasing_id().alias("position"),
-    )
-    first = lines.filter(F.col("start") == 0).groupBy("file").agg(F.min_by("value", "position").alias("header"))
+    meta = [F.col(f"_metadata.{n}").alias(n) for n in ("file_path", "file_block_start", "file_block_length", "file_size")]
+    first = spark.read.text(path).select("value", *meta).mapInArrow(first_lines(), "file string, header string")
     clean = F.trim(F.regexp_replace(F.col("header"), f"^{BOM}", ""))
     return first.select("file", clean.alias("header")).filter(F.col("header") != "")
 
@@ -42,16 +64,16 @@ def read_landing(
     """The listed columns as text, from CSV files whose headers may differ.
 
     Files are read in one go per distinct header, with an all-text schema, then brought
-    together by repaired column name; columns that no file has are null.  Only the
-    distinct headers come to the driver, and file lists only when headers differ.
+    together by repaired column name; columns that no file has are null.  The driver
+    holds one entry per file, as Spark's own file listing does.
     """
-    headers = file_headers(spark, path)
-    distinct = [r["header"] for r in headers.select("header").distinct().orderBy("header").collect()]
-    if len(distinct) == 1:
-        parts = [_read_group(spark, path, distinct[0])]
+    groups: dict[str, list[str]] = {}
+    for row in file_headers(spark, path).toLocalIterator():
+        groups.setdefault(row["header"], []).append(row["file"])
+    if len(groups) == 1:
+        parts = [_read_group(spark, path, next(iter(groups)))]
     else:
-        groups = headers.groupBy("header").agg(F.collect_list("file").alias("files")).orderBy("header").collect()
-        parts = [_read_group(spark, g["files"], g["header"]) for g in groups]
+        parts = [_read_group(spark, sorted(files), header) for header, files in sorted(groups.items())]
     empty = spark.createDataFrame([], T.StructType([T.StructField(n, T.StringType()) for n in columns]))
     parts = [project_present(normalise_names(p), columns) for p in parts]
     merged = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts, empty)

@@ -2,23 +2,31 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-def shared_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under the cluster's ``spark.checkpoint.dir``.
+def shared_root(spark: SparkSession) -> str | None:
+    return spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+
+
+def default_to_warehouse(spark: SparkSession) -> SparkSession:
+    """Where no folder is set, intermediate tables go beside the session's warehouse tables.
 
-    Only a local session, where one machine is the whole cluster, may fall back on a
-    temporary folder.
+    The warehouse is shared by definition, so this holds on a cluster too.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not shared_root(spark):
+        warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+        spark.conf.set("spark.checkpoint.dir", f"{warehouse}/_intermediate")
+    return spark
+
+
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A fresh path under the cluster's ``spark.checkpoint.dir``, which must be set."""
+    root = shared_root(spark)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="lamina-")
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 

@@ -30,28 +30,34 @@ def load_table(
     sink: Sink,
     columns: Sequence[str] = (),
     since: int | None = None,
-    max_parts: int | None = fixed.MAX_WRITERS,
+    max_parts: int | None = None,
     rows_per_part: int = fixed.ROWS_PER_WRITER,
 ) -> int:
-    """Writes the slice through ``sink`` on a bounded number of writers; returns the rows.
+    """Writes the slice through ``sink``; returns the rows.
 
-    The count reads no column data from Parquet.  The bound is the number of
-    connections that the receiving database stands: raise ``max_parts`` for one that
-    takes more.  None, for file sinks, writes from every task without a shuffle.
+    The count reads no column data from Parquet.  Every task writes, without a shuffle,
+    unless the sink bounds its writers or ``max_parts`` does.
     """
     part = warehouse_slice(df, columns, since)
     rows = part.count()
-    sink(part if max_parts is None else part.repartition(write_parallelism(rows, max_parts, rows_per_part)))
+    bound = max_parts or getattr(sink, "max_writers", None)
+    sink(part.repartition(write_parallelism(rows, bound, rows_per_part)) if bound else part)
     return rows
 
 
-def jdbc_sink(url: str, table: str, properties: Mapping[str, str], batch: int = fixed.JDBC_BATCH) -> Sink:
-    """Batched overwrite that truncates and so keeps the table, its indexes and grants."""
+def jdbc_sink(
+    url: str, table: str, properties: Mapping[str, str], batch: int = fixed.JDBC_BATCH, max_writers: int = fixed.MAX_WRITERS
+) -> Sink:
+    """Batched overwrite that truncates and so keeps the table, its indexes and grants.
+
+    ``max_writers`` is the number of connections that the receiving database stands.
+    """
 
     def write(df: DataFrame) -> None:
         writer = df.write.mode("overwrite").option("truncate", True).option("batchsize", batch)
         writer.jdbc(url, table, properties=dict(properties))
 
+    write.max_writers = max_writers
     return write
 
 

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lamina.operators.marts import Summary, summarise
-from lamina.operators.quantiles import exact_quantiles, fenced_quantiles
+from lamina.operators.quantiles import METHODS, exact_quantiles, fenced_quantiles
 
 PROBS = {"lo": 0.0, "p1": 0.01, "p50": 0.5, "p90": 0.9, "hi": 1.0}
 
@@ -41,16 +41,15 @@ def check(found, rows):
                 assert r[name] is None
 
 
-@pytest.mark.parametrize("few_groups", [True, False])
-def test_fenced_quantiles_are_exact(spark, rows, few_groups):
+@pytest.mark.parametrize("method", METHODS)
+def test_methods_agree(spark, rows, method):
     df = spark.createDataFrame(rows, "k string, v double").repartition(5)
-    check(fenced_quantiles(df, ["k"], "v", PROBS, few_groups, small_group=100).collect(), rows)
+    check(exact_quantiles(df, ["k"], "v", PROBS, method, small_group=100).collect(), rows)
 
 
-def test_state_limit_chooses_the_way_and_not_the_result(spark, rows):
-    df = spark.createDataFrame(rows, "k string, v double").repartition(5)
-    check(exact_quantiles(df, ["k"], "v", PROBS).collect(), rows)
-    check(exact_quantiles(df, ["k"], "v", PROBS, max_state=100, small_group=100).collect(), rows)
+def test_unknown_method(spark):
+    with pytest.raises(ValueError):
+        exact_quantiles(spark.range(1), [], "id", PROBS, "guess")
 
 
 @pytest.mark.parametrize("small", [10, 10**6])
@@ -64,15 +63,28 @@ def test_whole_column(spark, rows, small):
 
 def test_fenced_plan_never_holds_a_whole_group(spark, rows):
     df = spark.createDataFrame(rows, "k string, v double").repartition(5)
-    plan = fenced_quantiles(df, ["k"], "v", PROBS, True, 100)._jdf.queryExecution().optimizedPlan().toString()
+    plan = fenced_quantiles(df, ["k"], "v", PROBS, 100)._jdf.queryExecution().optimizedPlan().toString()
     assert "percentile(" not in plan.replace("percentile_approx(", "")
     assert "collect_list" not in plan
 
 
-def test_summary_is_the_same_on_both_sides_of_the_limit(spark, rows):
+@pytest.mark.parametrize("method", ["state", "fenced"])
+def test_summary_is_the_same_by_each_method(spark, rows, method):
     df = spark.createDataFrame(rows, "k string, v double").withColumn("w", F.lit(1.25))
     spec = Summary(flags={"big": F.col("v") > 10}, means={"m": ("w", 1)}, medians={"med": ("v", 1)})
-    small, large = summarise(df, ["k"], spec), summarise(df, ["k"], spec, max_state=10)
+    small, large = summarise(df, ["k"], spec), summarise(df, ["k"], spec, method)
     assert small.columns == large.columns
     assert sorted(map(str, small.collect())) == sorted(map(str, large.collect()))
     assert {r["k"]: r["nb_dpe"] for r in large.collect()} == {"hot": 30000, "tied": 8000, None: 4, "one": 2, "none": 1}
+
+
+def test_no_job_runs_while_a_summary_is_planned(spark):
+    spec = Summary(means={"m": ("v", 1)}, medians={"med": ("v", 1)})
+    df = spark.range(1000).selectExpr("id % 3 as k", "cast(id as double) as v")
+    spark.sparkContext.setJobGroup("planning", "planning")
+    try:
+        planned = summarise(df, ["k"], spec)
+        assert list(spark.sparkContext.statusTracker().getJobIdsForGroup("planning")) == []
+        assert planned.count() == 3
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)

@@ -12,7 +12,7 @@ from lamina.operators.checks import ContractError, check_freshness, gate, is_tru
 from lamina.plans.flow import Lake, load_bronze, load_warehouse, read_bronze, read_silver, run
 from lamina.plans.reference import builtin_reference
 from lamina.sources import exports
-from lamina.sources.landing import read_landing
+from lamina.sources.landing import file_headers, read_landing
 from lamina.sources.shared import shared_path
 from lamina.sources.tables import dropped_by_window, read_table, write_partitions, year_window
 from lamina.sources.warehouse import jdbc_sink, load_table, write_parallelism
@@ -100,6 +100,7 @@ def test_load_goes_through_the_sink_with_bounded_writers(spark):
         seen["partitions"], seen["columns"] = df.rdd.getNumPartitions(), df.columns
 
     rows = spark.range(0, 100, 1, 5).withColumn("annee_etablissement", F.lit(2020) + (F.col("id") % 10).cast("int"))
+    sink.max_writers = 8
     assert load_table(rows, sink, ["id", "nope"], since=2025, rows_per_part=20) == 50
     assert seen == {"partitions": 3, "columns": ["id"]}
 
@@ -241,7 +242,7 @@ def test_whole_flow(spark, tmp_path):
 
     as_of = F.lit(dt.date(2024, 6, 1))
     rows = run(spark, with_missing(spark, lake), builtin_reference(spark), as_of)
-    assert rows == {
+    assert rows.exported == {
         "dim_commune": 3, "mart_performance_commune": 3, "mart_performance_departement": 2,
         "mart_profil_batiment": 1, "fct_dpe": 4,
     }
@@ -257,8 +258,11 @@ def test_whole_flow(spark, tmp_path):
     located = spark.read.option("header", True).csv(lake.path("exports/report", "mart_performance_departement"))
     point = located.filter("code_departement = '05'").first()
     assert (round(float(point["latitude"]), 1), round(float(point["longitude"]), 1)) == (44.5, 6.1)
-    again = run(spark, lake, builtin_reference(spark), as_of)
-    assert again == rows
+    assert rows.loaded == {"dpe_courant": 4, "dpe_rejets": 2} and rows.outside_window == {}
+    assert rows.shares["lignes_bronze"] == "100.00%" and rows.shares["retenus"] == "57.14%"
+    assert [c["check"] for c in rows.checks].count("freshness") == 1
+    again = run(spark, lake, builtin_reference(spark), as_of, since=2024)
+    assert again.exported == rows.exported and again.outside_window == {"dpe_courant": 0, "dpe_rejets": 0}
     assert load_warehouse(spark, lake, since=2025) == {"dpe_courant": 0, "dpe_rejets": 0}
 
 
@@ -274,3 +278,34 @@ def test_broken_contract_stops_before_the_exports(spark, tmp_path):
     with pytest.raises(ContractError):
         run(spark, lake, builtin_reference(spark))
     assert not (tmp_path / "lake" / "exports").exists()
+
+
+def test_a_load_never_replaces_rows_of_another(spark, tmp_path):
+    """February, then March with a stray February row; both with an undated row."""
+    lake = Lake(str(tmp_path / "lake"))
+    february = [certificate(k, day="2024-02-03") for k in "ABC"]
+    first = load(spark, lake, tmp_path / "m2", [*february, certificate("U1", day="?")], [(2024, 2, 3)])
+    assert (first["total_rows"], first["incomplete"], first["hors_chargement"], first["sans_date"]) == (3, [], 0, 1)
+    march = [certificate("M"), certificate("STRAY", day="2024-02-09"), certificate("U2", day="")]
+    for _ in range(2):  # a load of the same months replaces itself
+        second = load(spark, lake, tmp_path / "m3", march, [(2024, 3, 1)])
+        assert (second["total_rows"], second["incomplete"], second["hors_chargement"], second["sans_date"]) == (1, [], 1, 1)
+    assert {r["numero_dpe"] for r in read_bronze(spark, lake).collect()} == {"A", "B", "C", "M", "U1", "U2"}
+    recorded = {r["mois"]: (r["rows_written"], r["is_complete"]) for r in spark.read.parquet(lake.ledger).collect()}
+    assert recorded == {2: (3, True), 3: (1, True)}
+    run(spark, lake, builtin_reference(spark), F.lit(dt.date(2024, 6, 1)), since=2024)
+    _, rejects = read_silver(spark, lake)
+    assert {r["numero_dpe"]: r["motif_rejet"] for r in rejects.collect()} == {"U1": "date_etablissement_absente", "U2": "date_etablissement_absente"}
+
+
+def test_first_lines_without_reading_on(spark, tmp_path):
+    """Small files share a task, a large one is split over several."""
+    for i in range(5):
+        (tmp_path / f"{i}.csv").write_text(f"h{i},x\n" + "1,2\n" * 10)
+    (tmp_path / "big.csv").write_text("hb,x\n" + "1,2\n" * 60_000)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "65536")
+    try:
+        found = {r["file"].rsplit("/", 1)[1]: r["header"] for r in file_headers(spark, str(tmp_path)).collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert found == {**{f"{i}.csv": f"h{i},x" for i in range(5)}, "big.csv": "hb,x"}
