@@ -519,23 +519,36 @@ def certificates_contracts(spark, sf):
 @query(
     "certificates_mart_contracts",
     DEPARTMENT + PROFILE.replace(PREPARED, "") .replace(", a as (select type_batiment", ", pa as (select type_batiment")
-    .replace("select a.*", "select pa.*").replace("from a)", "from pa)") + """
+    .replace("select a.*", "select pa.*").replace("from a)", "from pa)") + f"""
+    , com as (select code_commune, annee_etablissement, nb_dpe, {sql_rate('nb_passoires', 'nb_dpe')} as taux_passoires_pct from (
+        select code_commune, annee_etablissement, {COUNTS} from cur group by code_commune, annee_etablissement))
     select table_name, status, count(*) as n_checks, cast(sum(violations) as bigint) as violations from (
         select t as table_name, case when v = 0 then 'pass' else 'error' end as status, v as violations from (
-            select 'mart_performance_commune' as t, unnest([0, 0, 0]) as v
+            select 'mart_performance_commune' as t, unnest([
+                (select count(*) filter (where code_commune is null) from com),
+                (select count(*) filter (where taux_passoires_pct not between 0 and 100) from com),
+                (select count(*) filter (where nb_dpe is null) from com)]) as v
             union all select 'mart_performance_departement', unnest([
                 (select count(*) - count(distinct coalesce(code_departement, '?')) from dept),
                 (select count(*) filter (where nb_etiquette_a + nb_etiquette_b + nb_etiquette_c + nb_etiquette_d
                     + nb_etiquette_e + nb_etiquette_f + nb_etiquette_g <> nb_dpe) from dept),
                 (select count(*) filter (where nb_etiquette_f + nb_etiquette_g <> nb_passoires) from dept),
                 (select count(*) filter (where nb_etiquette_a + nb_etiquette_b <> nb_logements_performants) from dept),
-                0, (select count(*) filter (where nom_departement is null) from dept), 0,
+                (select count(*) from (select code_departement from dept where code_departement is not null
+                    group by code_departement having count(*) > 1)),
+                (select count(*) filter (where nom_departement is null) from dept),
+                (select count(*) filter (where est_metropole is null) from dept),
                 (select count(*) filter (where taux_passoires_pct is null) from dept),
                 (select count(*) filter (where taux_passoires_pct not between 0 and 100) from dept),
-                (select count(*) filter (where taux_performants_pct not between 0 and 100) from dept), 0])
-            union all select 'mart_profil_batiment', unnest([0, 0,
-                (select count(*) filter (where type_batiment not in ('maison', 'appartement')) from profile), 0,
-                (select count(*) filter (where taux_passoires_pct not between 0 and 100) from profile), 0])))
+                (select count(*) filter (where taux_performants_pct not between 0 and 100) from dept),
+                (select count(*) filter (where nb_dpe is null) from dept)])
+            union all select 'mart_profil_batiment', unnest([
+                (select count(*) from (select 1 from profile group by type_batiment, tranche_age_batiment having count(*) > 1)),
+                (select count(*) filter (where type_batiment is null) from profile),
+                (select count(*) filter (where type_batiment not in ('maison', 'appartement')) from profile),
+                (select count(*) filter (where tranche_age_batiment is null) from profile),
+                (select count(*) filter (where taux_passoires_pct not between 0 and 100) from profile),
+                (select count(*) filter (where nb_dpe is null) from profile)])))
     group by table_name, status
     """,
 )

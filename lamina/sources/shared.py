@@ -7,8 +7,13 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+# Names the folder where a running session has no ``spark.checkpoint.dir``, which can't be set any more.
+OWN_SETTING = "lamina.shared.dir"
+
+
 def shared_root(spark: SparkSession) -> str | None:
-    return spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    given = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    return given or spark.conf.get(OWN_SETTING, None)
 
 
 def default_to_warehouse(spark: SparkSession) -> SparkSession:
@@ -18,7 +23,7 @@ def default_to_warehouse(spark: SparkSession) -> SparkSession:
     """
     if not shared_root(spark):
         warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
-        spark.conf.set("spark.checkpoint.dir", f"{warehouse}/_intermediate")
+        spark.conf.set(OWN_SETTING, f"{warehouse}/_intermediate")
     return spark
 
 
