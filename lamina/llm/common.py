@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-import hashlib
-import sys
-
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lamina.session import configure
 from lamina.sources.shared import materialise
 
 # The white space of the word pattern [^\x20\x09-\x0D]+.
@@ -16,11 +13,14 @@ WHITE = " \t\n\x0b\x0c\r"
 WORD = r"[^\x20\x09-\x0D]+"
 # Rows in an Arrow batch; with long texts the default of 10,000 rows would be gigabytes.
 BATCH_ROWS = 1000
+BATCH_BYTES = 32 << 20
 
 
 def prepare(spark: SparkSession) -> None:
-    """Session options that the operators with Python stages need."""
+    """Session options of these operators: small batches, and skewed joins split before they are aggregated."""
+    configure(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
 def store(df: DataFrame, name: str) -> DataFrame:
@@ -37,13 +37,8 @@ def n_words(text: str | Column = "text") -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def batch(columns: dict[str, list], schema: pa.Schema) -> pa.RecordBatch:
-    return pa.RecordBatch.from_pydict(columns, schema=schema)
-
-
-def crc_hex(data: bytes) -> str:
-    return hashlib.sha256(data).hexdigest()
-
-
-def little_endian() -> bool:
-    return sys.byteorder == "little"
+def fresh(name: str, columns: list[str]) -> str:
+    """A column name that the table doesn't have."""
+    while name in columns:
+        name += "_"
+    return name

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from lamina.llm.common import n_words, store
+from lamina.llm.common import fresh, n_words, store
 
 # The weights of the sources in turn, and the golden ratio's fraction.
 WEIGHTS = (5, 2, 1)
@@ -166,21 +166,22 @@ def mixed_documents(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFram
     one at the end of its source's quota isn't a whole number.  Rows that repeat doc_id,
     source and size share what they got.
     """
+    id_, source_, size_, copies_, copy_ = (fresh(n, docs.columns) for n in ("id", "origin", "size", "copies", "copy"))
     got = (
         mix(docs, block_words)
         .filter("size > 0")
         .groupBy("doc_id", "source", "size")
-        .agg(F.round(F.avg(F.col("taken") / F.col("size"))).cast("int").alias("copies_"))
-        .filter("copies_ > 0")
-        .select(F.col("doc_id").alias("doc_id_"), F.col("source").alias("source_"), F.col("size").alias("size_"), "copies_")
+        .agg(F.round(F.avg(F.col("taken") / F.col("size"))).cast("int").alias(copies_))
+        .filter(F.col(copies_) > 0)
+        .select(F.col("doc_id").alias(id_), F.col("source").alias(source_), F.col("size").alias(size_), copies_)
     )
     same = (
-        F.col("doc_id").eqNullSafe(F.col("doc_id_"))
-        & F.col("source").eqNullSafe(F.col("source_"))
-        & (n_words() == F.col("size_"))
+        F.col("doc_id").eqNullSafe(F.col(id_))
+        & F.col("source").eqNullSafe(F.col(source_))
+        & (n_words() == F.col(size_))
     )
     return (
         docs.join(got, same)
-        .withColumn("copy_", F.explode(F.sequence(F.lit(1), F.col("copies_"))))
+        .withColumn(copy_, F.explode(F.sequence(F.lit(1), F.col(copies_))))
         .select(*docs.columns)
     )
