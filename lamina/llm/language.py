@@ -113,8 +113,14 @@ def sample(docs: DataFrame, per_language: int = PER_LANGUAGE, rows: int = SAMPLE
     labelled = docs.filter(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & F.col("text").isNotNull() & ~held_out())
     mixed = F.xxhash64(F.lit(SEED), "doc_id")
     order = W.partitionBy("lang").orderBy("mixed", "doc_id")
+    # A language's share of the hashes that holds its rows for certain, and not many more.
+    # No more languages than the sample has rows can be in it.
+    counts = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(rows)
+    least = (mixed.cast("double") + 2.0**63) / 2.0**64 * F.col("n") < 2.0 * per_language + 100
     chosen = (
         labelled.select("doc_id", "lang", mixed.alias("mixed"))
+        .join(F.broadcast(counts), "lang")
+        .filter(least)
         .withColumn("place", F.row_number().over(order))
         .filter(F.col("place") <= per_language)
         .orderBy("mixed", "doc_id")
