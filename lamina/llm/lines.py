@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lamina.llm.common import prepare, store
+from lamina.llm.common import fresh, prepare, store
 
 LEAST_WORDS = 3
 
@@ -90,12 +90,6 @@ def split_lines(text: str | None) -> list[str]:
     return text.split("\n") if text else []
 
 
-def fresh(name: str, columns: list[str]) -> str:
-    while name in columns:
-        name += "_"
-    return name
-
-
 HELD = "line binary, doc_id long, version long, places binary, words int"
 
 
@@ -153,7 +147,8 @@ def deduplicated(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
     version = F.xxhash64("text")
     known = docs.filter("doc_id is not null and text is not null").select(F.col("doc_id").cast("long"), version.alias("version"), "text")
     held = store(known.mapInArrow(held_lines(), HELD), "held-lines")
-    owners = (
+    # Stored, so that the join below has a shuffle on either side and a frequent line's is split.
+    owners = store(
         held.groupBy("line")
         .agg(F.min(F.struct("doc_id", "version", "places")).alias("first"), F.max("doc_id").alias("last"))
         .filter(F.col("last") > F.col("first.doc_id"))
@@ -162,7 +157,8 @@ def deduplicated(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
             F.col("first.doc_id").alias("owner"),
             F.col("first.version").alias("owner_version"),
             F.col("first.places").alias("owner_places"),
-        )
+        ),
+        "owners",
     )
     matches, id_, version_ = (fresh(n, docs.columns) for n in ("matches", "id", "version"))
     shared = held.join(owners, "line").filter("doc_id > owner")
