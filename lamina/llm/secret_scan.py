@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lamina.llm.common import prepare
+from lamina.llm.common import prepare, store
 
 # The kinds in their order, with pattern, group that counts and its least length.
 KINDS = (
@@ -47,6 +47,7 @@ KEYS = ("1234567890-=", "qwertyuiop[]", "asdfghjkl;'", "zxcvbnm,./", "qwertzuiop
 
 DICTIONARY = 20_000
 SHORTEST, LONGEST = 3, 24
+STEPS_A_DOUBLING = 8
 # Powers of ten in guesses from which a value is held to be a secret.
 LEAST_COST = 10.0
 
@@ -80,17 +81,26 @@ def word_ranks(docs: DataFrame, size: int = DICTIONARY) -> dict[str, int]:
         if counts:
             yield out()
 
-    rows = (
+    counted = store(
         docs.filter(F.col("text").isNotNull())
         .select(F.col("text").cast("binary").alias("text"))
         .mapInArrow(run, "word string, n long")
         .groupBy("word")
         .agg(F.sum("n").alias("n"))
-        .filter("n > 1")
-        .orderBy(F.desc("n"), "word")
-        .limit(size)
-        .collect()  # at most `size` rows
+        .filter("n > 1"),
+        "words",
     )
+    # Only words about as frequent as the last that is kept are sorted, so that what tasks send
+    # doesn't grow with their number.
+    step = F.floor(F.log2("n") * STEPS_A_DOUBLING)
+    steps = counted.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("words")).collect()  # a few hundred at most
+    least, found = 0, 0
+    for r in sorted(steps, key=lambda r: -r["step"]):
+        least, found = r["step"], found + r["words"]
+        if found >= size:
+            break
+    frequent = counted.filter(step >= least)
+    rows = frequent.orderBy(F.desc("n"), "word").limit(size).collect()  # at most `size` rows
     return {r["word"]: i for i, r in enumerate(rows, 1)}
 
 
