@@ -17,8 +17,9 @@ and neighbouring windows mostly share theirs, so a document falls into short seg
    suffix reports the places with the same words, of which the first counts.
 4. Each occurrence of a segment is compared with the first place of each of its windows.
 
-A minimizer that occurs more than ``SPLIT`` times (a phrase in very many contexts) names no
-shard by itself: its segments are cut to single windows, dealt by their own hash.
+A minimizer with more than ``SPLIT`` different segments (a phrase in very many contexts) would
+make a shard too large for one task.  Its windows are looked up by an aggregation over
+their own hashes of 128 bits instead, an exact way that needs no index.
 
 Words are runs of [^\\x20\\x09-\\x0D]+.  A null text has none.  A null doc_id comes after
 all others.  Rows that repeat a doc_id are told apart by a hash of their text and ordered by
@@ -29,19 +30,19 @@ ignored; an empty table gives no rows.
 from __future__ import annotations
 
 import hashlib
-from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lamina.llm.common import prepare, store, text_bytes
+from lamina.llm.common import WHITE, prepare, store, text_bytes
 from lamina.llm.fm_index import FMIndex
 
 WINDOW = 20
-GRAM = 10
+GRAM = 6
 SPLIT = 20_000
 # Words of one FM-index, unless one minimizer's segments have more.
 SHARD_WORDS = 1 << 20
@@ -49,34 +50,78 @@ LAST_ID = (1 << 63) - 1
 # A segment's place in one number: version of the text, first window, number of windows.
 START_BITS, COUNT_BITS = 32, 6
 VERSION_BITS = 25
-_FACTOR = 0x9E3779B97F4A7C15
-
-
-class Hashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        h = self[word] = xxhash.xxh64_intdigest(word)
-        return h
-
-
-def minimizers(words: list[bytes], hashes: Hashes, window: int, gram: int):
-    """First window, number of windows and minimizer of each segment of a document."""
-    n = len(words) - window + 1
+_FACTOR, _MIX, _BASE = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0x100000001B3
+# Bytes of a text that are hashed at once.
+PIECE = 1 << 18
+
+
+class WordHashes:
+    """A hash of each word of a text, from running sums over its bytes.
+
+    With ``B`` odd, a word's polynomial sum(byte * B**place) comes from two running sums,
+    and is moved to place 0 by the inverse of ``B``; all modulo 2**64.
+    """
+
+    def __init__(self):
+        white = np.zeros(256, dtype=bool)
+        white[list(WHITE.encode())] = True
+        self.white = white
+        with np.errstate(over="ignore"):
+            self.powers, self.inverse = (
+                np.cumprod(np.array([1] + [b] * PIECE, dtype=np.uint64), dtype=np.uint64) for b in (_BASE, pow(_BASE, -1, 1 << 64))
+            )
+
+    def __call__(self, text: bytes) -> np.ndarray:
+        found, at = [], 0
+        while at < len(text):
+            upto = at + PIECE
+            if upto < len(text):  # cut at white space
+                white = np.flatnonzero(self.white[np.frombuffer(text, np.uint8, PIECE, at)])
+                if not len(white):
+                    return self._slow(text)
+                upto = at + int(white[-1]) + 1
+            found.append(self._piece(np.frombuffer(text[at:upto], dtype=np.uint8)))
+            at = upto
+        return np.concatenate(found) if found else np.zeros(0, dtype=np.uint64)
+
+    def _piece(self, data: np.ndarray) -> np.ndarray:
+        inside = np.concatenate([[False], ~self.white[data], [False]])
+        edges = np.flatnonzero(inside[1:] != inside[:-1])
+        starts, ends = edges[::2], edges[1::2]
+        with np.errstate(over="ignore"):
+            sums = np.zeros(len(data) + 1, dtype=np.uint64)
+            np.cumsum((data.astype(np.uint64) + np.uint64(1)) * self.powers[: len(data)], dtype=np.uint64, out=sums[1:])
+            h = (sums[ends] - sums[starts]) * self.inverse[starts]
+            h ^= h >> np.uint64(29)
+            return h * np.uint64(_FACTOR)
+
+    def _slow(self, text: bytes) -> np.ndarray:
+        """For texts with a word longer than a piece."""
+        return np.array([xxhash.xxh64_intdigest(w) for w in text.split()], dtype=np.uint64)
+
+
+def minimizers(h: np.ndarray, window: int, gram: int) -> np.ndarray:
+    """First window, number of windows and minimizer of each segment of a document of hashed words."""
+    n = len(h) - window + 1
     if n <= 0:
         return np.zeros((3, 0), dtype=np.int64)
-    if len(hashes) > 500_000:
-        hashes.clear()
-    h = np.fromiter(map(hashes.__getitem__, words), dtype=np.uint64, count=len(words))
     with np.errstate(over="ignore"):
         grams = h[: len(h) - gram + 1].copy()
         for i in range(1, gram):
             grams *= np.uint64(_FACTOR)
             grams += h[i : len(h) - gram + 1 + i]
         grams ^= grams >> np.uint64(32)
-        grams *= np.uint64(0xD6E8FEB86659FD93)
+        grams *= np.uint64(_MIX)
         grams ^= grams >> np.uint64(32)
-    reach = window - gram + 1
-    at = np.lib.stride_tricks.sliding_window_view(grams, reach).argmin(axis=1) + np.arange(n)
-    cuts = np.concatenate([[0], np.flatnonzero(np.diff(at)) + 1])
+    # The least of each window, by half the hash, then the leftmost: minima of twice as many each time.
+    least = (grams & np.uint64(0xFFFFFFFF00000000)) | np.arange(len(grams), dtype=np.uint64)
+    reach, width = window - gram + 1, 1
+    while 2 * width <= reach:
+        least, width = np.minimum(least[:-width], least[width:]), 2 * width
+    if width < reach:
+        least = np.minimum(least[: -(reach - width)], least[reach - width :])
+    at = (least & np.uint64(0xFFFFFFFF)).astype(np.int64)
+    cuts = np.concatenate([[0], np.flatnonzero(at[1:] != at[:-1]) + 1])
     counts = np.diff(np.concatenate([cuts, [n]]))
     return np.stack([cuts, counts, grams[at[cuts]].view(np.int64)])
 
@@ -85,11 +130,23 @@ def documents(docs: DataFrame) -> DataFrame:
     text = text_bytes()
     return docs.select(
         F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)).alias("id"),
-        F.shiftrightunsigned(F.xxhash64(text), 64 - VERSION_BITS).alias("version"),
+        F.shiftrightunsigned(F.xxhash64(text), 64 - VERSION_BITS).cast("int").alias("version"),
         text.alias("text"),
     )
 
 
+def compressed(texts: DataFrame) -> DataFrame:
+    """Texts as they travel: whole, in half the bytes that shuffle blocks would take."""
+
+    def run(batches):
+        packer = zstandard.ZstdCompressor(level=3)
+        for b in batches:
+            packed = pa.array([packer.compress(t) for t in b.column(2).to_pylist()], pa.binary())
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), packed], ["id", "version", "packed"])
+
+    return texts.mapInArrow(run, "id long, version int, packed binary")
+
+
 def _pack(version: int, start, count):
     return (version << (START_BITS + COUNT_BITS)) | (start << COUNT_BITS) | count
 
@@ -102,11 +159,11 @@ def segments_of(window: int, gram: int):
     """(minimizer, id, place) of every segment."""
 
     def run(batches):
-        hashes = Hashes()
+        hashes = WordHashes()
         for b in batches:
             grams, ids, places = [], [], []
             for doc, version, text in zip(*(b.column(i).to_pylist() for i in range(3))):
-                start, count, found = minimizers(text.split(), hashes, window, gram)
+                start, count, found = minimizers(hashes(text), window, gram)
                 grams.append(found)
                 ids.append(np.full(len(found), doc))
                 places.append(_pack(version, start, count))
@@ -120,35 +177,50 @@ def segments_of(window: int, gram: int):
 
 
 OCCURRENCE = "segment binary, shard long, id long, version int, start int, windows int, content binary"
+# Bytes of different contents that a task gathers before it passes them on.
+GATHERED = 64 << 20
 
 
 def occurrences(window: int):
-    """The repeated segments of each document; a task gives a content once."""
+    """The repeated segments of each document, and each content with its first place in the task.
+
+    Places have no content, and contents no windows.
+    """
 
     def run(batches):
-        seen: set[bytes] = set()
+        first: dict[bytes, list] = {}
+        held = 0
         for b in batches:
             rows = []
-            for doc, version, text, found in zip(*(b.column(i).to_pylist() for i in range(4))):
-                words = text.split()
+            for doc, version, packed, found in zip(*(b.column(i).to_pylist() for i in range(4))):
+                words = zstandard.decompress(packed).split()
                 for s in found:
                     _, start, count = _unpack(s["place"])
-                    parts = [(start, count)] if not s["often"] else [(start + i, 1) for i in range(count)]
-                    for at, n in parts:
-                        content = b" ".join(words[at : at + n + window - 1])
-                        name = xxhash.xxh3_128_digest(content)
-                        shard = int.from_bytes(name[:8], "little", signed=True) if s["often"] else s["gram"]
-                        rows.append((name, shard, doc, version, at, n, None if name in seen else content))
-                        seen.add(name)
-                if len(rows) > 20_000:
-                    yield _occurrences(rows)
-                    rows = []
+                    content = b" ".join(words[start : start + count + window - 1])
+                    name, place = xxhash.xxh3_128_digest(content), (doc, version, start)
+                    rows.append((name, None, *place, count, None))
+                    known = first.get(name)
+                    if known is None:
+                        first[name] = [s["gram"], place, content]
+                        held += len(content) + 200
+                    elif place < known[1]:
+                        known[1] = place
             if rows:
                 yield _occurrences(rows)
+            if held > GATHERED:
+                yield from _contents(first)
+                first, held = {}, 0
+        yield from _contents(first)
 
     return run
 
 
+def _contents(first: dict[bytes, list]):
+    rows = [(name, gram, *place, 0, content) for name, (gram, place, content) in first.items()]
+    for i in range(0, len(rows), 20_000):
+        yield _occurrences(rows[i : i + 20_000])
+
+
 def _occurrences(rows):
     types = (pa.binary(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary())
     return pa.RecordBatch.from_arrays(
@@ -156,11 +228,15 @@ def _occurrences(rows):
     )
 
 
-FIRST = "segment binary, first array<struct<id long, version int, start int>>"
+PLACE = "struct<id: long, version: int, start: int>"
+KNOWN = f"segment binary, own {PLACE}, first array<{PLACE}>, crowded boolean"
+
 
+def first_places(segments: list[tuple[bytes, int, int, int, bytes]], window: int) -> list[tuple]:
+    """(name, own place, first place of each window, False) of segments (name, id, version, start, content).
 
-def first_places(segments: list[tuple[bytes, int, int, int, bytes]], window: int) -> list[tuple[bytes, list[dict]]]:
-    """The first place of each window of each segment: (name, id, version, start, content) of one shard."""
+    Places are None where every window is first in its own segment.
+    """
     numbers: dict[bytes, int] = {}
     texts = [np.array([numbers.setdefault(w, len(numbers) + 1) for w in s[4].split()]) for s in segments]
     index = FMIndex(texts, len(numbers))
@@ -178,45 +254,62 @@ def first_places(segments: list[tuple[bytes, int, int, int, bytes]], window: int
         first[order] = order[np.flatnonzero(begins)][np.cumsum(begins) - 1]
     rows = [{"id": a, "version": b, "start": c} for a, b, c in zip(ids[first].tolist(), versions[first].tolist(), starts[first].tolist())]
     ends = np.cumsum(counts).tolist()
-    return [(s[0], rows[e - n : e]) for s, n, e in zip(segments, counts.tolist(), ends)]
+    moved = np.add.reduceat(first != np.arange(len(of)), np.cumsum(counts) - counts) > 0
+    return [(s[0], s[1:4], rows[e - n : e] if m else None, False) for s, n, e, m in zip(segments, counts.tolist(), ends, moved.tolist())]
 
 
-def searched(window: int, shard_words: int):
-    """Index and search of the shards of a partition, whose rows come sorted by shard."""
+def searched(window: int, shard_words: int, split: int):
+    """Index and search of the shards of a partition, whose rows come sorted by shard.
 
-    def groups(batches):
-        shard, held = None, []
-        for b in batches:
-            for row in zip(*(b.column(i).to_pylist() for i in range(6))):
-                if row[0] != shard:
-                    if held:
-                        yield held
-                    shard, held = row[0], []
-                held.append(row[1:])
-        if held:
-            yield held
+    A segment that is alone in its shard has no other with its words.  The segments of a
+    shard with more than ``split`` different ones are passed on as they come.
+    """
 
     def run(batches):
-        # A segment alone in its shard has no other with its words.
-        held, size = [], 0
-        for group in groups(batches):
-            if len(group) == 1:
-                continue
-            held += group
-            size += sum(len(s[4]) for s in group) // 6
-            if size > shard_words:
-                yield _first(first_places(held, window))
-                held, size = [], 0
-        if held:
-            yield _first(first_places(held, window))
+        held, size, group, shard, crowded = [], 0, {}, None, False
+
+        def close():
+            """The group's segments to the index, or as they are; nothing of a crowded one is left."""
+            nonlocal size
+            if len(group) > 1:
+                held.extend((name, *place, content) for name, (place, content) in group.items())
+                size += sum(len(content) for _, content in group.values()) // 6
+                return []
+            return [(name, place, None, False) for name, (place, _) in group.items()]
+
+        for b in batches:
+            out = []
+            for of, name, doc, version, start, content in zip(*(b.column(i).to_pylist() for i in range(6))):
+                if of != shard:
+                    out += close()
+                    shard, group, crowded = of, {}, False
+                    if size > shard_words:
+                        out += first_places(held, window)
+                        held, size = [], 0
+                place = (doc, version, start)
+                if crowded:
+                    out.append((name, place, None, True))
+                elif name not in group:
+                    group[name] = (place, content)
+                    if len(group) > split:
+                        out += [(n, p, None, True) for n, (p, _) in group.items()]
+                        group, crowded = {}, True
+                elif place < group[name][0]:
+                    group[name] = (place, content)
+            if out:
+                yield _known(out)
+        out = close() + (first_places(held, window) if held else [])
+        if out:
+            yield _known(out)
 
     return run
 
 
-def _first(rows):
-    names, places = zip(*rows)
-    kind = pa.list_(pa.struct([("id", pa.int64()), ("version", pa.int32()), ("start", pa.int32())]))
-    return pa.RecordBatch.from_arrays([pa.array(names, pa.binary()), pa.array(places, kind)], ["segment", "first"])
+def _known(rows):
+    place = pa.struct([("id", pa.int64()), ("version", pa.int32()), ("start", pa.int32())])
+    named = [(n, dict(zip(("id", "version", "start"), own)), first, crowded) for n, own, first, crowded in rows]
+    types = (pa.binary(), place, pa.list_(place), pa.bool_())
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*named), types)], ["segment", "own", "first", "crowded"])
 
 
 RESULT = "doc_id long, n_words long, n_removed long, kept_sha256 string"
@@ -226,8 +319,8 @@ def _kept(window: int, with_text: bool):
     def run(batches):
         for b in batches:
             rows = []
-            for doc, text, removed in zip(*(b.column(i).to_pylist() for i in range(3))):
-                words = text.split()
+            for doc, packed, removed in zip(*(b.column(i).to_pylist() for i in range(3))):
+                words = zstandard.decompress(packed).split()
                 kept = words
                 if removed:
                     gone = np.zeros(len(words) + 1, dtype=np.int64)
@@ -246,6 +339,38 @@ def _kept(window: int, with_text: bool):
     return run
 
 
+WINDOWS = "name binary, segment binary, offset int, id long, version int, start int"
+
+
+def single_windows(window: int):
+    """The windows of segments, each by a hash of 128 bits of its words."""
+
+    def run(batches):
+        for b in batches:
+            rows = []
+            for segment, doc, version, start, content in zip(*(b.column(i).to_pylist() for i in range(5))):
+                words = content.split()
+                for i in range(len(words) - window + 1):
+                    name = xxhash.xxh3_128_digest(b" ".join(words[i : i + window]))
+                    rows.append((name, segment, i, doc, version, start + i))
+            if rows:
+                types = (pa.binary(), pa.binary(), pa.int32(), pa.int64(), pa.int32(), pa.int32())
+                names = [f.split()[0] for f in WINDOWS.split(", ")]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
+
+    return run
+
+
+def by_windows(segments: DataFrame, window: int) -> DataFrame:
+    """``KNOWN`` of segments (segment, own, content), by an aggregation over their windows."""
+    windows = segments.select("segment", "own.id", "own.version", "own.start", "content").mapInArrow(single_windows(window), WINDOWS)
+    first = windows.groupBy("name").agg(F.min(F.struct("id", "version", "start")).alias("place"))
+    listed = windows.select("name", "segment", "offset").join(first, "name")
+    ordered = F.array_sort(F.collect_list(F.struct("offset", "place")))
+    places = listed.groupBy("segment").agg(F.transform(ordered, lambda x: x["place"]).alias("first"))
+    return segments.select("segment", "own").join(places, "segment").withColumn("crowded", F.lit(False))
+
+
 def deduplicated(
     docs: DataFrame, window: int = WINDOW, gram: int = GRAM, split: int = SPLIT, shard_words: int = SHARD_WORDS, with_text: bool = False
 ) -> DataFrame:
@@ -253,45 +378,51 @@ def deduplicated(
     prepare(docs.sparkSession)
     texts = documents(docs)
     every = texts.mapInArrow(segments_of(window, gram), "gram long, id long, place long")
-    often = every.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    version = F.shiftright("place", START_BITS + COUNT_BITS)
+    often = every.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("gram")
+    version = F.shiftright("place", START_BITS + COUNT_BITS).cast("int")
     # A document's repeated segments: bounded by its words.
     found = (
         every.join(often, "gram")
         .groupBy("id", version.alias("version"))
-        .agg(F.collect_list(F.struct("gram", "place", (F.col("n") > split).alias("often"))).alias("found"))
+        .agg(F.collect_set(F.struct("gram", "place")).alias("found"))
     )
     repeated = store(
-        texts.dropDuplicates(["id", "version"]).join(found, ["id", "version"])
-        .select("id", F.col("version").cast("int"), "text", "found")
-        .mapInArrow(occurrences(window), OCCURRENCE),
+        compressed(texts).join(found, ["id", "version"]).select("id", "version", "packed", "found").mapInArrow(occurrences(window), OCCURRENCE),
         "occurrences",
     )
-    segments = store(
-        repeated.groupBy("segment").agg(
-            F.min(F.struct("id", "version", "start")).alias("own"), F.max("shard").alias("shard"), F.max("content").alias("content")
-        ),
-        "segments",
-    )
-    elsewhere = (
-        segments.select("shard", "segment", "own.id", "own.version", "own.start", "content")
+    contents = repeated.filter("content is not null")
+    looked_up = store(
+        contents.select("shard", "segment", "id", "version", "start", "content")
         .repartition("shard")
         .sortWithinPartitions("shard")
-        .mapInArrow(searched(window, shard_words), FIRST)
+        .mapInArrow(searched(window, shard_words, split), KNOWN),
+        "looked-up",
     )
-    known = segments.select("segment", "own").join(elsewhere, "segment", "left")
+    known = looked_up.filter("not crowded")
+    crowded = looked_up.filter("crowded").groupBy("segment").agg(F.min("own").alias("own"))
+    if not crowded.isEmpty():  # else its joins would shuffle all contents for nothing
+        texts_of = contents.groupBy("segment").agg(F.max("content").alias("content"))
+        known = known.unionByName(by_windows(crowded.join(texts_of, "segment"), window))
+    known = known.drop("crowded")
+    # Runs of windows that start earlier elsewhere: the whole segment, or single windows of its first place.
     here = F.struct("id", "version", "start")
-    later = repeated.select("segment", "id", "version", "start", "windows").join(known, "segment")
-    # Runs of windows that start earlier elsewhere: the whole segment, or single windows of it.
-    whole = later.filter(here > F.col("own")).select("id", "version", "start", "windows")
-    single = (
-        later.filter((here == F.col("own")) & F.col("first").isNotNull())
-        .select("id", "version", "start", F.posexplode("first").alias("offset", "place"))
-        .withColumn("start", F.col("start") + F.col("offset"))
-        .filter(F.col("place") < F.struct("id", "version", "start"))
-        .select("id", "version", "start", F.lit(1).alias("windows"))
+    single = F.transform(
+        F.coalesce("first", F.array().cast(f"array<{PLACE}>")),
+        lambda place, i: F.when(
+            place < F.struct("id", "version", (F.col("start") + i).alias("start")),
+            F.struct((F.col("start") + i).alias("start"), F.lit(1).alias("windows")),
+        ),
+    )
+    runs = F.when(here > F.col("own"), F.array(F.struct("start", "windows"))).otherwise(F.filter(single, lambda r: r.isNotNull()))
+    removed = (
+        repeated.filter("content is null")
+        .select("segment", "id", "version", "start", "windows")
+        .join(known, "segment")
+        .select("id", "version", runs.alias("runs"))
+        .filter(F.size("runs") > 0)
+        .groupBy("id", "version")
+        .agg(F.flatten(F.collect_set("runs")).alias("removed"))
     )
-    removed = whole.unionByName(single).groupBy("id", "version").agg(F.collect_list(F.struct("start", "windows")).alias("removed"))
-    joined = texts.withColumn("version", F.col("version").cast("int")).join(removed, ["id", "version"], "left")
+    joined = compressed(texts).join(removed, ["id", "version"], "left")
     result = RESULT + (", kept string" if with_text else "")
-    return joined.select("id", "text", "removed").mapInArrow(_kept(window, with_text), result)
+    return joined.select("id", "packed", "removed").mapInArrow(_kept(window, with_text), result)

@@ -95,6 +95,32 @@ def test_substrings_edges(documents):
     ]
 
 
+def test_word_hashes_depend_on_the_word_alone(monkeypatch):
+    hashes = substrings.WordHashes()
+    words = [f"w{i % 700}é".encode() for i in range(5000)]
+    text = b"  \n".join(words)
+    found = hashes(text).tolist()
+    assert len(found) == 5000 and len(set(found)) == 700
+    assert all(found[i] == found[i + 700] for i in range(4300))
+    monkeypatch.setattr(substrings, "PIECE", 64)
+    assert substrings.WordHashes()(text).tolist() == found
+    assert len(hashes(b"")) == 0 and len(substrings.WordHashes()(b"x" * 200 + b" y")) == 2
+
+
+def test_minimizers_are_few_and_shared(corpus_rows):
+    hashes, segments, windows = substrings.WordHashes(), 0, 0
+    for _, text in corpus_rows:
+        start, count, gram = substrings.minimizers(hashes((text or "").encode()), 20, 6)
+        segments, windows = segments + len(start), windows + int(count.sum())
+        assert start.tolist() == [0, *np.cumsum(count)[:-1].tolist()][: len(start)]
+    assert 0 < segments < 0.6 * windows  # one text repeats a single word, where each window is its own segment
+    rng = random.Random(8)
+    words = [str(rng.randint(0, 10**6)).encode() for _ in range(400)]
+    _, _, first = substrings.minimizers(hashes(b" ".join(words)), 20, 6)
+    _, _, again = substrings.minimizers(hashes(b"\t".join([b"a", b"b", *words])), 20, 6)
+    assert set(first.tolist()) <= set(again.tolist()) and len(first) < 80
+
+
 def test_wavelet_rank_and_suffix_array():
     rng = np.random.default_rng(1)
     text = rng.integers(0, 37, 900)
@@ -315,3 +341,13 @@ def test_hot_list_is_cut_into_blocks(spark):
     df = spark.createDataFrame([(0, [1.0] * 8), *same, *other], "vec_id long, embedding array<double>")
     got = rows(neighbours.nearest(df, F.col("vec_id") % 100 == 0, block_rows=32))
     assert [r["vec_id"] for r in sorted(got, key=lambda r: r["rank"]) if r["query_id"] == 0] == list(range(1, 11))
+
+
+def test_word_ranks_are_those_of_all_texts(corpus, corpus_rows):
+    counts = defaultdict(int)
+    for _, text in corpus_rows:
+        for word in secret_scan._WORD.findall((text or "").encode().lower()):
+            counts[word.decode()] += 1
+    order = sorted((w for w in counts if counts[w] > 1), key=lambda w: (-counts[w], w))
+    for size in (1, 50, 10**6):
+        assert secret_scan.word_ranks(corpus, size) == {w: i for i, w in enumerate(order[:size], 1)}
