@@ -10,6 +10,15 @@ between two anchors is aligned in the same way.  Aligned blocks are deleted from
 document, if they hold a line of ``LEAST_WORDS`` words or more: shorter ones are shared by
 chance.
 
+The owner of a line need not be the document that a block was copied from.  So runs of two
+neighbouring lines or more that hold such a line are also compared with those of every
+earlier document, without pairs: a run goes from a long line over the short ones beside it,
+on to the next long one, and is named by a hash of its lines and of how often the
+document had it before.  If an earlier document has the name, the run's ends are deleted; the lines
+between are ends of shorter runs.  Every line of a run that any earlier document
+has is such an end, wherever the run stands there, so copies go whole.  A line that shares no neighbour with
+any earlier document is left to the alignment with its owner alone.
+
 Lines are compared without white space at their ends, by hashes of 128 bits.  Blank lines
 are never shared and stay.  Within one document nothing is deleted.  Null texts stay null,
 empty ones empty.  Rows with a null doc_id are not compared and stay as they are.  Rows
@@ -93,20 +102,46 @@ def split_lines(text: str | None) -> list[str]:
 HELD = "line binary, doc_id long, version long, places binary, words int"
 
 
-def held_lines():
-    """(line, doc_id, version, places, words) of each different line of each document."""
+def runs_of(names: list[bytes], long: list[bool]) -> list[tuple[bytes, int, int]]:
+    """(name, one end, other end) of the runs from each long line to the lines beside it, up to the next long one."""
+    out, times = [], defaultdict(int)
+    for p in range(len(names)):
+        if not long[p]:
+            continue
+        for step in (1, -1):
+            name, q = names[p], p + step
+            # The run between two long lines is taken once, forward.
+            while 0 <= q < len(names) and not (long[q] and step < 0):
+                name = xxhash.xxh3_128_digest(name + names[q] + (b"+" if step > 0 else b"-"))
+                times[name] += 1
+                out.append((xxhash.xxh3_128_digest(name + times[name].to_bytes(4)), p, q))
+                if long[q]:
+                    break
+                q += step
+    return out
+
+
+def held_lines(least_words: int):
+    """(line, doc_id, version, places, words) of each different line of each document.
+
+    Runs of lines have the places of their ends, and no words.
+    """
 
     def run(batches):
         for b in batches:
             rows = []
             for doc_id, version, text in zip(*(b.column(i).to_pylist() for i in range(3))):
-                places = defaultdict(list)
+                places, order = defaultdict(list), []
                 for n, line in enumerate(split_lines(text)):
                     if line := line.strip():
                         places[line].append(n)
+                        order.append((n, line))
+                known = {line: (xxhash.xxh3_128_digest(line.encode()), len(line.split())) for line in places}
                 for line, at in places.items():
-                    name = xxhash.xxh3_128_digest(line.encode())
-                    rows.append((name, doc_id, version, array("i", at).tobytes(), len(line.split())))
+                    name, words = known[line]
+                    rows.append((name, doc_id, version, array("i", at).tobytes(), words))
+                ends = runs_of([known[x][0] for _, x in order], [known[x][1] >= least_words for _, x in order])
+                rows += [(name, doc_id, version, array("i", (order[p][0], order[q][0])).tobytes(), None) for name, p, q in ends]
             for i in range(0, len(rows), 20_000):
                 types = (pa.binary(), pa.int64(), pa.int64(), pa.binary(), pa.int32())
                 columns = [pa.array(c, t) for c, t in zip(zip(*rows[i : i + 20_000]), types)]
@@ -120,11 +155,14 @@ def _places(data: bytes) -> list[int]:
 
 
 def common_blocks(matches: list[dict], least_words: int) -> set[int]:
-    """Places to delete from a document, given the lines that it shares with each owner."""
+    """Places to delete from a document, given the lines that it shares with each owner, and its runs that an earlier one has."""
     by_owner = defaultdict(dict)
-    for m in matches:
-        by_owner[m["owner"], m["owner_version"]][m["line"]] = m
     gone: set[int] = set()
+    for m in matches:
+        if m["words"] is None:
+            gone.update(_places(m["places"]))
+        else:
+            by_owner[m["owner"], m["owner_version"]][m["line"]] = m
     for shared in by_owner.values():
         if all(m["words"] < least_words for m in shared.values()):
             continue
@@ -146,7 +184,7 @@ def deduplicated(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
     docs = docs.drop("n_lines", "n_removed")
     version = F.xxhash64("text")
     known = docs.filter("doc_id is not null and text is not null").select(F.col("doc_id").cast("long"), version.alias("version"), "text")
-    held = store(known.mapInArrow(held_lines(), HELD), "held-lines")
+    held = store(known.mapInArrow(held_lines(least_words), HELD), "held-lines")
     # Stored, so that the join below has a shuffle on either side and a frequent line's is split.
     owners = store(
         held.groupBy("line")
@@ -162,7 +200,7 @@ def deduplicated(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
     )
     matches, id_, version_ = (fresh(n, docs.columns) for n in ("matches", "id", "version"))
     shared = held.join(owners, "line").filter("doc_id > owner")
-    # A document's lines, once each: bounded by its text.
+    # A document's lines and at most twice as many runs, once each: bounded by its text.
     per_doc = shared.groupBy(F.col("doc_id").alias(id_), F.col("version").alias(version_)).agg(
         F.collect_list(F.struct("owner", "owner_version", "line", "owner_places", "places", "words")).alias(matches)
     )

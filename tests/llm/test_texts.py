@@ -290,6 +290,50 @@ def test_lines_against_brute_force(corpus, corpus_rows):
         assert got[i]["n_removed"] == len(gone)
 
 
+def test_blocks_go_whoever_owns_their_lines(documents):
+    """Documents copied from one that owns none or few of their lines."""
+    home = "Home\na long line of words\nAbout us"
+    a, b, c, d = (f"{x} line of words" for x in "ABCD")
+    df = documents(
+        (1, "Home\nother words are here"),
+        (2, home),
+        (3, home),
+        (11, "\n".join([b, a])),
+        (12, "\n".join([a, b, c])),
+        (13, "\n".join([b, a, d])),
+        (14, "\n".join([a, b, c])),
+        (15, "\n".join(["new words are here", "", a, "", b, c, "Home"])),
+        (16, "\n".join(["Home", c, "x", a, b])),
+    )
+    got = {r["doc_id"]: r for r in rows(lines.deduplicated(df))}
+    assert got[2]["text"] == home and got[3]["text"] == "" and got[3]["n_removed"] == 3
+    assert got[14]["text"] == "" and got[14]["n_removed"] == 3
+    assert got[15]["text"] == "new words are here\n\n\nHome"
+    assert got[16]["text"] == "Home\nx"
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.integers(0, 5), max_size=12), st.lists(st.integers(0, 5), max_size=12))
+def test_shared_runs_are_found(one, two):
+    """Numbers below 3 are short lines; every place of a shared run is an end of one, up to repeats."""
+    names = {x: bytes([x]) * 16 for x in range(6)}
+    found = [lines.runs_of([names[x] for x in t], [x > 2 for x in t]) for t in (one, two)]
+    known = {name for name, *_ in found[0]}
+    gone = {place for name, p, q in found[1] if name in known for place in (p, q)}
+    shared = {
+        place
+        for i in range(len(two))
+        for j in range(i + 2, len(two) + 1)
+        if max(two[i:j]) > 2 and any(one[k : k + j - i] == two[i:j] for k in range(len(one)))
+        for place in range(i, j)
+    }
+    assert gone <= shared
+    if len(set(two)) == len(two):
+        assert gone == shared
+    if one == two:
+        assert len(one) < 2 or max(one) < 3 or gone == set(range(len(one)))
+
+
 # neighbours
 
 
