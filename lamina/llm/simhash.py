@@ -16,6 +16,12 @@ a group by a search that tests each fingerprint against those not reached yet an
 out one link per fingerprint reached, never all pairs; equal fingerprints are one node.
 Components come from the links by rounds of joins, written after each round.
 
+A scheme with ``least_similarity`` takes near fingerprints as candidates only: they are
+linked if the Jaccard similarity of their documents' complete shingle sets reaches it.  First the
+links of the search are verified, at several distances, then all candidates whose ends
+these leave in different components; so every candidate is either verified or joined already.
+Equal fingerprints are one node here too.
+
 Shingles shorter than the document's words: the whole sequence is one.  A document
 without words (null, empty, white space) has fingerprint zero, linked like any other.
 Repeated rows have one component; a component's id is its smallest doc_id, null only if
@@ -41,24 +47,28 @@ SEED = 42
 class Scheme:
     """What is fingerprinted, and which segments find neighbours.
 
-    ``segments``: (first bit, width, ball radius 0 or 1).
+    ``segments``: (first bit, width, ball radius 0 or 1).  ``least_similarity``: Jaccard
+    similarity of the shingle sets that a link must have, 0 for none.
     """
 
     shingle: int
     words64: int
     max_bits: int
     segments: tuple[tuple[int, int, int], ...]
+    least_similarity: float = 0.0
 
 
 # Distance at most 2: if the halves are 1 and 1 apart, the first is found in its ball;
 # otherwise one of them is equal.
 NEAR_EXACT = Scheme(3, 1, 2, ((0, 32, 1), (32, 32, 0)))
 
-# Similarity of 0.8 on five-word shingles.  Two sets of that Jaccard similarity are
-# 27 degrees apart and differ in 0.151 of the bits, 39 of 256 with a standard deviation of
-# 6; the distance allowed is most of one more.  One of twelve segments is at most one bit
-# apart for 98 % of the pairs at 0.8, and for 99.97 % of those at 0.9.
-SIMILAR = Scheme(5, 4, 43, tuple((16 * i, 16, 1) for i in range(12)))
+# Similarity of 0.8 on five-word shingles.  Two sets of that Jaccard similarity and equal
+# size are 27 degrees apart and differ in 0.151 of the bits, 39 of 256 with a standard deviation of
+# 6; 60 are allowed, and what they let through below 0.8 is turned away by the sets.  One of sixteen
+# segments is at most one bit apart for 99.5 % of the pairs at 0.8.
+SIMILAR = Scheme(5, 4, 60, tuple((16 * i, 16, 1) for i in range(16)), 0.8)
+# Distances of the first search: nearest first, so that few of its links are turned away.
+NEARER = (24, 43)
 
 
 def shingle_hashes(words: list[bytes], k: int) -> np.ndarray:
@@ -100,28 +110,41 @@ def majority(h: np.ndarray) -> int:
 
 
 def fingerprint(data: bytes, scheme: Scheme) -> list[int]:
-    h = shingle_hashes(data.lower().split(), scheme.shingle)  # on bytes, lower() is A-Z only
+    return _majorities(hashes_of(data, scheme), scheme)
+
+
+def hashes_of(data: bytes, scheme: Scheme) -> np.ndarray:
+    return shingle_hashes(data.lower().split(), scheme.shingle)  # on bytes, lower() is A-Z only
+
+
+def _majorities(h: np.ndarray, scheme: Scheme) -> list[int]:
     return [majority(h if i == 0 else mixed(h, i)) for i in range(scheme.words64)]
 
 
 def fingerprints(docs: DataFrame, scheme: Scheme) -> DataFrame:
-    """doc_id and fingerprint, as 16 hex digits for each 64 bits."""
+    """doc_id and fingerprint, as 16 hex digits for each 64 bits; text_hash if links are verified."""
     prepare(docs.sparkSession)
+    more = ["text_hash"] if scheme.least_similarity else []
 
     def run(batches):
         for b in batches:
-            prints = ["".join(f"{x:016x}" for x in fingerprint(t, scheme)) for t in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(prints, pa.string())], ["doc_id", "fingerprint"])
+            prints = [_hex(fingerprint(t, scheme)) for t in b.column(1).to_pylist()]
+            columns = [b.column(0), pa.array(prints, pa.string()), *b.columns[2:]]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "fingerprint", *more])
 
-    return docs.select(F.col("doc_id").cast("long"), text_bytes().alias("text")).mapInArrow(
-        run, "doc_id long, fingerprint string"
-    )
+    text, text_hash = text_bytes(), F.xxhash64(text_bytes()).alias("text_hash")
+    read = docs.select(F.col("doc_id").cast("long"), text.alias("text"), *([text_hash] if more else []))
+    return read.mapInArrow(run, "doc_id long, fingerprint string" + "".join(f", {c} long" for c in more))
+
+
+def _hex(words: list[int]) -> str:
+    return "".join(f"{x:016x}" for x in words)
 
 
 def _words(prints: list[str], words64: int) -> np.ndarray:
-    """One row of 64-bit words per fingerprint."""
+    """One row of 64-bit words per fingerprint, whatever may follow it."""
     data = bytes.fromhex("".join(prints))
-    return np.frombuffer(data, dtype=">u8").astype(np.uint64).reshape(-1, words64)
+    return np.frombuffer(data, dtype=">u8").astype(np.uint64).reshape(len(prints), -1)[:, :words64]
 
 
 def balls(scheme: Scheme):
@@ -181,32 +204,36 @@ def _search(words: np.ndarray, max_bits: int) -> list[tuple[int, int]]:
     return links
 
 
+def _groups(batches):
+    """The fingerprints of each place that has several."""
+    place, held = None, []
+    for b in batches:
+        places = b.column(0).to_numpy(zero_copy_only=False)
+        cuts = [0, *(np.flatnonzero(np.diff(places)) + 1).tolist(), len(places)]
+        column = b.column(1)
+        for a, z in zip(cuts, cuts[1:]):
+            if a == z:
+                continue
+            if places[a] != place:
+                if sum(map(len, held)) > 1:
+                    yield [p for c in held for p in c.to_pylist()]
+                place, held = places[a], []
+            held.append(column.slice(a, z - a))
+    if sum(map(len, held)) > 1:
+        yield [p for c in held for p in c.to_pylist()]
+
+
 def met(scheme: Scheme):
     """Links between the fingerprints of each place; rows come sorted by place."""
-
-    def groups(batches):
-        place, held = None, []
-        for b in batches:
-            places = b.column(0).to_numpy(zero_copy_only=False)
-            cuts = [0, *(np.flatnonzero(np.diff(places)) + 1).tolist(), len(places)]
-            column = b.column(1)
-            for a, z in zip(cuts, cuts[1:]):
-                if a == z:
-                    continue
-                if places[a] != place:
-                    if sum(map(len, held)) > 1:
-                        yield held
-                    place, held = places[a], []
-                held.append(column.slice(a, z - a))
-        if sum(map(len, held)) > 1:
-            yield held
+    distances = (*NEARER, scheme.max_bits) if scheme.least_similarity else (scheme.max_bits,)
 
     def run(batches):
         out: list[tuple[str, str]] = []
-        for held in groups(batches):
-            prints = [p for c in held for p in c.to_pylist()]
-            for a, z in spanning_links(_words(prints, scheme.words64), scheme.max_bits):
-                out.append((min(prints[a], prints[z]), max(prints[a], prints[z])))
+        for prints in _groups(batches):
+            words = _words(prints, scheme.words64)
+            for most in distances:
+                for a, z in spanning_links(words, most):
+                    out.append((min(prints[a], prints[z]), max(prints[a], prints[z])))
             if len(out) > 20_000:
                 yield _links(out)
                 out = []
@@ -216,22 +243,110 @@ def met(scheme: Scheme):
     return run
 
 
+def met_apart(scheme: Scheme):
+    """All near pairs of each place with different roots; rows are fingerprint and root in one."""
+    digits = 16 * scheme.words64
+
+    def run(batches):
+        out: list[tuple[str, str]] = []
+        for rows in _groups(batches):
+            roots = np.unique([r[digits:] for r in rows], return_inverse=True)[1]
+            if not roots.any():
+                continue
+            words = _words(rows, scheme.words64)
+            for i in range(len(rows) - 1):
+                near = np.bitwise_count(words[i + 1 :] ^ words[i]).sum(axis=1) <= scheme.max_bits
+                for j in np.flatnonzero(near & (roots[i + 1 :] != roots[i])).tolist():
+                    a, z = rows[i][:digits], rows[i + 1 + j][:digits]
+                    out.append((min(a, z), max(a, z)))
+                if len(out) > 20_000:
+                    yield _links(out)
+                    out = []
+        if out:
+            yield _links(out)
+
+    return run
+
+
 def _links(pairs):
     return pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in zip(*pairs)], ["low", "high"])
 
 
 def links(nodes: DataFrame, scheme: Scheme) -> DataFrame:
-    """Pairs (low, high) of linked fingerprints, enough to connect every component."""
+    """Pairs (low, high) of near fingerprints, enough to connect every component."""
+    return _meetings(nodes.select("fingerprint"), scheme, met(scheme))
+
+
+def _meetings(nodes: DataFrame, scheme: Scheme, pairs) -> DataFrame:
     return (
-        nodes.select("fingerprint")
-        .mapInArrow(balls(scheme), "place long, fingerprint string")
+        nodes.mapInArrow(balls(scheme), "place long, fingerprint string")
         .repartition("place")
         .sortWithinPartitions("place")
-        .mapInArrow(met(scheme), "low string, high string")
+        .mapInArrow(pairs, "low string, high string")
         .distinct()
     )
 
 
+def shingle_sets(docs: DataFrame, printed: DataFrame, pairs: DataFrame, scheme: Scheme) -> DataFrame:
+    """(fingerprint, shingles): the different shingle sets of each fingerprint in the pairs, as sorted hashes."""
+    ends = pairs.select(F.col("low").alias("fingerprint")).unionByName(pairs.select(F.col("high").alias("fingerprint"))).distinct()
+    wanted = store(printed.join(ends, "fingerprint").select("fingerprint", "text_hash").distinct(), "wanted-texts")
+
+    def run(batches):
+        done: set[bytes] = set()
+        for b in batches:
+            rows = []
+            for print_, text in zip(*(b.column(i).to_pylist() for i in range(2))):
+                name = xxhash.xxh3_128_digest(text)
+                if name in done:
+                    continue
+                h = hashes_of(text, scheme)
+                if _hex(_majorities(h, scheme)) == print_:  # else another text with the same hash
+                    done.add(name)
+                    rows.append((print_, np.unique(h).tobytes()))
+            if rows:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, t) for c, t in zip(zip(*rows), (pa.string(), pa.binary()))], ["fingerprint", "shingles"]
+                )
+
+    texts = docs.select(F.xxhash64(text_bytes()).alias("text_hash"), text_bytes().alias("text"))
+    return texts.join(wanted, "text_hash").select("fingerprint", "text").mapInArrow(run, "fingerprint string, shingles binary").distinct()
+
+
+def similar_pairs(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
+    """The pairs (low, high) whose shingle sets have a Jaccard similarity of ``least`` or more."""
+
+    def run(batches):
+        for b in batches:
+            found = []
+            for low, high, one, two in zip(*(b.column(i).to_pylist() for i in range(4))):
+                one, two = np.frombuffer(one, np.uint64), np.frombuffer(two, np.uint64)
+                both = len(np.intersect1d(one, two, assume_unique=True))
+                if both / max(1, len(one) + len(two) - both) >= least:
+                    found.append((low, high))
+            if found:
+                yield _links(found)
+
+    sides = [sets.select(F.col("fingerprint").alias(end), F.col("shingles").alias(f"{end}_shingles")) for end in ("low", "high")]
+    joined = pairs.join(sides[0], "low").join(sides[1], "high")
+    return joined.select("low", "high", "low_shingles", "high_shingles").mapInArrow(run, "low string, high string").distinct()
+
+
+def verified_links(docs: DataFrame, printed: DataFrame, nodes: DataFrame, scheme: Scheme) -> DataFrame:
+    """Pairs (low, high) whose similarity is verified, enough to connect every component of the verified candidates."""
+    first = store(links(nodes, scheme), "candidates")
+    sets = store(shingle_sets(docs, printed, first, scheme), "shingle-sets")
+    sure = store(similar_pairs(first, sets, scheme.least_similarity), "similar")
+    roots = components(sure).select(F.col("node").alias("fingerprint"), "root")
+    # Every candidate's ends are among those of the first search.
+    rooted = (
+        sets.select("fingerprint").distinct().join(roots, "fingerprint", "left")
+        .select(F.concat("fingerprint", F.coalesce("root", "fingerprint")).alias("fingerprint"))
+    )
+    apart = store(_meetings(rooted, scheme, met_apart(scheme)).join(first, ["low", "high"], "left_anti"), "candidates-apart")
+    return sure.unionByName(similar_pairs(apart, sets, scheme.least_similarity))
+
+
 def components(pairs: DataFrame, low: str = "low", high: str = "high") -> DataFrame:
     """(node, root) for every node of stored pairs; the root is the component's smallest node.
 
@@ -272,7 +387,7 @@ def near_duplicates(docs: DataFrame, scheme: Scheme = NEAR_EXACT) -> DataFrame:
     """One row per document: doc_id, fingerprint, component_id."""
     printed = store(fingerprints(docs, scheme), "fingerprints")
     nodes = store(printed.groupBy("fingerprint").agg(F.min("doc_id").alias("first_id")), "nodes")
-    found = store(links(nodes, scheme), "links")
+    found = store(verified_links(docs, printed, nodes, scheme) if scheme.least_similarity else links(nodes, scheme), "links")
     roots = components(found).select(F.col("node").alias("fingerprint"), "root")
     linked = store(nodes.join(roots, "fingerprint"), "linked")
     smallest = store(linked.groupBy("root").agg(F.min("first_id").alias("component_id")), "smallest")

@@ -180,6 +180,43 @@ def test_similar_documents_go_and_others_stay(documents):
     assert len(kept & set(range(40, 60))) <= 1
 
 
+def test_similar_links_are_verified(documents):
+    """Families of copies on both sides of 0.8: the groups are those of the exact similarities."""
+    rng = random.Random(11)
+    vocabulary = ["".join(rng.choices("abcdefghij", k=6)) for _ in range(3000)]
+    texts = []
+    for changed in [(20,), (22,), (24,), (26,), (30,), (21, 25, 20, 28)] * 6:
+        text = rng.choices(vocabulary, k=1000)
+        texts.append(text)
+        for n in changed:
+            copy = list(texts[-1])
+            first = rng.randrange(30)
+            for at in range(n):
+                copy[first + 31 * at] = "other" + rng.choice(vocabulary)
+            texts.append(copy)
+    sets = [{tuple(t[i : i + 5]) for i in range(len(t) - 4)} for t in texts]
+    root = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if len(sets[i] & sets[j]) / len(sets[i] | sets[j]) >= 0.8 and root[i] != root[j]:
+                low, high = sorted((root[i], root[j]))
+                root = [low if r == high else r for r in root]
+    got = {r["doc_id"]: r["component_id"] for r in rows(simhash.near_duplicates(documents(*enumerate(map(" ".join, texts))), simhash.SIMILAR))}
+    assert {i for i in got if got[i] != i} and {i for i, r in enumerate(root) if r == i} > set(range(0, 10, 2))
+    assert not [i for i in got if root[got[i]] != root[i]]  # nothing below 0.8 is linked
+    assert sum(got[i] != r for i, r in enumerate(root)) <= 1  # a pair at 0.8 meets with a chance of 99.5 %
+
+
+def test_candidates_apart_are_verified_too(documents):
+    """A pair that the spanning search never names, between groups that its links don't join."""
+    scheme = simhash.Scheme(5, 1, 64, ((0, 1, 1),), 0.8)  # everything meets everything
+    rng = random.Random(2)
+    one, two = ([f"w{rng.randrange(10**6)}" for _ in range(200)] for _ in range(2))
+    near = [one, two, two[:190] + one[:5]]
+    got = rows(simhash.near_duplicates(documents(*enumerate(map(" ".join, near))), scheme))
+    assert {r["doc_id"]: r["component_id"] for r in got} == {0: 0, 1: 1, 2: 1}
+
+
 def test_simhash_edges(documents):
     assert simhash.near_duplicates(documents()).count() == 0
     got = rows(simhash.near_duplicates(documents((4, None), (3, " "), (3, " "), (None, "one two"), (9, "ONE two"))))
