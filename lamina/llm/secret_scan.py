@@ -36,10 +36,11 @@ KINDS = (
 )
 # Words that an assignment can't do without, in lower case.
 ASSIGNED = ("password", "passwd", "secret", "token", "apikey", "api_key")
-# Credential contexts beyond the base pattern, and the value that follows.
+# Credential contexts beyond the base pattern, a scheme's name if one stands between, and the value
+# that follows.  A context may follow any character but a letter, so names with a prefix count.
 CONTEXT = re.compile(
-    r"""(?ai)\b(pass(?:word|wd|phrase|code)|pwd|secret|token|api[ _-]?key|access[ _-]?key|private[ _-]?key|credentials?|authorization|bearer)"""
-    r"""["']?\s*(?:[:=]>?|\bis\b|\s)\s*["']?([^\s"'<>,;]{6,})"""
+    r"""(?ai)(?<![A-Za-z])(pass(?:word|wd|phrase|code)|pwd|secret|token|api[ _-]?key|access[ _-]?key|private[ _-]?key|credentials?|authorization|bearer)"""
+    r"""["']?\s*(?:[:=]>?|\bis\b|\s)\s*["']?(?:(?:basic|bearer|token)\s+)?([^\s"'<>,;]{6,})"""
 )
 CONTEXTS = ("pass", "pwd", "secret", "token", "key", "credential", "authorization", "bearer")
 # Rows of keys on a keyboard; a walk goes to a neighbour in its row.
