@@ -50,10 +50,3 @@ def bronze(spark):
         return df.withColumns({n: F.lit(v).cast("string") for n, v in values.items()})
 
     return build
-
-
-DAY = "2024-05-12"
-
-
-def row(key="X", replaced="", day=DAY, modified=DAY, received=DAY, label="D", place="11069", size="75"):
-    return (key, replaced, day, modified, received, label, place, size)

@@ -3,7 +3,7 @@
 import datetime as dt
 
 import pytest
-from conftest import row
+from builders import row
 from pyspark.sql import functions as F
 
 from lamina.functions import fixed
