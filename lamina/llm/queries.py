@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lamina.llm import exact, language, lines, mixing, neighbours, packing, secret_scan, sharding, simhash, substrings
+from lamina.llm import decontaminate, divergence, exact, language, lines, mixing, neighbours, oracles, packing, secret_scan, sharding, simhash, substrings
 
 SHARDS = 24
 
@@ -74,6 +74,14 @@ def op10_dimension_scan(spark, sf_dir):
     return neighbours.nearest(table, F.col("vec_id") % 100 == 0)
 
 
+def op11_divergence_audit(spark, sf_dir):
+    return divergence.audit(_table(spark, sf_dir, "documents"))
+
+
+def op13_decontaminate(spark, sf_dir):
+    return decontaminate.audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")).drop("hit_spans", "longest_match")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -87,6 +95,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_line_dedup,
         op9_grace_dedup,
         op10_dimension_scan,
+        op11_divergence_audit,
+        op13_decontaminate,
     )
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = oracles.SQL
