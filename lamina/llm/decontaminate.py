@@ -192,7 +192,7 @@ def matched(
     pieces = store(
         items.select(F.col("item_id").cast("string").alias("item"), F.col("text").cast("binary").alias("text")).mapInArrow(
             _pieces(window, piece), "item string, piece int, n long, words binary"
-        ),
+        ).distinct(),
         "pieces",
     )
     total = pieces.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
@@ -205,7 +205,7 @@ def matched(
         dealt = pieces.filter(F.pmod(F.xxhash64("item", "piece"), F.lit(passes)) == i)
         rows = dealt.select("item", "words").collect()  # about automaton_words words at most
         shared = spark.sparkContext.broadcast(Automaton.of(((r["item"], bytes(r["words"]).split()) for r in rows), window).state())
-        out = out.mapInArrow(_scanned(shared, docs.columns.index(text), i > 0), schema)
+        out = out.mapInArrow(_scanned(shared, docs.columns.index(text), list(name.values()), i > 0), schema)
         if i + 1 < passes:
             out = store(out, "decontaminate")
     return out, name
@@ -231,13 +231,13 @@ def _pieces(window: int, piece: int):
 SPANS = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 
 
-def _scanned(shared, text: int, again: bool):
+def _scanned(shared, text: int, names: list[str], again: bool):
     def run(batches):
         automaton = Automaton(*shared.value)
         for b in batches:
             own = b.num_columns - (len(FOUND) if again else 0)
             before = [b.column(own + k).to_pylist() for k in range(1, 4)] if again else None
-            counts, spans, names, longest = [], [], [], []
+            counts, spans, items, longest = [], [], [], []
             for i, content in enumerate(b.column(text).cast(pa.binary())):
                 words = words_of(content.as_py())
                 hit, found, most = automaton.scan(words)
@@ -247,12 +247,12 @@ def _scanned(shared, text: int, again: bool):
                     most = max(most, before[2][i])
                 counts.append(len(words))
                 spans.append([{"start": s, "end": e} for s, e in hit])
-                names.append(sorted(found))
+                items.append(sorted(found))
                 longest.append(most)
             columns = [
-                pa.array(counts, pa.int64()), pa.array(spans, SPANS), pa.array(names, pa.list_(pa.string())), pa.array(longest, pa.int32())
+                pa.array(counts, pa.int64()), pa.array(spans, SPANS), pa.array(items, pa.list_(pa.string())), pa.array(longest, pa.int32())
             ]
-            yield pa.RecordBatch.from_arrays([*b.columns[:own], *columns], [*b.schema.names[:own], *FOUND])
+            yield pa.RecordBatch.from_arrays([*b.columns[:own], *columns], [*b.schema.names[:own], *names])
 
     return run
 
