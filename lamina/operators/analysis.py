@@ -13,13 +13,9 @@ from lamina.operators.quantiles import exact_quantiles
 
 
 def score_quantiles(
-    df: DataFrame, column: str, probs: dict[str, float] | None = None, method: str = "state"
+    df: DataFrame, column: str, probs: dict[str, float] | None = None, method: str = "ranges"
 ) -> DataFrame:
-    """Exact quantiles of a whole column, 1/25/50/75/90 % unless told otherwise.
-
-    A score has few distinct values, which one task can hold; ``method="fenced"`` is for
-    columns that have no such bound.
-    """
+    """Exact quantiles of a whole column, 1/25/50/75/90 % unless told otherwise."""
     wanted = probs or {"p1": 0.01, "p25": 0.25, "p50": 0.5, "p75": 0.75, "p90": 0.9}
     return exact_quantiles(df, [], column, wanted, method)
 

@@ -88,21 +88,17 @@ def only_months(df: DataFrame, months: Sequence[tuple[int, int]], keys: Sequence
     return df.filter(wanted)
 
 
-def divided(
-    df: DataFrame, months: Sequence[tuple[int, int]], keys: Sequence[str] = MONTH
-) -> tuple[DataFrame, DataFrame]:
-    """Rows of the requested months, and all others: of other months, or without a date."""
-    name = F.struct(*keys)
-    wanted = name.isin([F.struct(*[F.lit(v) for v in values]) for values in sorted(set(months))]) if months else F.lit(False)
-    inside = F.coalesce(wanted, F.lit(False))
-    return df.filter(inside), df.filter(~inside)
+def requested(months: Sequence[tuple[int, int]], keys: Sequence[str] = MONTH) -> Column:
+    """Whether a row is of one of the months; false for other months and without a date."""
+    if not months:
+        return F.lit(False)
+    wanted = F.struct(*keys).isin([F.struct(*[F.lit(v) for v in values]) for values in sorted(set(months))])
+    return F.coalesce(wanted, F.lit(False))
 
 
-def load_accounts(report: DataFrame, outside: DataFrame, keys: Sequence[str] = MONTH) -> DataFrame:
+def load_accounts(report: DataFrame, strays: DataFrame) -> DataFrame:
     """The load report with the rows that went to no requested month: stray, and undated."""
-    undated = F.col(keys[0]).isNull()
-    counted = outside.agg(F.count_if(~undated).alias("hors_chargement"), F.count_if(undated).alias("sans_date"))
-    return report.join(counted)  # one row each
+    return report.join(strays.select("hors_chargement", "sans_date"))  # one row each
 
 
 def completeness(df: DataFrame, announced: DataFrame, keys: Sequence[str] = MONTH) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lamina.functions.measures import avg_round, rate, round_exact
-from lamina.operators.quantiles import at_rank, exact_quantiles, join_groups, with_ranks
+from lamina.operators.quantiles import at_rank, exact_quantiles, join_groups, ranked_in_ranges
 
 
 @dataclass(frozen=True)
@@ -33,23 +33,20 @@ def label_flags(column: str, labels: Sequence[str], prefix: str) -> dict[str, Co
     return {f"{prefix}{label.lower()}": F.col(column) == F.lit(label) for label in labels}
 
 
-def summarise(df: DataFrame, keys: Sequence[str], spec: Summary, method: str = "counts") -> DataFrame:
+def summarise(df: DataFrame, keys: Sequence[str], spec: Summary, method: str = "ranges") -> DataFrame:
     """One row per group with the measures of ``spec``, from one pass over ``df``.
 
     Plain measures come from hash aggregation with a map-side partial step, so a hot
-    group costs no more than any other.  With a median, the first aggregation is by
-    (group, value of the median's column); its rows carry the parts of all measures, and
-    the median is read off their running counts.  ``method`` ("state", "fenced") takes
-    medians from ``exact_quantiles`` instead; those and further medians read ``df`` again,
-    so it should then be a scan or stored.
+    group costs no more than any other.  With medians, the same aggregation also counts
+    the values of each median's column per group (grouping sets), and all medians are
+    read off these counts together by distributed rank selection.  ``method`` ("counts",
+    "state", "fenced") takes each median from ``exact_quantiles`` instead, which reads
+    ``df`` again, so it should then be a scan or stored.
     """
-    if spec.medians and method == "counts":
-        (name, (column, digits)), *others = spec.medians.items()
-        out = _with_one_median(df, keys, spec, name, column, digits)
-    else:
-        others = list(spec.medians.items())
-        out = df.groupBy(*keys).agg(*_measures(spec))
-    for name, (column, digits) in others:
+    if spec.medians and method == "ranges":
+        return _with_medians(df, keys, spec)
+    out = df.groupBy(*keys).agg(*_measures(spec))
+    for name, (column, digits) in spec.medians.items():
         median = exact_quantiles(df, keys, column, {name: 0.5}, method)
         out = join_groups(out, median.withColumn(name, round_exact(F.col(name), digits)), keys)
     return out
@@ -65,21 +62,29 @@ def _measures(spec: Summary) -> list[Column]:
     return aggs + [avg_round(F.col(c), d).alias(n) for n, (c, d) in spec.means.items()]
 
 
-def _with_one_median(
-    df: DataFrame, keys: Sequence[str], spec: Summary, name: str, column: str, digits: int
-) -> DataFrame:
-    parts = [_PICK[how](c).alias(f"_s_{n}") for n, (how, c) in spec.spans.items()]
-    parts += [F.count_if(cond).alias(f"_f_{n}") for n, cond in spec.flags.items()]
-    parts += [x for n, (c, _) in spec.means.items() for x in (F.sum(c).alias(f"_t_{n}"), F.count(c).alias(f"_k_{n}"))]
-    counted = df.groupBy(*keys, F.col(column).cast("double").alias("_v")).agg(F.count(F.lit(1)).alias("_c"), *parts)
-    whole = [_PICK[how](f"_s_{n}").alias(n) for n, (how, _) in spec.spans.items()]
-    whole.append(F.sum("_c").alias(spec.total))
-    whole += [F.sum(f"_f_{n}").alias(n) for n in spec.flags]
-    for n, (_, d) in spec.means.items():
-        mean = F.sum(f"_t_{n}") / F.nullif(F.sum(f"_k_{n}"), F.lit(0))
-        whole.append(round_exact(mean, d).alias(n))
-    whole.append(round_exact(at_rank(0.5), digits).alias(name))
-    return with_ranks(counted, keys).groupBy(*keys).agg(*whole)
+def _with_medians(df: DataFrame, keys: Sequence[str], spec: Summary) -> DataFrame:
+    """All measures from one aggregation by group, and by group and value of each median's column."""
+    columns = {f"_v{i}": column for i, (column, _) in enumerate(spec.medians.values())}
+    given = df.withColumns({n: F.col(column).cast("double") for n, column in columns.items()})
+    sets = [list(keys), *([*keys, n] for n in columns)]
+    # The measure's number: 0 for the group's own row.
+    absent = [F.grouping(n) for n in columns]
+    number = F.lit(0)
+    for i, unused in enumerate(absent, 1):
+        number = F.when(unused == 0, F.lit(i)).otherwise(number)
+    plain = _measures(spec)
+    names = [spec.total if n is None else n for n in (*spec.spans, None, *spec.flags, *spec.means)]
+    counted = given.groupingSets(sets, *keys, *columns).agg(
+        number.alias("_m"), F.coalesce(*columns).alias("_v"), F.count(F.lit(1)).alias("_c"), *plain
+    )
+    own = F.col("_m") == 0
+    narrow = counted.select(*keys, "_m", "_v", "_c", *[F.when(own, F.col(n)).alias(n) for n in names])
+    ranked = ranked_in_ranges(narrow, [*keys, "_m"], [0.5], names)
+    medians = [
+        round_exact(at_rank(0.5, F.col("_m") == i), digits).alias(n)
+        for i, (n, (_, digits)) in enumerate(spec.medians.items(), 1)
+    ]
+    return ranked.groupBy(*keys).agg(*[F.max(n).alias(n) for n in names], *medians)
 
 
 def with_rates(df: DataFrame, rates: Mapping[str, str], total: str = "nb_dpe") -> DataFrame:

@@ -1,16 +1,22 @@
 """Exact interpolated quantiles that hold when one group has most of the rows.
 
-Three methods give the same answers; the caller chooses, and no job runs while a plan is
+Four methods give the same answers; the caller chooses, and no job runs while a plan is
 built:
 
-``counts`` (the default) counts each group's distinct values, map-side first, and reads the
-target ranks off the running counts.  A group's distinct values are sorted in one task,
-which spills; no raw row is shuffled and no state grows in memory.
+``ranges`` (the default) is a distributed rank selection.  Each group's distinct values are
+counted, map-side first, and partitioned by ranges of (group, value), whose bounds Spark
+samples from the counts, so that a large group lies in many ranges and small ones share one.  Counts per
+range and their prefix sums tell which range holds a rank, and only that range's values
+are ranked.  No task holds more values than a range, and the input is read once: counts
+and values come from one shuffle.
+
+``counts`` reads the ranks off running counts of a whole group, whose distinct values are
+sorted in one task.  For groups of a modest size; it has one shuffle less.
 
 ``state`` is Spark's ``percentile``: one aggregation, but the distinct values of a group are
 kept in the memory of a task.  For columns with a known, modest number of values.
 
-``fenced`` also holds when a single group has billions of distinct values.  Approximate
+``fenced`` needs no sampled bounds.  Approximate
 quantiles give a fence on each side of a target rank, one aggregation counts exactly what
 lies outside and keeps only the distinct values between, and a second fence inside the
 first makes what is left a few millionths of the group.  Approximation only decides how
@@ -25,7 +31,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
-METHODS = ("counts", "state", "fenced")
+METHODS = ("ranges", "counts", "state", "fenced")
 ACCURACY = 10_000
 MARGIN = 0.001
 STEPS = 1000
@@ -36,7 +42,7 @@ def exact_quantiles(
     keys: Sequence[str],
     value: str,
     probs: Mapping[str, float],
-    method: str = "counts",
+    method: str = "ranges",
     small_group: int = 10_000,
 ) -> DataFrame:
     """One row per group with a column per named probability (null without values)."""
@@ -48,10 +54,59 @@ def exact_quantiles(
         found = df.groupBy(*keys).agg(F.percentile(F.col(value), list(probs.values())).alias("_q"))
         return found.select(*keys, *[F.get("_q", F.lit(i)).alias(n) for i, n in enumerate(probs)])
     counted = df.groupBy(*keys, F.col(value).cast("double").alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
-    ranked = with_ranks(counted, keys)
+    ranked = with_ranks(counted, keys) if method == "counts" else ranked_in_ranges(counted, keys, list(probs.values()))
     return ranked.groupBy(*keys).agg(*[at_rank(p).alias(n) for n, p in probs.items()])
 
 
+# A common table expression that is used twice and not deterministic (it numbers the ranges) is computed once, and
+# its last shuffle is shared.  That one brings together what the counts and the ranks need: a group's rows of a range.
+RANGES = """
+with ranged as (
+  select /*+ repartition({keys} _part) */ * from (
+    select {keys} {own_carried} _v, spark_partition_id() as _part, if(_v is null, 0L, _c) as _known
+    from (select /*+ repartition_by_range({n}, {keys} _v) */ * from {{counted}}))),
+parts as (select {keys} _part, sum(_known) as _rows from ranged group by {keys} _part),
+starts as (
+  select *, sum(_rows) over ({by_keys}) as _n,
+    coalesce(sum(_rows) over ({by_keys} order by _part rows between unbounded preceding and 1 preceding), 0L) as _start
+  from parts),
+holding as (select * from starts where _n = 0 or {held})
+select {own_keys} {carried} l._v, h._n, l._known,
+  h._start + sum(l._known) over (partition by {own_keys} l._part order by l._v rows unbounded preceding) as _to
+from ranged l join holding h on l._part = h._part {same_keys}
+"""
+
+
+def ranked_in_ranges(
+    counted: DataFrame, keys: Sequence[str], probs: Sequence[float], carried: Sequence[str] = ()
+) -> DataFrame:
+    """The values (``_v``, ``_c`` rows of each) of those ranges that hold a quantile's rank, with their ranks.
+
+    Adds ``_from``, ``_to`` and ``_n`` as ``with_ranks`` does.  Groups without values keep their
+    rows, and so do the columns named in ``carried``.
+    """
+    names = {k: f"_k{i}" for i, k in enumerate(keys)} | {c: f"_a{i}" for i, c in enumerate(carried)}
+    inner = [names[k] for k in keys]
+    held = " or ".join(
+        f"({rank}((_n - 1) * {p!r}D) >= _start and {rank}((_n - 1) * {p!r}D) < _start + _rows)"
+        for p in sorted(set(probs)) for rank in ("floor", "ceil")
+    )
+    text = RANGES.format(
+        n=int(counted.sparkSession.conf.get("spark.sql.shuffle.partitions")),
+        keys="".join(f"{k}, " for k in inner),
+        own_keys="".join(f"l.{k}, " for k in inner),
+        by_keys=f"partition by {', '.join(inner)}" if inner else "",
+        same_keys="".join(f" and l.{k} <=> h.{k}" for k in inner),
+        own_carried="".join(f"{names[c]}, " for c in carried),
+        carried="".join(f"l.{names[c]}, " for c in carried),
+        held=held or "false",
+    )
+    plain = counted.select(*[F.col(f"`{k}`").alias(n) for k, n in names.items()], "_v", "_c")
+    found = counted.sparkSession.sql(text, counted=plain)
+    back = [F.col(n).alias(k) for k, n in names.items()]
+    return found.select(*back, "_v", "_n", (F.col("_to") - F.col("_known")).alias("_from"), "_to")
+
+
 def with_ranks(counted: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Adds the ranks [_from, _to) of each (group, ``_v``) of ``_c`` rows, and the group's ``_n`` values.
 
@@ -65,17 +120,23 @@ def with_ranks(counted: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
-def at_rank(prob: float) -> Column:
-    """Aggregate of a group's ranked values: the interpolated quantile."""
-    position = (F.col("_n") - 1) * F.lit(prob)
+def at_rank(prob: float, where: Column | None = None) -> Column:
+    """Aggregate of a group's ranked values (those that meet ``where``): the interpolated quantile.
+
+    A rank without a value stops the query.
+    """
+    here = F.lit(True) if where is None else where
+    position = F.when(here & (F.col("_n") > 0), (F.col("_n") - 1) * F.lit(prob))
 
     def value_at(rank: Column) -> Column:
-        return F.max(F.when((rank >= F.col("_from")) & (rank < F.col("_to")), F.col("_v")))
+        return F.max(F.when(here & (rank >= F.col("_from")) & (rank < F.col("_to")), F.col("_v")))
 
     low_rank, high_rank = F.floor(position), F.ceil(position)
     low, high, at = value_at(low_rank), value_at(high_rank), F.max(position)
+    lost = at.isNotNull() & (low.isNull() | high.isNull())
     between = (F.ceil(at) - at) * low + (at - F.floor(at)) * high
-    return F.when(low == high, low).otherwise(between)
+    missing = F.raise_error(F.lit("a quantile rank has no value")).cast("double")
+    return F.when(lost, missing).when(low == high, low).otherwise(between)
 
 
 def fenced_quantiles(

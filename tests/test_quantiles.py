@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lamina.operators.marts import Summary, summarise
-from lamina.operators.quantiles import METHODS, exact_quantiles, fenced_quantiles
+from lamina.operators.quantiles import METHODS, exact_quantiles, fenced_quantiles, ranked_in_ranges
 
 PROBS = {"lo": 0.0, "p1": 0.01, "p50": 0.5, "p90": 0.9, "hi": 1.0}
 
@@ -88,3 +88,49 @@ def test_no_job_runs_while_a_summary_is_planned(spark):
         assert planned.count() == 3
     finally:
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+@pytest.fixture
+def uncoalesced(spark):
+    """Keeps every shuffle partition, so that small tables lie in many ranges."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "13")
+    yield
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+def test_ranges_of_a_hot_group(spark, rows, uncoalesced):
+    df = spark.createDataFrame(rows, "k string, v double").repartition(5)
+    check(exact_quantiles(df, ["k"], "v", PROBS).collect(), rows)
+    values = [v for _, v in rows if v is not None]
+    found = exact_quantiles(df, [], "v", PROBS).first()
+    assert all(found[n] == pytest.approx(expected(values, p), rel=1e-12) for n, p in PROBS.items())
+
+
+def test_no_range_holds_a_hot_group(spark, rows, uncoalesced):
+    df = spark.createDataFrame(rows, "k string, v double").repartition(5)
+    counted = df.groupBy("k", F.col("v").alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
+    held = ranked_in_ranges(counted, ["k"], [0.5]).filter("k = 'hot'").count()
+    assert 0 < held < 30000 / 5
+
+
+def test_ranges_without_rows(spark):
+    empty = spark.createDataFrame([], "k string, v double")
+    assert exact_quantiles(empty, ["k"], "v", PROBS).count() == 0
+    assert [r.asDict() for r in exact_quantiles(empty, [], "v", PROBS).collect()] == [dict.fromkeys(PROBS)]
+    odd = exact_quantiles(empty.toDF("a key", "v"), ["a key"], "v", PROBS)
+    assert odd.columns == ["a key", *PROBS]
+
+
+def test_several_medians_from_one_scan(spark, uncoalesced):
+    lines = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
+    spec = Summary(
+        flags={"a": F.col("l_returnflag") == "A"}, means={"m": ("l_quantity", 1)}, spans={"lo": ("min", "l_tax")},
+        medians={"price": ("l_extendedprice", 1), "size": ("l_quantity", 1)},
+    )
+    one_pass, apart = summarise(lines, ["l_suppkey"], spec), summarise(lines, ["l_suppkey"], spec, "state")
+    assert one_pass.columns == apart.columns
+    assert sorted(map(str, one_pass.collect())) == sorted(map(str, apart.collect()))
+    final = one_pass._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert final.count("FileScan") == 1 and final.count("ReusedExchange") == 1
