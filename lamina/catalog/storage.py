@@ -12,11 +12,11 @@ from lamina.functions import fixed
 from lamina.operators.geo import reproject
 from lamina.operators.ledger import manifest
 from lamina.operators.quality import reject_rows
-from lamina.plans.flow import Lake, load_bronze
+from lamina.plans.flow import Lake, load_bronze, read_months, read_strays
 from lamina.sources.exports import Export, export_all, export_csv, export_parquet, export_schema
 from lamina.sources.landing import read_landing
 from lamina.sources.shared import shared_path
-from lamina.sources.tables import bronze_schema, read_reference, read_table, write_metrics, write_partitions, year_window
+from lamina.sources.tables import read_reference, read_table, write_metrics, write_partitions, year_window
 from lamina.sources.warehouse import load_table, parquet_sink
 
 ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice"]
@@ -152,10 +152,10 @@ def incremental_loads(spark, sf):
         said = spark.createDataFrame([(year, m, 0)], "annee int, mois int, annonces long")
         load_bronze(spark, lake, landing, said, F.lit(name), name)
     keep = ["numero_dpe", "annee", "mois"]
-    inside = read_table(spark, lake.bronze, bronze_schema()).select(
+    inside = read_months(spark, lake).select(
         *keep, F.lit("bronze").alias("destination"), F.when(F.col("mois") == 2, "first").otherwise("second").alias("chargement")
     )
-    outside = read_table(spark, lake.out_of_load, bronze_schema().add("chargement", "string"))
+    outside = read_strays(spark, lake)
     return inside.unionByName(outside.select(*keep, F.lit("hors_chargement").alias("destination"), "chargement"))
 
 

@@ -10,14 +10,15 @@ from pyspark.sql import functions as F
 
 from lamina.functions import fixed
 from lamina.operators.checks import check_freshness, gate, run_checks
-from lamina.operators.ledger import divided, load_accounts, load_report, manifest, only_months
+from lamina.operators.ledger import load_accounts, load_report, manifest, requested
 from lamina.operators.quality import with_share
 from lamina.plans import gold
 from lamina.plans.contracts import all_contracts
 from lamina.plans.silver import SilverPaths, build_silver, silver_schemas
 from lamina.sources.exports import Export, export_all
 from lamina.sources.landing import read_landing
-from lamina.sources.tables import bronze_schema, dropped_by_window, read_table, with_month_keys, write_partitions
+from lamina.sources.snapshots import LOAD, STRAY, MonthTable, next_strays
+from lamina.sources.tables import bronze_schema, dropped_by_window, read_table, with_month_keys
 from lamina.sources.warehouse import Sink, load_table, parquet_sink
 
 MONTH_KEYS = ("annee", "mois")
@@ -33,13 +34,11 @@ class Lake:
         return f"{self.root}/{layer}/{table}"
 
     @property
-    def bronze(self) -> str:
-        return self.path("bronze", "dpe_existant")
-
-    @property
-    def out_of_load(self) -> str:
-        """Landed rows that belong to no month of their load, by load."""
-        return self.path("bronze", "hors_chargement")
+    def months(self) -> MonthTable:
+        """Bronze: the rows of each load, and the ledger that says which load holds a month."""
+        return MonthTable(
+            self.path("bronze", "dpe_existant"), self.ledger, self.path("bronze", "hors_chargement"), bronze_schema()
+        )
 
     @property
     def ledger(self) -> str:
@@ -56,31 +55,46 @@ def load_bronze(
     """Lands CSV files as the requested months and records what was written.
 
     ``announced`` holds the rows that the source announces per ``annee``, ``mois`` as
-    ``annonces``, for the months that this load requests.  Only these months are written,
+    ``annonces``, for the months that this load requests.  Only these months are replaced,
     each as a whole, so that a load never replaces part of another's.  Rows of other months
-    and rows without a readable date are kept in ``Lake.out_of_load`` under the load's name
-    (``load``, or the requested months), and a load of that name replaces them.
+    and rows without a readable date are kept under the load's name (``load``, or the
+    requested months), and a load of that name replaces them.
+
+    The landed rows are written once, by destination; months and their records change
+    together when the next version of the ledger is committed.
 
     Returns the load report with the numbers of such rows.
     """
     months = [(r["annee"], r["mois"]) for r in announced.select(*MONTH_KEYS).distinct().collect()]  # what one load requests
     name = load or "_".join(f"{a:04d}-{m:02d}" for a, m in sorted(months))
+    table, at = lake.months, lake.months.version(spark)
     rows = with_month_keys(read_landing(spark, landing), fixed.PARTITION_DATE)
-    inside, outside = divided(rows, months)
-    write_partitions(inside, lake.bronze, MONTH_KEYS, "dynamic")
-    write_partitions(outside.withColumn("chargement", F.lit(name)), lake.out_of_load, ["chargement"], "dynamic")
-    record = manifest(only_months(_months_of_bronze(spark, lake), months), announced, source_filter)
-    write_partitions(record, lake.ledger, MONTH_KEYS, "dynamic")
-    loaded = only_months(read_table(spark, lake.ledger), months)
-    return load_accounts(load_report(loaded), _out_of_load(spark, lake).filter(F.col("chargement") == name))
+    folder = table.put(rows.withColumn("_stray", ~requested(months)), "_stray")
+    written = table.loaded(spark, folder)
+    record = manifest(written.filter(~F.col(STRAY)), announced, source_filter).withColumn(LOAD, F.lit(folder))
+    record = spark.createDataFrame(record.collect(), record.schema)  # a row per requested month
+    strays = next_strays(table.stray_records(spark, at), name, folder, written.filter(STRAY))
+    ledger = table.records(spark, at)
+    if ledger is not None:
+        ledger = ledger.join(record.select(*MONTH_KEYS), list(MONTH_KEYS), "left_anti").unionByName(record)
+    at = table.commit(spark, at, record if ledger is None else ledger, strays)
+    loaded = table.records(spark, at).filter(F.col(LOAD) == folder)
+    return load_accounts(load_report(loaded), table.stray_records(spark, at).filter(F.col(LOAD) == folder))
+
+
+def read_ledger(spark: SparkSession, lake: Lake) -> DataFrame | None:
+    """A record per loaded month; None before the first load."""
+    return lake.months.records(spark)
 
 
-def _months_of_bronze(spark: SparkSession, lake: Lake) -> DataFrame:
-    return read_table(spark, lake.bronze, bronze_schema())
+def read_months(spark: SparkSession, lake: Lake) -> DataFrame:
+    """The loaded months."""
+    return lake.months.rows(spark)
 
 
-def _out_of_load(spark: SparkSession, lake: Lake) -> DataFrame:
-    return read_table(spark, lake.out_of_load, bronze_schema().add("chargement", "string"))
+def read_strays(spark: SparkSession, lake: Lake) -> DataFrame:
+    """Landed rows that belong to no month of their load, by load (``chargement``)."""
+    return lake.months.stray_rows(spark)
 
 
 def read_bronze(spark: SparkSession, lake: Lake) -> DataFrame:
@@ -88,8 +102,9 @@ def read_bronze(spark: SparkSession, lake: Lake) -> DataFrame:
 
     Stray rows of other months stay out until their month is loaded.
     """
-    undated = _out_of_load(spark, lake).filter("annee is null").drop("chargement")
-    return _months_of_bronze(spark, lake).unionByName(undated)
+    at = lake.months.version(spark)
+    undated = lake.months.stray_rows(spark, at).filter("annee is null").drop("chargement")
+    return lake.months.rows(spark, at).unionByName(undated)
 
 
 def read_silver(spark: SparkSession, lake: Lake) -> tuple[DataFrame, DataFrame]:

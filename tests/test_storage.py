@@ -1,6 +1,7 @@
 """Sources, sinks, the ledger and the whole flow on a small lake."""
 
 import datetime as dt
+import gzip
 
 import pytest
 from builders import row
@@ -9,10 +10,10 @@ from pyspark.sql import functions as F
 from lamina.functions import fixed
 from lamina.operators import ledger
 from lamina.operators.checks import ContractError, check_freshness, gate, is_true, not_null, run_checks, unique
-from lamina.plans.flow import Lake, load_bronze, load_warehouse, read_bronze, read_silver, run
+from lamina.plans.flow import Lake, load_bronze, load_warehouse, read_bronze, read_ledger, read_months, read_silver, run
 from lamina.plans.reference import builtin_reference
-from lamina.sources import exports
-from lamina.sources.landing import file_headers, read_landing
+from lamina.sources import exports, snapshots
+from lamina.sources.landing import file_headers, file_ranges, read_by_spark, read_landing
 from lamina.sources.shared import shared_path
 from lamina.sources.tables import dropped_by_window, read_table, write_partitions, year_window
 from lamina.sources.warehouse import jdbc_sink, load_table, write_parallelism
@@ -49,6 +50,47 @@ def test_codes_stay_as_they_are(spark, tmp_path):
     assert sorted(map(tuple, found.collect())) == [("01", "75.50"), ("02", None)]
 
 
+@pytest.mark.parametrize("split", [1, 7, 64, 1000])
+def test_ranges_of_a_file_hold_each_row_once(spark, tmp_path, split):
+    folder = tmp_path / "in"
+    land(folder, "a.csv", "k,v\r\n" + "".join(f'{i},"{"x" * (i % 40)}, ""q"""\r\n' for i in range(60)) + "60,last")
+    land(folder, "b.csv", "v,k\ny,100\n\nz,101\n", bom=False)
+    files = [str(folder / n) for n in ("a.csv", "b.csv")]
+    assert sum(end - start for task in file_ranges(files, split) for _, start, end in task) == sum(
+        (folder / n).stat().st_size for n in ("a.csv", "b.csv")
+    )
+    found = {r["k"]: r["v"] for r in read_landing(spark, str(folder), ["k", "v"], split_bytes=split).collect()}
+    assert found == {**{str(i): f'{"x" * (i % 40)}, "q"' for i in range(60)}, "60": "last", "100": "y", "101": "z"}
+
+
+def test_landed_files_are_one_branch_and_read_as_spark_reads_them(spark, tmp_path):
+    folder = tmp_path / "in"
+    for i in range(5):
+        land(folder, f"{i}.csv", f"k,c{i} x,unused\n{i},,u\n\"{i}b\",\"\",\n", bom=i % 2 == 0)
+    (folder / "5.csv.gz").write_bytes(gzip.compress(b"c1 x,k\n7,zipped\n"))
+    names = ["k", "c0_x", "c1_x", "absent"]
+    found = read_landing(spark, str(folder), names)
+    assert sorted(map(str, found.collect())) == sorted(
+        str(r) for r in read_landing_by_spark(spark, str(folder), names).collect()
+    )
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "Union" not in plan and "FileScan" not in plan
+
+
+def read_landing_by_spark(spark, path, names):
+    found = read_by_spark(spark, path, names)
+    return found.select(*[F.nullif(F.col(n), F.lit("")).alias(n) for n in names])
+
+
+def test_broken_rows_and_clashing_names_stop_a_load(spark, tmp_path):
+    land(tmp_path / "in", "a.csv", "k,v\n1,2,3\n")
+    with pytest.raises(Exception, match="Expected 2 columns"):
+        read_landing(spark, str(tmp_path / "in"), ["k"]).collect()
+    land(tmp_path / "clash", "a.csv", "a b,a_b\n1,2\n")
+    with pytest.raises(Exception, match="clash after repair"):
+        read_landing(spark, str(tmp_path / "clash"), ["a_b"]).collect()
+
+
 def test_nothing_landed(spark, tmp_path):
     land(tmp_path / "in", "a.csv", "", bom=False)
     assert read_landing(spark, str(tmp_path / "in"), ["numero_dpe"]).count() == 0
@@ -298,6 +340,58 @@ def test_a_load_never_replaces_rows_of_another(spark, tmp_path):
     assert {r["numero_dpe"]: r["motif_rejet"] for r in rejects.collect()} == {"U1": "date_etablissement_absente", "U2": "date_etablissement_absente"}
 
 
+def seen(spark, lake):
+    """Months as a reader finds them: rows by month from bronze, and from the ledger."""
+    rows = {r["mois"]: r["count"] for r in read_months(spark, lake).groupBy("mois").count().collect()}
+    found = read_ledger(spark, lake)
+    return rows, {} if found is None else {r["mois"]: r["rows_written"] for r in found.collect()}
+
+
+@pytest.mark.parametrize("fails", ["put", "strays", "ledger"])
+def test_a_load_that_fails_between_its_writes_changes_nothing(spark, tmp_path, monkeypatch, fails):
+    lake = Lake(str(tmp_path / "lake"))
+    assert seen(spark, lake) == ({}, {})
+    load(spark, lake, tmp_path / "m2", [certificate("A", day="2024-02-03"), certificate("U", day="?")], [(2024, 2, 1)])
+    before = seen(spark, lake)
+    assert before == ({2: 1}, {2: 1})
+
+    def stop(*args, **kwargs):
+        raise RuntimeError("stopped")
+
+    late = [certificate(k, day="2024-02-04") for k in "BC"] + [certificate("M")]
+    with monkeypatch.context() as m:
+        if fails == "put":  # the rows are written, the rest is not
+            m.setattr("lamina.plans.flow.manifest", stop)
+        elif fails == "strays":
+            m.setattr("lamina.plans.flow.next_strays", stop)
+        else:  # the files of the next version are there, but not its marker
+            m.setattr(snapshots, "_delete", stop)
+        with pytest.raises(RuntimeError):
+            load(spark, lake, tmp_path / "m3", late, [(2024, 2, 2), (2024, 3, 1)])
+    if fails == "ledger":
+        assert (tmp_path / "lake/bronze/ledger/version=2/_SUCCESS").exists()
+        assert seen(spark, lake) == ({2: 2, 3: 1}, {2: 2, 3: 1})  # committed before it stopped
+        (tmp_path / "lake/bronze/ledger/version=2/_SUCCESS").unlink()
+    assert seen(spark, lake) == before
+    assert {r["numero_dpe"] for r in read_bronze(spark, lake).collect()} == {"A", "U"}
+    report = load(spark, lake, tmp_path / "m3", late, [(2024, 2, 2), (2024, 3, 1)])
+    assert (report["total_rows"], report["incomplete"]) == (3, [])
+    assert seen(spark, lake) == ({2: 2, 3: 1}, {2: 2, 3: 1})
+    assert {r["numero_dpe"] for r in read_bronze(spark, lake).collect()} == {"B", "C", "M", "U"}
+    # U's folder is still named, for its stray.
+    assert len(lake.months.vacuum(spark)) == 1
+    assert {r["numero_dpe"] for r in read_bronze(spark, lake).collect()} == {"B", "C", "M", "U"}
+
+
+def test_two_loads_from_one_version_conflict(spark, tmp_path):
+    lake = Lake(str(tmp_path / "lake"))
+    load(spark, lake, tmp_path / "m2", [certificate("A", day="2024-02-03")], [(2024, 2, 1)])
+    table = lake.months
+    with pytest.raises(snapshots.VersionConflict):
+        table.commit(spark, 0, table.records(spark), table.stray_records(spark))
+    assert seen(spark, lake) == ({2: 1}, {2: 1})
+
+
 def test_first_lines_without_reading_on(spark, tmp_path):
     """Small files share a task, a large one is split over several."""
     for i in range(5):
