@@ -161,3 +161,37 @@ def summary(spark, sf):
         checks.is_true("lineitem", "not (flag = 'A' and l_extendedprice > 50000)", "l_quantity >= 40"),
     ]
     return checks.run_checks({"lineitem": lines, "orders": orders}, contracts)
+
+
+@query(
+    "key_contracts",
+    """
+    with c("check", table_name, column_name, severity, violations) as (
+        select 'unique', 'lineitem', 'l_partkey', 'warn', count(*) from
+            (select l_partkey from lineitem group by l_partkey having count(*) > 1)
+        union all select 'unique_combination_of_columns', 'lineitem', 'l_orderkey,l_linenumber', 'error', count(*) from
+            (select 1 from lineitem group by l_orderkey, l_linenumber having count(*) > 1)
+        union all select 'relationships', 'lineitem', 'l_orderkey', 'error', count(*) from lineitem
+            where l_orderkey not in (select o_orderkey from orders where o_orderstatus <> 'P')
+        union all select 'relationships', 'lineitem', 'l_suppkey', 'error', count(*) from lineitem
+            where l_suppkey not in (select s_suppkey from supplier)
+        union all select 'unique', 'orders', 'o_custkey', 'warn', count(*) from
+            (select o_custkey from orders where o_orderstatus <> 'P' group by o_custkey having count(*) > 1)
+        union all select 'relationships', 'orders', 'o_custkey', 'error', count(*) from orders
+            where o_orderstatus <> 'P' and o_custkey not in (select c_custkey from customer))
+    select *, case when violations = 0 then 'pass' else severity end as status from c
+    """,
+)
+def key_contracts(spark, sf):
+    """Keys and references of three tables: a scan of each, whatever the number of contracts."""
+    lines, customers, suppliers = (table(spark, sf, n) for n in ("lineitem", "customer", "supplier"))
+    orders = table(spark, sf, "orders").filter("o_orderstatus <> 'P'")
+    contracts = [
+        checks.unique("lineitem", lines, "l_partkey", checks.WARN),
+        checks.unique_combo("lineitem", lines, ["l_orderkey", "l_linenumber"]),
+        checks.relationship("lineitem", lines, orders, "l_orderkey", parent_key="o_orderkey"),
+        checks.relationship("lineitem", lines, suppliers, "l_suppkey", parent_key="s_suppkey"),
+        checks.unique("orders", orders, "o_custkey", checks.WARN),
+        checks.relationship("orders", orders, customers, "o_custkey", parent_key="c_custkey"),
+    ]
+    return checks.run_checks({"lineitem": lines, "orders": orders}, contracts)

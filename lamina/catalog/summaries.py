@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -264,6 +266,19 @@ def anomalies(spark, sf):
     return analysis.label_anomalies(lines, "l_returnflag", "l_extendedprice", "l_quantity", "A", 1000, 40)
 
 
+@query(
+    "mart_of_medians",
+    FACTS + f"""
+    select segment, {FLAGS_SQL}, {MEANS_SQL}, {MEDIAN_SQL}, {sql_round('quantile_cont(size, 0.5)', 1)} as size_median,
+        {sql_round('quantile_cont(cost, 0.5)', 0)} as cost_median from f group by segment
+    """,
+)
+def mart_of_medians(spark, sf):
+    """Few large groups, three medians: one scan, and no task with a group's values."""
+    medians = {"use_median": ("use", 1), "size_median": ("size", 1), "cost_median": ("cost", 0)}
+    return plain(summarise(facts(spark, sf), ["segment"], replace(summary(), medians=medians)))
+
+
 # --- quantiles and shares ----------------------------------------------------
 
 QUANTILES = {"p1": 0.01, "p25": 0.25, "p50": 0.5, "p75": 0.75, "p90": 0.9}

@@ -1,8 +1,10 @@
 """Declared data contracts: violating rows, a summary table and a gate.
 
 Row-level contracts of one table are evaluated together in a single scan of it, with
-the columns they need and nothing else.  Only the contracts about groups of rows
-(uniqueness, references) need a shuffle of their own, and they pre-aggregate first.
+the columns they need and nothing else.  The contracts about keys (uniqueness, references)
+of one table, as child or as parent, share a second scan and one aggregation by all their
+keys (grouping sets), which shrinks a hot key to a row per task before anything moves.
+References need no join: the keys of child and parent are counted side by side.
 """
 
 from __future__ import annotations
@@ -120,18 +122,39 @@ class GroupContract:
     weight: str | None = None
 
 
-def unique(table: str, df: DataFrame, column: str, severity: str = ERROR) -> GroupContract:
-    return GroupContract("unique", table, column, check_unique(df, column), severity)
+@dataclass(frozen=True)
+class KeyContract:
+    """Holds when no key of ``rows`` repeats or, with a ``parent``, when each key is one of the parent's.
+
+    Null keys pass, unless ``null_counts``.  Violations are repeated keys, or rows without a parent.
+    """
+
+    check: str
+    table: str
+    column: str
+    rows: DataFrame
+    keys: tuple[str, ...]
+    severity: str = ERROR
+    null_counts: bool = False
+    parent: DataFrame | None = None
+    parent_key: str | None = None
+
 
+Contract = RowContract | GroupContract | KeyContract
 
-def unique_combo(table: str, df: DataFrame, columns: Sequence[str], severity: str = ERROR) -> GroupContract:
-    rows = check_unique_combo(df, columns)
-    return GroupContract("unique_combination_of_columns", table, ",".join(columns), rows, severity)
 
+def unique(table: str, df: DataFrame, column: str, severity: str = ERROR) -> KeyContract:
+    return KeyContract("unique", table, column, df, (column,), severity)
 
-def relationship(table: str, child: DataFrame, parent: DataFrame, key: str, severity: str = ERROR) -> GroupContract:
-    rows = check_relationship(child, parent, key)
-    return GroupContract("relationships", table, key, rows, severity, weight="n_rows")
+
+def unique_combo(table: str, df: DataFrame, columns: Sequence[str], severity: str = ERROR) -> KeyContract:
+    return KeyContract("unique_combination_of_columns", table, ",".join(columns), df, tuple(columns), severity, null_counts=True)
+
+
+def relationship(
+    table: str, child: DataFrame, parent: DataFrame, key: str, severity: str = ERROR, parent_key: str | None = None
+) -> KeyContract:
+    return KeyContract("relationships", table, key, child, (key,), severity, parent=parent, parent_key=parent_key or key)
 
 
 def not_null(table: str, column: str, severity: str = ERROR) -> RowContract:
@@ -157,11 +180,13 @@ def status_of(violations: Column, severity: Column) -> Column:
     return F.when(violations == 0, F.lit(PASS)).otherwise(severity)
 
 
-def run_checks(tables: Mapping[str, DataFrame], contracts: Sequence[RowContract | GroupContract]) -> DataFrame:
+def run_checks(tables: Mapping[str, DataFrame], contracts: Sequence[Contract]) -> DataFrame:
     """``(check, table_name, column_name, severity, violations, status)``, one row per contract."""
     parts = [_row_summary(df, [c for c in contracts if isinstance(c, RowContract) and c.table == name])
              for name, df in tables.items()
              if any(isinstance(c, RowContract) and c.table == name for c in contracts)]
+    keyed = [c for c in contracts if isinstance(c, KeyContract)]
+    parts += [_key_summary(keyed)] if keyed else []
     parts += [_group_summary(c) for c in contracts if isinstance(c, GroupContract)]
     missing = {c.table for c in contracts if isinstance(c, RowContract)} - set(tables)
     if missing:
@@ -173,6 +198,11 @@ def run_checks(tables: Mapping[str, DataFrame], contracts: Sequence[RowContract
 def _row_summary(df: DataFrame, contracts: Sequence[RowContract]) -> DataFrame:
     """All row contracts of one table from one aggregation, turned into rows."""
     counted = df.agg(*[F.count_if(c.violation).alias(f"_{i}") for i, c in enumerate(contracts)])
+    return _as_rows(counted, contracts)
+
+
+def _as_rows(counted: DataFrame, contracts: Sequence[Contract]) -> DataFrame:
+    """A row per contract from one row of counts, ``_0`` and so on."""
     entries = [
         F.struct(
             F.lit(c.check).alias("check"),
@@ -186,6 +216,58 @@ def _row_summary(df: DataFrame, contracts: Sequence[RowContract]) -> DataFrame:
     return counted.select(F.inline(F.array(*entries)))
 
 
+def _key_summary(contracts: Sequence[KeyContract]) -> DataFrame:
+    """All key contracts, each table scanned once."""
+    # What is asked of each table: (contract, keys, whether as a parent).
+    asked: dict[int, tuple[DataFrame, list[tuple[int, tuple[str, ...], bool]]]] = {}
+    types = {}
+    for i, c in enumerate(contracts):
+        asked.setdefault(id(c.rows), (c.rows, []))[1].append((i, c.keys, False))
+        if c.parent is not None:
+            asked.setdefault(id(c.parent), (c.parent, []))[1].append((i, (c.parent_key,), True))
+            types[i] = c.rows.select(*c.keys).union(c.parent.select(c.parent_key)).schema[0].dataType
+    parts = [_keys_of(df, roles, contracts, types) for df, roles in asked.values()]
+    met = reduce(DataFrame.unionByName, parts).groupBy("contract", *[f"key{i}" for i in types])
+    summed = met.agg(*[F.sum(n).alias(n) for n in ("repeated", "children", "parents")])
+    broken = F.col("repeated") + F.when(F.col("parents") == 0, F.col("children")).otherwise(0)
+    zero = F.lit(0).cast("bigint")
+    counts = [F.coalesce(F.sum(F.when(F.col("contract") == i, broken)), zero).alias(f"_{i}") for i in range(len(contracts))]
+    return _as_rows(summed.agg(*counts), contracts)
+
+
+def _keys_of(df: DataFrame, roles: Sequence[tuple[int, tuple[str, ...], bool]], contracts: Sequence[KeyContract], types: Mapping) -> DataFrame:
+    """Repeated keys, and the keys of references, from one aggregation by every key that is asked for."""
+    sets = list(dict.fromkeys(keys for _, keys, _ in roles))
+    columns = list(dict.fromkeys(c for keys in sets for c in keys))
+    given = df.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(columns)])
+    number = {c: i for i, c in enumerate(columns)}
+    counted = given.groupingSets([[f"_k{number[c]}" for c in keys] for keys in sets], *given.columns).agg(
+        F.count(F.lit(1)).alias("_n"), *[F.grouping(c).alias(f"_g{c}") for c in given.columns]
+    )
+    none, one = F.lit(0).cast("bigint"), F.lit(1).cast("bigint")
+    entries = []
+    for i, keys, as_parent in roles:
+        mine = F.lit(True)
+        for c in given.columns:
+            mine = mine & (F.col(f"_g{c}") == (0 if int(c[2:]) in {number[k] for k in keys} else 1))
+        if not contracts[i].null_counts:
+            for k in keys:
+                mine = mine & F.col(f"_k{number[k]}").isNotNull()
+        reference = contracts[i].parent is not None
+        entry = F.struct(
+            F.lit(i).alias("contract"),
+            *[
+                (F.col(f"_k{number[keys[0]]}") if r == i else F.lit(None)).cast(kind).alias(f"key{r}")
+                for r, kind in types.items()
+            ],
+            (none if reference else F.when(F.col("_n") > 1, one).otherwise(none)).alias("repeated"),
+            (F.col("_n") if reference and not as_parent else none).alias("children"),
+            (one if as_parent else none).alias("parents"),
+        )
+        entries.append(F.when(mine, entry))
+    return counted.select(F.inline(F.array(*entries))).filter("contract is not null")
+
+
 def _group_summary(c: GroupContract) -> DataFrame:
     n = F.count(F.lit(1)) if c.weight is None else F.coalesce(F.sum(c.weight), F.lit(0).cast("bigint"))
     return c.violations.agg(n.alias("violations")).select(

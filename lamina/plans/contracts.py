@@ -9,8 +9,7 @@ from pyspark.sql import DataFrame
 from lamina.functions import fixed
 from lamina.operators.checks import (
     WARN,
-    GroupContract,
-    RowContract,
+    Contract,
     accepted,
     in_range,
     is_true,
@@ -20,7 +19,7 @@ from lamina.operators.checks import (
     unique_combo,
 )
 
-Contracts = list[RowContract | GroupContract]
+Contracts = list[Contract]
 
 
 def source_contracts(t: Mapping[str, DataFrame]) -> Contracts:
