@@ -97,12 +97,12 @@ def read_strays(spark: SparkSession, lake: Lake) -> DataFrame:
     return lake.months.stray_rows(spark)
 
 
-def read_bronze(spark: SparkSession, lake: Lake) -> DataFrame:
+def read_bronze(spark: SparkSession, lake: Lake, version: int | None = None) -> DataFrame:
     """The loaded months, and the undated rows of all loads: silver rejects these with a motive.
 
     Stray rows of other months stay out until their month is loaded.
     """
-    at = lake.months.version(spark)
+    at = lake.months.version(spark) if version is None else version
     undated = lake.months.stray_rows(spark, at).filter("annee is null").drop("chargement")
     return lake.months.rows(spark, at).unionByName(undated)
 

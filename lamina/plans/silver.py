@@ -126,8 +126,8 @@ def build_silver(
     paths: SilverPaths,
     as_of: Column | None = None,
     overwrite: str = "static",
-) -> None:
-    """Writes the current rows, the rejects and the metrics of one run.
+) -> DataFrame:
+    """Writes the current rows, the rejects and the metrics of one run; returns the prepared rows.
 
     Each output reads only the columns it needs of the stored, deduplicated rows.
     """
@@ -135,3 +135,4 @@ def build_silver(
     write_partitions(current_rows(prepared), paths.current, CURRENT_KEYS, overwrite)
     write_partitions(rejected_rows(prepared), paths.rejects, REJECT_KEYS, overwrite)
     write_metrics(metrics(bronze, prepared), paths.metrics)
+    return prepared

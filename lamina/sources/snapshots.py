@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import re
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -153,6 +153,40 @@ def _versions(spark: SparkSession, folder: str) -> list[int]:
     return [int(n) for n in _names(spark, folder, "version") if n.isdigit()]
 
 
+@dataclass(frozen=True)
+class Versions:
+    """Tables that belong together; a version exists once the last of them is complete."""
+
+    root: str
+    names: Sequence[str]
+
+    def version(self, spark: SparkSession) -> int:
+        last = f"{self.root}/{self.names[-1]}"
+        return max((v for v in _versions(spark, last) if _exists(spark, f"{last}/version={v}/_SUCCESS")), default=0)
+
+    def read(self, spark: SparkSession) -> dict[str, DataFrame] | None:
+        """The newest version's tables; None before the first."""
+        at = self.version(spark)
+        return {n: spark.read.parquet(f"{self.root}/{n}/version={at}") for n in self.names} if at else None
+
+    def put(self, spark: SparkSession, tables: Mapping[str, DataFrame]) -> int:
+        """Writes the next version, then deletes older ones."""
+        version = self.version(spark) + 1
+        for name in self.names:
+            tables[name].write.mode("overwrite").parquet(f"{self.root}/{name}/version={version}")
+        for name in self.names:
+            for old in _versions(spark, f"{self.root}/{name}"):
+                if old < version:
+                    _delete(spark, f"{self.root}/{name}/version={old}")
+        return version
+
+    @staticmethod
+    def drop_partition(spark: SparkSession, path: str, values: Mapping[str, object]) -> None:
+        """Deletes a partition of a table."""
+        named = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString
+        _delete(spark, "/".join([path, *(named(k, None if v is None else str(v)) for k, v in values.items())]))
+
+
 def next_strays(current: DataFrame, name: str, load: str, outside: DataFrame, keys: Sequence[str] = MONTH) -> DataFrame:
     """Stray records after a load: those of its name are replaced."""
     undated = F.col(keys[0]).isNull()
