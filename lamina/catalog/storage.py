@@ -6,13 +6,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lamina.catalog.base import query, sql_located, table
-from lamina.catalog.ledgers import announced, dated_orders
+from lamina.catalog.ledgers import announced, calendar, dated_orders
 from lamina.catalog.ruling import ITEMS, METRICS, long_metrics, prepared
 from lamina.functions import fixed
 from lamina.operators.geo import reproject
-from lamina.operators.ledger import manifest
+from lamina.operators.ledger import manifest, only_months
 from lamina.operators.quality import reject_rows
-from lamina.plans.flow import Lake, load_bronze, read_months, read_strays
+from lamina.plans.backfill import backfill
+from lamina.plans.flow import Lake, load_bronze, read_ledger, read_months, read_silver, read_strays
+from lamina.plans.incremental import update_silver
 from lamina.sources.exports import Export, export_all, export_csv, export_parquet, export_schema
 from lamina.sources.landing import read_landing
 from lamina.sources.shared import shared_path
@@ -159,6 +161,82 @@ def incremental_loads(spark, sf):
     return inside.unionByName(outside.select(*keep, F.lit("hors_chargement").alias("destination"), "chargement"))
 
 
+@query(
+    "incremental_silver",
+    """
+    with o as (select o_orderkey as k, case when year(o_orderdate) = 1997 and month(o_orderdate) = 1 and o_orderkey % 3 = 0
+        then 1999 else year(o_orderdate) end as y from orders),
+    s as (select o.*, k in (select k + 1 from o where k % 20 = 0) as superseded from o)
+    select cast(k as varchar) as numero_dpe, cast(y as integer) as annee_etablissement,
+        lpad(cast(k % 12 as varchar), 2, '0') as code_region_ban,
+        case when superseded then 'remplace_par_dpe_recent' when k % 50 = 0 then 'surface_invalide' end as motif_rejet
+    from s
+    """,
+)
+def incremental_silver(spark, sf):
+    """Silver of all orders, then of two months landed anew: a third of one month's keys moved to the other."""
+    lake = Lake(shared_path(spark, "lake"))
+    k = F.col("o_orderkey")
+    orders = dated_orders(spark, sf).withColumn("day", F.date_format("o_orderdate", "yyyy-MM-dd"))
+    moved = (F.col("annee") == 1997) & (F.col("mois") == 1) & (k % 3 == 0)
+    again = orders.filter("(annee = 1997 or annee = 1999) and mois = 1").withColumn("day", F.when(moved, "1999-01-15").otherwise(F.col("day")))
+    months = orders.select("annee", "mois").distinct()
+    for name, rows, asked in (("all", orders, months), ("again", again, months.filter("annee in (1997, 1999) and mois = 1"))):
+        rows.select(
+            k.cast("string").alias("numero_dpe"),
+            F.when(k % 20 == 0, (k + 1).cast("string")).otherwise("").alias("numero_dpe_remplace"),
+            F.col("day").alias("date_etablissement_dpe"),
+            F.when(moved, "2001-01-01").otherwise("2000-01-01").alias("date_derniere_modification_dpe"),
+            F.lit("D").alias("etiquette_dpe"),
+            F.lit("05061").alias("code_insee_ban"),
+            F.lpad((k % 12).cast("string"), 2, "0").alias("code_region_ban"),
+            F.when(k % 50 == 0, "0").otherwise("80").alias("surface_habitable_logement"),
+            F.lit("200").alias("conso_5 usages_par_m2_ep"),
+        ).write.option("header", True).csv(f"{lake.root}/landing/{name}")
+        load_bronze(spark, lake, f"{lake.root}/landing/{name}", asked.withColumn("annonces", F.lit(0)), F.lit(name), name)
+        update_silver(spark, lake, F.lit("2002-01-01").cast("date"))
+    current, rejects = read_silver(spark, lake)
+    keep = ["numero_dpe", "annee_etablissement", "code_region_ban"]
+    return current.select(*keep, F.lit(None).cast("string").alias("motif_rejet")).unionByName(rejects.select(*keep, "motif_rejet"))
+
+
+class OrderMonths:
+    """A source whose months are those of the orders."""
+
+    def __init__(self, spark: SparkSession, sf: str):
+        self.said = announced(spark, sf)
+        self.orders = dated_orders(spark, sf).select(
+            F.col("o_orderkey").alias("numero_dpe"), F.date_format("o_orderdate", "yyyy-MM-dd").alias(fixed.PARTITION_DATE), "annee", "mois"
+        )
+
+    def announced(self, calendar: DataFrame) -> DataFrame:
+        return calendar.join(self.said, ["annee", "mois"])
+
+    def land(self, months, folder: str) -> None:
+        only_months(self.orders, months).drop("annee", "mois").write.option("header", True).csv(folder)
+
+    def filter_of(self):
+        return F.concat_ws("-", "annee", "mois")
+
+
+@query(
+    "backfill_months",
+    """
+    with c as (select cast(year(o_orderdate) as integer) as annee, cast(month(o_orderdate) as integer) as mois, count(*) as n
+        from orders group by all),
+    a as (select *, case mois when 6 then n + 1 when 11 then 0 else n end as said from c)
+    select annee, mois, n as rows_written, said as rows_announced_by_source, n = said as is_complete from a where said > 0
+    """,
+)
+def backfill_months(spark, sf):
+    """All months of the orders, in a run that is capped and one that takes up the rest."""
+    lake = Lake(shared_path(spark, "lake"))
+    months, source = calendar(spark, sf), OrderMonths(spark, sf)
+    backfill(spark, lake, source, months, cap=30, batch=30, stop_on_failure=True)
+    backfill(spark, lake, source, months, batch=60, stop_on_failure=True)
+    return read_ledger(spark, lake).select("annee", "mois", "rows_written", "rows_announced_by_source", "is_complete")
+
+
 @query(
     "rejects_roundtrip",
     ITEMS + """

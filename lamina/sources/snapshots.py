@@ -75,7 +75,7 @@ class MonthTable:
 
     def version(self, spark: SparkSession) -> int:
         """The newest committed version; 0 before the first load."""
-        done = [v for v in _versions(spark, self.ledger) if _exists(spark, f"{self.ledger}/version={v}/_SUCCESS")]
+        done = [v for v in _versions(spark, self.ledger) if exists(spark, f"{self.ledger}/version={v}/_SUCCESS")]
         return max(done, default=0)
 
     def records(self, spark: SparkSession, version: int | None = None) -> DataFrame | None:
@@ -130,7 +130,7 @@ def _path(spark: SparkSession, path: str):
     return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def exists(spark: SparkSession, path: str) -> bool:
     files, at = _path(spark, path)
     return files.exists(at)
 
@@ -162,7 +162,7 @@ class Versions:
 
     def version(self, spark: SparkSession) -> int:
         last = f"{self.root}/{self.names[-1]}"
-        return max((v for v in _versions(spark, last) if _exists(spark, f"{last}/version={v}/_SUCCESS")), default=0)
+        return max((v for v in _versions(spark, last) if exists(spark, f"{last}/version={v}/_SUCCESS")), default=0)
 
     def read(self, spark: SparkSession) -> dict[str, DataFrame] | None:
         """The newest version's tables; None before the first."""

@@ -8,6 +8,7 @@ import pytest
 from builders import HEADER, certificate, land
 from pyspark.sql import functions as F
 
+from lamina.plans.backfill import backfill, months_between, progress, refresh
 from lamina.plans.flow import Lake, load_bronze, read_bronze, read_silver
 from lamina.plans.incremental import rebuild_silver, update_silver
 from lamina.plans.silver import SilverPaths, build_silver, silver_schemas
@@ -113,3 +114,49 @@ def test_an_update_that_stops_is_done_again(spark, tmp_path, monkeypatch):
             update_silver(spark, lake, as_of())
     assert update_silver(spark, lake, as_of()).months == [(2024, 1)]
     assert silver_rows(spark, lake) == whole(spark, lake, tmp_path / "whole")[0]
+
+
+class Pages:
+    """A source of made-up months: months by number of rows; some of them break."""
+
+    def __init__(self, spark, rows, broken=()):
+        self.spark, self.rows, self.broken, self.landed = spark, rows, set(broken), []
+
+    def announced(self, calendar):
+        said = self.spark.createDataFrame([(*m, n) for m, n in self.rows.items()], "annee int, mois int, annonces long")
+        return calendar.join(said, ["annee", "mois"])
+
+    def land(self, months, folder):
+        self.landed += months
+        if self.broken & set(months):
+            raise OSError("no answer")
+        lines = [certificate(f"{y}{m}-{i}", day=f"{y}-{m:02d}-0{i + 1}") for y, m in months for i in range(self.rows[y, m])]
+        os.makedirs(folder)
+        with open(f"{folder}/page.csv", "w") as f:
+            f.write("\n".join([HEADER, *lines]) + "\n")
+
+    def filter_of(self):
+        return F.concat_ws("-", "annee", "mois")
+
+
+def test_a_rerun_loads_only_what_is_missing(spark, tmp_path):
+    lake = Lake(str(tmp_path / "lake"))
+    source = Pages(spark, {(2024, 1): 2, (2024, 2): 1, (2024, 3): 0, (2024, 4): 3}, broken=[(2024, 2)])
+    calendar = months_between(spark, dt.date(2024, 1, 1), dt.date(2024, 5, 31))
+    first = backfill(spark, lake, source, calendar)
+    assert first.loaded == [(2024, 1), (2024, 4)] and first.failed == {(2024, 2): "OSError: no answer"}
+    state = {r["mois"]: (r["etat"], r["passages"], r["derniere_erreur"]) for r in progress(spark, lake, calendar).collect()}
+    assert state == {
+        1: ("ok", 1, None), 2: ("absente", 1, "OSError: no answer"), 3: ("absente", 0, None), 4: ("ok", 1, None), 5: ("absente", 0, None),
+    }
+    source.broken, source.landed = set(), []
+    assert backfill(spark, lake, source, calendar).loaded == source.landed == [(2024, 2)]
+    assert backfill(spark, lake, source, calendar).loaded == []
+    source.landed = []
+    again = refresh(spark, lake, source, F.lit(dt.date(2024, 4, 9)), n=2, batch=2)
+    assert again.loaded == source.landed == [(2024, 2), (2024, 4)]
+    assert read_bronze(spark, lake).count() == 6
+    source.broken = {(2024, 1)}
+    with pytest.raises(OSError):
+        backfill(spark, lake, source, calendar, force=True, cap=1, stop_on_failure=True)
+    assert {r["mois"]: r["passages"] for r in progress(spark, lake, calendar).collect()} == {1: 2, 2: 3, 3: 0, 4: 2, 5: 0}
