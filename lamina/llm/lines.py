@@ -200,9 +200,9 @@ def deduplicated(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
     )
     matches, id_, version_ = (fresh(n, docs.columns) for n in ("matches", "id", "version"))
     shared = held.join(owners, "line").filter("doc_id > owner")
-    # A document's lines and at most twice as many runs, once each: bounded by its text.
+    # A document's lines and at most twice as many runs, once each, also where its row is repeated: bounded by its text.
     per_doc = shared.groupBy(F.col("doc_id").alias(id_), F.col("version").alias(version_)).agg(
-        F.collect_list(F.struct("owner", "owner_version", "line", "owner_places", "places", "words")).alias(matches)
+        F.collect_set(F.struct("owner", "owner_version", "line", "owner_places", "places", "words")).alias(matches)
     )
     same = (F.col("doc_id") == F.col(id_)) & (version == F.col(version_))
     joined = docs.join(per_doc, same, "left").select(*docs.columns, matches)

@@ -1,6 +1,6 @@
 """Approximate nearest neighbours by adaptive dimension scan in probed lists.
 
-An index of lists is fitted on a bounded sample: k-means centroids (about the root of the
+An index of lists is fitted on a bounded sample of different vectors that take part: k-means centroids (about the root of the
 number of vectors, at most ``MAX_LISTS``), a random rotation, and the number of lists to
 probe, which is the least that reaches ``recall`` on the sample itself.  Every vector is
 indexed: it goes to the list of its nearest centroid, and lists are cut into blocks of
@@ -13,7 +13,7 @@ hypothesis test: a rotated vector's coordinates are a random sample of it).  Wha
 is abandoned, what survives all columns gets its exact distance in double precision on the
 original vectors.
 
-Vectors that are null, zero, of another length than the sample's most frequent one, or
+Vectors that are null, zero, of another length than the most frequent one, or
 hold null or non-finite components take no part.  Rows that repeat a vec_id are rows of
 their own, but none is a candidate for a query of that id; a repeated query row counts
 once.  Ties go to the smaller vec_id.  A null vec_id takes no part.  Other columns are
@@ -115,6 +115,21 @@ def scan(query: np.ndarray, turned_query: np.ndarray, block: np.ndarray, turned:
     return found[best], distance[best]
 
 
+def sampled(rows: DataFrame, dims: int, n: int, most: int) -> np.ndarray:
+    """Different vectors among ``n`` rows, the same in each run; tasks pass on about twice as many as are taken.
+
+    Copies are in the sample together or not at all, so a share that copies leave empty is widened.
+    """
+    slots, share = 1 << 30, min(1.0, 2 * most / n)
+    place = F.pmod(F.xxhash64("vector"), F.lit(slots))
+    while True:
+        found = rows.select("vector").filter(place < int(slots * share) + 1).distinct().orderBy(place, "vector").limit(most)
+        column = found.toArrow().column(0)
+        if len(column) >= min(most, 1000) or share >= 1:
+            return vectors(column.combine_chunks(), dims)[1]
+        share = min(1.0, 16 * share)
+
+
 LISTED = "vec_id long, list int, vector binary"
 
 
@@ -134,23 +149,23 @@ def nearest(
     rows = table.filter(F.col(key).isNotNull()).select(
         F.col(key).cast("long").alias("vec_id"), F.col(vector).cast("array<double>").alias("vector"), is_query.alias("is_query")
     )
-    # A bounded sample, the same in each run.
-    sampled = rows.filter("vector is not null").orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample_rows).select("vector").toArrow()
-    lengths = sampled.column(0).to_pylist()
-    dims = max(set(map(len, lengths)), key=lambda n: (sum(len(r) == n for r in lengths), n), default=0)
-    _, sample = vectors(sampled.column(0).combine_chunks() if len(lengths) else pa.array([], pa.list_(pa.float64())), dims)
-    result = "query_id long, rank int, vec_id long, score double"
-    if not len(sample):
-        return spark.createDataFrame([], result)
-    index = fit(sample, rows.count(), recall, k)
+    good = "forall(vector, x -> x is not null and abs(x) < double('infinity')) and exists(vector, x -> x <> 0)"
+    lengths = rows.filter(good).groupBy(F.size("vector").alias("dims")).agg(F.count(F.lit(1)).alias("n"))
+    most = lengths.orderBy(F.desc("n"), F.desc("dims")).first()
+    if most is None:
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    rows = rows.filter(F.size("vector") == most["dims"]).filter(good)
+    sample = sampled(rows, most["dims"], most["n"], sample_rows)
+    index = fit(sample, most["n"], recall, k)
     shared = spark.sparkContext.broadcast(astuple(index))  # at most MAX_LISTS centroids
     listed = store(
         rows.select("vec_id", "vector", "is_query").mapInArrow(_to_lists(shared), LISTED + ", is_query boolean"), "lists"
     )
     counts = {r["list"]: r["n"] for r in listed.groupBy("list").agg(F.count(F.lit(1)).alias("n")).collect()}  # a row per list
-    probed = store(
-        listed.filter("is_query").select("vec_id", "vector").distinct().mapInArrow(_probed(shared, counts, k), LISTED), "probes"
-    )
+    # Rows of the query's own id are no candidates, however many there are.
+    repeated = listed.groupBy("vec_id").agg(F.count(F.lit(1)).alias("own")).filter("own > 1")
+    asked = listed.filter("is_query").select("vec_id", "vector").distinct().join(repeated, "vec_id", "left")
+    probed = store(asked.mapInArrow(_probed(shared, counts, k), LISTED), "probes")
     asking = {r["list"]: r["n"] for r in probed.groupBy("list").agg(F.count(F.lit(1)).alias("n")).collect()}
     sizes = spark.createDataFrame(
         [(i, -(-n // block_rows), -(-asking[i] // block_rows)) for i, n in counts.items() if i in asking],
@@ -193,7 +208,7 @@ def _to_lists(shared):
 
 
 def _probed(shared, counts: dict[int, int], k: int):
-    """Each query once for each list that it probes: so many lists, and more until they hold enough."""
+    """Each query once for each list that it probes: so many lists, and more until they hold enough besides its own rows."""
 
     def run(batches):
         index = Index(*shared.value)
@@ -202,7 +217,8 @@ def _probed(shared, counts: dict[int, int], k: int):
             if not b.num_rows:
                 continue
             order = np.argsort(squared(_matrix(b.column(1), index.dims), index.centroids), axis=1, kind="stable")
-            enough = (np.cumsum(held[order], axis=1) < 2 * k).sum(axis=1) + 1
+            own = b.column(2).fill_null(1).to_numpy()
+            enough = (np.cumsum(held[order], axis=1) < 2 * k + own[:, None]).sum(axis=1) + 1
             n = np.minimum(np.maximum(index.probes, enough), order.shape[1])
             for a in range(0, b.num_rows, 64):
                 rows = np.repeat(np.arange(a, min(a + 64, b.num_rows)), n[a : a + 64])

@@ -90,7 +90,35 @@ where not same and 80 * positive_score <= 100 * score and 100 * score <= 100 * p
 qualify row_number() over (partition by anchor_id, positive_id order by score desc, vec_id) <= 5
 """
 
+EXACT = r"""
+with n as (
+  select doc_id, length(coalesce(text, '')) as points, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') as content
+  from documents),
+g as (
+  select doc_id, points, content, first_value(doc_id) over (partition by content order by points desc, doc_id) as keep_id,
+         count(*) over (partition by content) as group_size
+  from n)
+select doc_id, keep_id, group_size, doc_id = keep_id as kept, sha256(content) as text_sha256, points as n_points from g
+"""
+
+SUBSTRINGS = r"""
+with docs as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents),
+windows as (
+  select doc_id, i, array_to_string(list_slice(w, i, i + 19), ' ') as run
+  from (select doc_id, w, unnest(range(1, len(w) - 18)) as i from docs where len(w) >= 20)),
+repeated as (select doc_id, i from windows qualify row_number() over (partition by run order by doc_id, i) > 1),
+gone as (select distinct doc_id, unnest(range(i, i + 20)) as place from repeated),
+words as (select doc_id, unnest(w) as word, unnest(range(1, len(w) + 1)) as place from docs),
+kept as (
+  select doc_id, string_agg(word, ' ' order by place) as text, count(*) as n from words anti join gone using (doc_id, place)
+  group by doc_id)
+select doc_id, len(w)::bigint as n_words, (len(w) - coalesce(n, 0))::bigint as n_removed, sha256(coalesce(text, '')) as kept_sha256
+from docs left join kept using (doc_id)
+"""
+
 SQL = {
+    "op4_fm_substrings": SUBSTRINGS,
+    "op9_grace_dedup": EXACT,
     "op11_divergence_audit": DIVERGENCE,
     "op12_hard_negatives": HARD_NEGATIVES,
     "op13_decontaminate": DECONTAMINATE,

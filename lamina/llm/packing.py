@@ -39,8 +39,8 @@ SEQUENCE = 2048
 END_ID = 0
 # Buckets in which the pieces of a length are ranked.
 BUCKETS = 512
-# Entries of a task's table of known chunks, after which it starts afresh.
-KNOWN = 2_000_000
+# Bytes of a task's table of known chunks, after which it starts afresh.
+KNOWN_BYTES = 128 << 20
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -155,21 +155,31 @@ class Ids:
         for token, i in ranks.items():
             self.lengths[i] = len(token)
         self.known: dict[str, bytes] = {}
+        self.bytes = 0
 
     def _learn(self, chunks: list[str]) -> None:
         """Adds chunks, each to be preceded by a space and without one in itself."""
-        ids = self.coder.encode_to_numpy(" " + " ".join(chunks), disallowed_special=()).astype("<u4")
+        ids = np.frombuffer(self._ids(" " + " ".join(chunks)), dtype="<u4")
         ends = np.cumsum(self.lengths[ids])
         upto = np.searchsorted(ends, np.cumsum([1 + len(c.encode()) for c in chunks]), "left") + 1
         data, at = ids.tobytes(), 0
         for chunk, i in zip(chunks, upto.tolist()):
             self.known[chunk] = data[4 * at : 4 * i]
+            self.bytes += 200 + 4 * len(chunk) + 4 * (i - at)
             at = i
 
     def _whole(self, text: str) -> bytes:
-        if any(x in text for x in self.special):
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
-        return self.coder.encode_to_numpy(text, disallowed_special=()).astype("<u4").tobytes()
+        return self._by_tokenizer(text) if any(x in text for x in self.special) else self._ids(text)
+
+    def _by_tokenizer(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+
+    def _ids(self, text: str) -> bytes:
+        try:
+            return self.coder.encode_to_numpy(text, disallowed_special=()).astype("<u4").tobytes()
+        except ValueError:
+            # Its pattern gives up on very long runs of white space.
+            return self._by_tokenizer(text)
 
     def _by_itself(self, text: str) -> bool:
         touching = text[:1].isspace() or text[-1:].isspace() or TOUCHING.search(text)
@@ -181,8 +191,9 @@ class Ids:
         for s in split:
             if s:
                 words.update(s[1:])
-        if len(self.known) > KNOWN:
+        if self.bytes > KNOWN_BYTES:
             self.known.clear()
+            self.bytes = 0
         if new := list(words.difference(self.known)):
             self._learn(new)
         find = self.known.__getitem__

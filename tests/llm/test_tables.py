@@ -306,3 +306,12 @@ def test_packing_edges(documents):
     assert packing.pack_documents(documents(), tokenizer_path()).count() == 0
     got = rows(packing.pack_documents(documents((1, None), (1, ""), (None, "x")), tokenizer_path()))
     assert sorted(r["length"] for r in got) == [1, 1, 2] and {r["sequence_id"] for r in got} == {0}
+
+
+def test_ids_of_long_white_space(documents, monkeypatch):
+    monkeypatch.setattr(packing, "KNOWN_BYTES", 1000)
+    texts = ["a" + " " * 1_000_000 + "b", "x" + "\n" * 300_000 + "y z", "word " * 5000]
+    tokenizer = packing.Tokenizer.from_file(tokenizer_path())
+    expected = [len(tokenizer.encode(t, add_special_tokens=False).ids) + 1 for t in texts]
+    got = rows(packing.pack_documents(documents(*enumerate(texts)), tokenizer_path()))
+    assert [sum(r["length"] for r in got if r["doc_id"] == i) for i in range(3)] == expected

@@ -307,6 +307,14 @@ def test_lines_against_brute_force(corpus, corpus_rows):
         assert got[i]["n_removed"] == len(gone)
 
 
+def test_many_rows_of_one_document(documents):
+    block = "\n".join(f"line {i} of the block" for i in range(60))
+    docs = documents((1, block + "\nfirst of its own"), *[(2, block + "\nsecond of its own")] * 2000)
+    got = rows(lines.deduplicated(docs))
+    assert len(got) == 2001
+    assert {(r["doc_id"], r["text"], r["n_removed"]) for r in got} == {(1, block + "\nfirst of its own", 0), (2, "second of its own", 60)}
+
+
 def test_blocks_go_whoever_owns_their_lines(documents):
     """Documents copied from one that owns none or few of their lines."""
     home = "Home\na long line of words\nAbout us"
@@ -395,6 +403,20 @@ def test_nearest_edges(spark):
     assert sorted((q, r, v) for q, r, v, _ in got) == [(0, 1, 100), (0, 2, 100), (0, 3, 2), (0, 4, 3), (100, 1, 0), (100, 2, 2), (100, 3, 3)]
 
 
+def test_hot_rows_that_take_no_part_hide_no_others(spark):
+    """A zero vector and one of another length, each under a hot id; and an id with many rows of its own."""
+    rng = np.random.default_rng(4)
+    kind = "vec_id long, embedding array<float>"
+    good = [(i, rng.normal(size=6).astype(np.float32).tolist()) for i in range(200, 500)]
+    bad = [(7, [0.0] * 6)] * 900 + [(8, [1.0] * 5)] * 200 + [(9, [float("inf")] + [1.0] * 5)] * 300
+    own = [(300, good[100][1])] * 400
+    df = spark.createDataFrame(good + bad + own, kind)
+    got = rows(neighbours.nearest(df, F.col("vec_id") % 100 == 0, sample_rows=40))
+    assert {r["query_id"] for r in got} == {200, 300, 400}
+    assert all(sum(r["query_id"] == q for r in got) == 10 for q in (200, 300, 400))
+    assert not any(r["vec_id"] in (7, 8, 9, r["query_id"]) for r in got)
+
+
 def test_hot_list_is_cut_into_blocks(spark):
     rng = np.random.default_rng(5)
     same = [(i, [1.0] * 8) for i in range(1, 400)]
