@@ -141,20 +141,20 @@ def _hex(words: list[int]) -> str:
     return "".join(f"{x:016x}" for x in words)
 
 
-def _words(prints: list[str], words64: int) -> np.ndarray:
+def _words(prints: list[bytes], words64: int) -> np.ndarray:
     """One row of 64-bit words per fingerprint, whatever may follow it."""
-    data = bytes.fromhex("".join(prints))
-    return np.frombuffer(data, dtype=">u8").astype(np.uint64).reshape(len(prints), -1)[:, :words64]
+    return np.frombuffer(b"".join(prints), dtype=">u8").astype(np.uint64).reshape(len(prints), -1)[:, :words64]
 
 
 def balls(scheme: Scheme):
-    """The meeting places (segment, value) of each fingerprint."""
+    """The meeting places (segment, value) of each fingerprint, which goes there as bytes."""
 
     def run(batches):
         for b in batches:
-            prints = b.column(0).to_pylist()
+            prints = [bytes.fromhex(p) for p in b.column(0).to_pylist()]
             if not prints:
                 continue
+            sent = pa.array(prints, pa.binary())
             words, places, rows = _words(prints, scheme.words64), [], []
             for s, (first, width, radius) in enumerate(scheme.segments):
                 value = (words[:, first // 64] >> np.uint64(first % 64)) & np.uint64((1 << width) - 1)
@@ -166,7 +166,7 @@ def balls(scheme: Scheme):
                     places.append(value[without] | np.uint64(1 << bit) | tag)
                     rows.append(without)
             at = np.concatenate(rows)
-            column = b.column(0).take(pa.array(at))
+            column = sent.take(pa.array(at))
             place = pa.array(np.concatenate(places).astype(np.int64))
             step = 50_000
             for i in range(0, len(at), step):
@@ -228,46 +228,51 @@ def met(scheme: Scheme):
     distances = (*NEARER, scheme.max_bits) if scheme.least_similarity else (scheme.max_bits,)
 
     def run(batches):
-        out: list[tuple[str, str]] = []
+        out: list[tuple[bytes, bytes]] = []
         for prints in _groups(batches):
             words = _words(prints, scheme.words64)
             for most in distances:
                 for a, z in spanning_links(words, most):
                     out.append((min(prints[a], prints[z]), max(prints[a], prints[z])))
             if len(out) > 20_000:
-                yield _links(out)
+                yield _hex_links(out)
                 out = []
         if out:
-            yield _links(out)
+            yield _hex_links(out)
 
     return run
 
 
 def met_apart(scheme: Scheme):
     """All near pairs of each place with different roots; rows are fingerprint and root in one."""
-    digits = 16 * scheme.words64
+    size = 8 * scheme.words64
 
     def run(batches):
-        out: list[tuple[str, str]] = []
+        out: list[tuple[bytes, bytes]] = []
         for rows in _groups(batches):
-            roots = np.unique([r[digits:] for r in rows], return_inverse=True)[1]
+            numbers: dict[bytes, int] = {}
+            roots = np.array([numbers.setdefault(r[size:], len(numbers)) for r in rows])
             if not roots.any():
                 continue
             words = _words(rows, scheme.words64)
             for i in range(len(rows) - 1):
                 near = np.bitwise_count(words[i + 1 :] ^ words[i]).sum(axis=1) <= scheme.max_bits
                 for j in np.flatnonzero(near & (roots[i + 1 :] != roots[i])).tolist():
-                    a, z = rows[i][:digits], rows[i + 1 + j][:digits]
+                    a, z = rows[i][:size], rows[i + 1 + j][:size]
                     out.append((min(a, z), max(a, z)))
                 if len(out) > 20_000:
-                    yield _links(out)
+                    yield _hex_links(out)
                     out = []
         if out:
-            yield _links(out)
+            yield _hex_links(out)
 
     return run
 
 
+def _hex_links(pairs):
+    return _links([(low.hex(), high.hex()) for low, high in pairs])
+
+
 def _links(pairs):
     return pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in zip(*pairs)], ["low", "high"])
 
@@ -279,7 +284,7 @@ def links(nodes: DataFrame, scheme: Scheme) -> DataFrame:
 
 def _meetings(nodes: DataFrame, scheme: Scheme, pairs) -> DataFrame:
     return (
-        nodes.mapInArrow(balls(scheme), "place long, fingerprint string")
+        nodes.mapInArrow(balls(scheme), "place long, fingerprint binary")
         .repartition("place")
         .sortWithinPartitions("place")
         .mapInArrow(pairs, "low string, high string")
@@ -338,10 +343,15 @@ def verified_links(docs: DataFrame, printed: DataFrame, nodes: DataFrame, scheme
     sets = store(shingle_sets(docs, printed, first, scheme), "shingle-sets")
     sure = store(similar_pairs(first, sets, scheme.least_similarity), "similar")
     roots = components(sure).select(F.col("node").alias("fingerprint"), "root")
-    # Every candidate's ends are among those of the first search.
-    rooted = (
-        sets.select("fingerprint").distinct().join(roots, "fingerprint", "left")
-        .select(F.concat("fingerprint", F.coalesce("root", "fingerprint")).alias("fingerprint"))
+    # Near fingerprints are joined by a chain of the first search's links.  Where all of a chain's links are verified,
+    # its ends have one root already: only chains with a link that was turned away are searched for near pairs apart.
+    chains = components(first)
+    turned_away = first.join(sure, ["low", "high"], "left_anti").select(F.col("low").alias("node"))
+    broken = chains.join(turned_away.join(chains, "node").select("root").distinct(), "root").select(F.col("node").alias("fingerprint"))
+    rooted = store(
+        broken.join(roots, "fingerprint", "left")
+        .select(F.concat("fingerprint", F.coalesce("root", "fingerprint")).alias("fingerprint")),
+        "rooted",
     )
     apart = store(_meetings(rooted, scheme, met_apart(scheme)).join(first, ["low", "high"], "left_anti"), "candidates-apart")
     return sure.unionByName(similar_pairs(apart, sets, scheme.least_similarity))
