@@ -127,43 +127,61 @@ def _word_cost(part: str, ranks: dict[str, int]) -> float | None:
     return math.log10(rank + 1) + extra
 
 
-def guess_cost(value: str, ranks: dict[str, int]) -> tuple[float, list[tuple[str, int, int]]]:
-    """Powers of ten in guesses, and the cheapest segmentation as (kind, start, end)."""
-    n, lower = len(value), value.lower()
-    dates = {}
-    for i in range(n):
-        if value[i].isdigit() and (m := _DATE.match(value, i)):
-            dates[i] = m.end()
-    walk, same = [0] * (n + 1), [0] * (n + 1)  # first place of the walk or the repeat that ends here
-    for j in range(1, n):
-        walk[j] = walk[j - 1] if (lower[j - 1], lower[j]) in _STEPS else j
-        same[j] = same[j - 1] if lower[j - 1] == lower[j] else j
+def beginnings(ranks: dict[str, int]) -> set[str]:
+    """What a dictionary word can begin with."""
+    return {w[:i] for w in ranks for i in range(1, len(w) + 1)}
+
+
+def _words_from(value: str, lower: str, plain: str, i: int, ranks: dict[str, int], begins: set[str]):
+    """(end, cost) of the dictionary words at a place, read as far as some word goes on."""
+    for j in range(i + 1, min(len(value), i + LONGEST) + 1):
+        if lower[i:j] not in begins and plain[i:j] not in begins:
+            return
+        if j - i >= SHORTEST and (cost := _word_cost(value[i:j], ranks)) is not None:
+            yield j, cost
+
+
+def guess_cost(value: str, ranks: dict[str, int], begins: set[str] | None = None) -> tuple[float, list[tuple[str, int, int]]]:
+    """Powers of ten in guesses, and the cheapest segmentation as (kind, start, end).
+
+    One pass: walks, repeats of each unit and dates are states of the place, so that the time
+    grows with the length of the value.
+    """
+    n = len(value)
+    lower = "".join(c.lower() if len(c.lower()) == 1 else c for c in value)
+    plain = lower.translate(_LEET)
+    begins = beginnings(ranks) if begins is None else begins
+    costs = [_char_cost(c) for c in value]
+    ahead: dict[int, list[tuple[float, str, int]]] = {}  # segments that end at a later place
+    walk, turns, same = 0, 0, 0  # first place of the walk or the repeat that ends here, and the walk's turns
+    matched = [0] * 13  # by unit: how many characters up to here equal those a unit before
+    more = math.log10(5)
     best: list[tuple[float, str, int]] = [(0.0, "", 0)]
     for j in range(1, n + 1):
+        i = j - 1
+        for end, cost in _words_from(value, lower, plain, i, ranks, begins):
+            ahead.setdefault(end, []).append((best[i][0] + cost + more, "word", i))
+        if value[i].isdigit() and (m := _DATE.match(value, i)):
+            years = 2 if m.end() - i == 4 else 2 + math.log10(365)
+            ahead.setdefault(m.end(), []).append((best[i][0] + years + more, "date", i))
+        if i:
+            if (lower[i - 1], lower[i]) in _STEPS:
+                turns += i - walk >= 2 and lower[i] == lower[i - 2]
+            else:
+                walk, turns = i, 0
+            same = same if lower[i - 1] == lower[i] else i
         # Another segment costs the attacker a choice of its kind; brute force goes on for free.
-        more = math.log10(5)
-        go_on = best[j - 1][1] == "brute"
-        options = [(best[j - 1][0] + _char_cost(value[j - 1]) + (0 if go_on else more), "brute", j - 1)]
-        for i in range(max(0, j - LONGEST), j - SHORTEST + 1):
-            if (cost := _word_cost(value[i:j], ranks)) is not None:
-                options.append((best[i][0] + cost + more, "word", i))
-        if j - walk[j - 1] >= 4:
-            i = walk[j - 1]
-            turns = sum(1 for p in range(i + 2, j) if lower[p] == lower[p - 2])
-            options.append((best[i][0] + math.log10(47 * (j - i)) + turns * math.log10(4) + more, "walk", i))
-        if j - same[j - 1] >= 3:
-            i = same[j - 1]
-            options.append((best[i][0] + _char_cost(value[i]) + math.log10(j - i) + more, "repeat", i))
-        for unit in range(2, min(12, j // 2) + 1):
-            i = j - unit
-            while i >= unit and value[i - unit : i] == value[j - unit : j]:
-                i -= unit
-            if j - i > unit:
-                options.append((best[i][0] + sum(map(_char_cost, value[i : i + unit])) + math.log10((j - i) / unit) + more, "repeat", i))
-        for i, end in dates.items():
-            if end == j:
-                years = 2 if j - i == 4 else 2 + math.log10(365)
-                options.append((best[i][0] + years + more, "date", i))
+        options = [(best[i][0] + costs[i] + (0 if best[i][1] == "brute" else more), "brute", i), *ahead.pop(j, ())]
+        if j - walk >= 4:
+            options.append((best[walk][0] + math.log10(47 * (j - walk)) + turns * math.log10(4) + more, "walk", walk))
+        if j - same >= 3:
+            options.append((best[same][0] + costs[same] + math.log10(j - same) + more, "repeat", same))
+        for unit in range(2, min(12, j - 1) + 1):
+            matched[unit] = matched[unit] + 1 if value[i] == value[i - unit] else 0
+            if matched[unit] >= unit:
+                times = matched[unit] // unit + 1
+                first = j - times * unit
+                options.append((best[first][0] + sum(costs[first : first + unit]) + math.log10(times) + more, "repeat", first))
         best.append(min(options))
     parts, j = [], n
     while j:
@@ -175,7 +193,7 @@ def guess_cost(value: str, ranks: dict[str, int]) -> tuple[float, list[tuple[str
 
 class Scanner:
     def __init__(self, ranks: dict[str, int], least_cost: float = LEAST_COST):
-        self.ranks, self.least_cost = ranks, least_cost
+        self.ranks, self.least_cost, self.begins = ranks, least_cost, beginnings(ranks)
         self.patterns = [(kind, re.compile(p), group, least) for kind, p, group, least in KINDS]
         self.needs = {"assign": ASSIGNED, "access": ("akia",)}
 
@@ -201,7 +219,7 @@ class Scanner:
             end = start + len(value)
             if any(s <= start and end <= e for s, _, e in base) or (found and found[-1][2] >= end):
                 continue
-            if len(value) >= 6 and guess_cost(value, self.ranks)[0] >= self.least_cost:
+            if len(value) >= 6 and guess_cost(value, self.ranks, self.begins)[0] >= self.least_cost:
                 found.append((start, len(KINDS), end))
         return found
 

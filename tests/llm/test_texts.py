@@ -1,6 +1,7 @@
 """Language, substrings, secrets, lines and neighbours: against brute force and on awkward rows."""
 
 import hashlib
+import time
 import random
 from collections import defaultdict
 
@@ -207,6 +208,29 @@ def test_segmentation_is_never_dearer_than_any(parts):
     assert secret_scan.guess_cost(value, RANKS)[0] <= brute_cost(value, RANKS)[0] + 1e-9
 
 
+@settings(max_examples=150, deadline=None)
+@given(st.text(alphabet="aAbq1we2İ9.", min_size=1, max_size=14), st.integers(1, 3))
+def test_repeats_and_walks_by_their_definition(unit, times):
+    """Every segment of the cheapest segmentation is of its kind, and costs add up to the total."""
+    value = unit * times
+    cost, parts = secret_scan.guess_cost(value, RANKS)
+    assert [p[1] for p in parts] == [0, *(p[2] for p in parts[:-1])] and parts[-1][2] == len(value)
+    for kind, start, end in parts:
+        part = value[start:end]
+        if kind == "repeat":
+            assert len(set(part.lower())) == 1 or any(part == part[:u] * (len(part) // u) for u in range(2, 13) if len(part) % u == 0)
+        if kind == "walk":
+            assert all((a, b) in secret_scan._STEPS for a, b in zip(part.lower(), part.lower()[1:]))
+    assert cost <= sum(map(secret_scan._char_cost, value)) + np.log10(5) + 1e-9
+
+
+@pytest.mark.parametrize("value", ["a" * 200_000, "q8Z!" * 50_000, "the" * 70_000, "2019" * 50_000, "qwerty" * 30_000])
+def test_time_grows_with_the_length_of_a_value(value):
+    begun = time.perf_counter()
+    secret_scan.guess_cost(value, RANKS)
+    assert time.perf_counter() - begun < 60
+
+
 def test_guessed_spans():
     scanner = secret_scan.Scanner(RANKS)
     text = "é the pwd is x9Kq-Lm2@vT7z and passphrase: correcthorse, bearer Zr8!kQ2#mW9pL token = a1b2c3d4e5f6g7"
