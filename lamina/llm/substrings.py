@@ -47,9 +47,8 @@ SPLIT = 20_000
 # Words of one FM-index, unless one minimizer's segments have more.
 SHARD_WORDS = 1 << 20
 LAST_ID = (1 << 63) - 1
-# A segment's place in one number: version of the text, first window, number of windows.
-START_BITS, COUNT_BITS = 32, 6
-VERSION_BITS = 25
+# A segment's place in one number: first window, number of windows.
+COUNT_BITS = 6
 _FACTOR, _MIX, _BASE = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0x100000001B3
 # Bytes of a text that are hashed at once.
 PIECE = 1 << 18
@@ -130,7 +129,7 @@ def documents(docs: DataFrame) -> DataFrame:
     text = text_bytes()
     return docs.select(
         F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)).alias("id"),
-        F.shiftrightunsigned(F.xxhash64(text), 64 - VERSION_BITS).cast("int").alias("version"),
+        F.xxhash64(text).alias("version"),  # tells rows of one id apart
         text.alias("text"),
     )
 
@@ -144,39 +143,40 @@ def compressed(texts: DataFrame) -> DataFrame:
             packed = pa.array([packer.compress(t) for t in b.column(2).to_pylist()], pa.binary())
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), packed], ["id", "version", "packed"])
 
-    return texts.mapInArrow(run, "id long, version int, packed binary")
+    return texts.mapInArrow(run, "id long, version long, packed binary")
 
 
-def _pack(version: int, start, count):
-    return (version << (START_BITS + COUNT_BITS)) | (start << COUNT_BITS) | count
+def _pack(start, count):
+    return (start << COUNT_BITS) | count
 
 
-def _unpack(place: int) -> tuple[int, int, int]:
-    return place >> (START_BITS + COUNT_BITS), (place >> COUNT_BITS) & ((1 << START_BITS) - 1), place & ((1 << COUNT_BITS) - 1)
+def _unpack(place: int) -> tuple[int, int]:
+    return place >> COUNT_BITS, place & ((1 << COUNT_BITS) - 1)
 
 
 def segments_of(window: int, gram: int):
-    """(minimizer, id, place) of every segment."""
+    """(minimizer, id, version, place) of every segment."""
 
     def run(batches):
         hashes = WordHashes()
         for b in batches:
-            grams, ids, places = [], [], []
+            grams, ids, versions, places = [], [], [], []
             for doc, version, text in zip(*(b.column(i).to_pylist() for i in range(3))):
                 start, count, found = minimizers(hashes(text), window, gram)
                 grams.append(found)
                 ids.append(np.full(len(found), doc))
-                places.append(_pack(version, start, count))
+                versions.append(np.full(len(found), version))
+                places.append(_pack(start, count))
             if not grams:
                 continue
-            columns = [pa.array(np.concatenate(c).astype(np.int64)) for c in (grams, ids, places)]
+            columns = [pa.array(np.concatenate(c).astype(np.int64)) for c in (grams, ids, versions, places)]
             for a in range(0, len(columns[0]), 50_000):
-                yield pa.RecordBatch.from_arrays([c.slice(a, 50_000) for c in columns], ["gram", "id", "place"])
+                yield pa.RecordBatch.from_arrays([c.slice(a, 50_000) for c in columns], ["gram", "id", "version", "place"])
 
     return run
 
 
-OCCURRENCE = "segment binary, shard long, id long, version int, start int, windows int, content binary"
+OCCURRENCE = "segment binary, shard long, id long, version long, start int, windows int, content binary"
 # Bytes of different contents that a task gathers before it passes them on.
 GATHERED = 64 << 20
 
@@ -195,7 +195,7 @@ def occurrences(window: int):
             for doc, version, packed, found in zip(*(b.column(i).to_pylist() for i in range(4))):
                 words = zstandard.decompress(packed).split()
                 for s in found:
-                    _, start, count = _unpack(s["place"])
+                    start, count = _unpack(s["place"])
                     content = b" ".join(words[start : start + count + window - 1])
                     name, place = xxhash.xxh3_128_digest(content), (doc, version, start)
                     rows.append((name, None, *place, count, None))
@@ -222,13 +222,13 @@ def _contents(first: dict[bytes, list]):
 
 
 def _occurrences(rows):
-    types = (pa.binary(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary())
+    types = (pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
     return pa.RecordBatch.from_arrays(
         [pa.array(c, t) for c, t in zip(zip(*rows), types)], ["segment", "shard", "id", "version", "start", "windows", "content"]
     )
 
 
-PLACE = "struct<id: long, version: int, start: int>"
+PLACE = "struct<id: long, version: long, start: int>"
 KNOWN = f"segment binary, own {PLACE}, first array<{PLACE}>, crowded boolean"
 
 
@@ -306,7 +306,7 @@ def searched(window: int, shard_words: int, split: int):
 
 
 def _known(rows):
-    place = pa.struct([("id", pa.int64()), ("version", pa.int32()), ("start", pa.int32())])
+    place = pa.struct([("id", pa.int64()), ("version", pa.int64()), ("start", pa.int32())])
     named = [(n, dict(zip(("id", "version", "start"), own)), first, crowded) for n, own, first, crowded in rows]
     types = (pa.binary(), place, pa.list_(place), pa.bool_())
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*named), types)], ["segment", "own", "first", "crowded"])
@@ -339,7 +339,7 @@ def _kept(window: int, with_text: bool):
     return run
 
 
-WINDOWS = "name binary, segment binary, offset int, id long, version int, start int"
+WINDOWS = "name binary, segment binary, offset int, id long, version long, start int"
 
 
 def single_windows(window: int):
@@ -354,7 +354,7 @@ def single_windows(window: int):
                     name = xxhash.xxh3_128_digest(b" ".join(words[i : i + window]))
                     rows.append((name, segment, i, doc, version, start + i))
             if rows:
-                types = (pa.binary(), pa.binary(), pa.int32(), pa.int64(), pa.int32(), pa.int32())
+                types = (pa.binary(), pa.binary(), pa.int32(), pa.int64(), pa.int64(), pa.int32())
                 names = [f.split()[0] for f in WINDOWS.split(", ")]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
 
@@ -377,13 +377,12 @@ def deduplicated(
     """One row per document: doc_id, n_words, n_removed, kept_sha256, and the kept words if asked for."""
     prepare(docs.sparkSession)
     texts = documents(docs)
-    every = texts.mapInArrow(segments_of(window, gram), "gram long, id long, place long")
+    every = texts.mapInArrow(segments_of(window, gram), "gram long, id long, version long, place long")
     often = every.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("gram")
-    version = F.shiftright("place", START_BITS + COUNT_BITS).cast("int")
     # A document's repeated segments: bounded by its words.
     found = (
         every.join(often, "gram")
-        .groupBy("id", version.alias("version"))
+        .groupBy("id", "version")
         .agg(F.collect_set(F.struct("gram", "place")).alias("found"))
     )
     repeated = store(

@@ -1,13 +1,14 @@
 """Language, substrings, secrets, lines and neighbours: against brute force and on awkward rows."""
 
 import hashlib
-import time
 import random
+import time
 from collections import defaultdict
 
 import numpy as np
 import pytest
 import reference as R
+import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -96,6 +97,18 @@ def test_substrings_edges(documents):
     ]
 
 
+def test_texts_of_one_id_are_told_apart(documents):
+    """Two texts under one id whose hashes begin with the same 25 bits: only the one with the passage loses it."""
+    passage = " ".join(f"p{i}" for i in range(40))
+    own = [" ".join(f"x{k}y{i}" for i in range(60)) for k in range(8000)]
+    with_it = [" ".join(f"u{k}v{i}" for i in range(30)) + " " + passage for k in range(8000)]
+    short = {xxhash.xxh64_intdigest(t.encode(), 42) >> 39: t for t in own}
+    one, two = next((short[h], t) for t in with_it if (h := xxhash.xxh64_intdigest(t.encode(), 42) >> 39) in short)
+    for id_ in (7, None):
+        got = rows(substrings.deduplicated(documents((1, passage), (id_, one), (id_, two))))
+        assert sorted((r["n_words"], r["n_removed"]) for r in got) == [(40, 0), (60, 0), (70, 40)]
+
+
 def test_word_hashes_depend_on_the_word_alone(monkeypatch):
     hashes = substrings.WordHashes()
     words = [f"w{i % 700}é".encode() for i in range(5000)]
