@@ -6,121 +6,119 @@ from pyspark.sql import DataFrame, SparkSession
 
 SCHEMA = "code_departement string, nom_departement string, nom_region string, est_metropole boolean"
 
-# Code, name and region of each area, in code order; the areas of
-# OVERSEAS_REGIONS lie outside the mainland.
-OVERSEAS_REGIONS = ["Guadeloupe", "Martinique", "Guyane", "La Réunion", "Mayotte", "Collectivités d'outre-mer"]
+# Code, name and region of each area, and whether it lies on the mainland, in code order.
 AREAS = [
-    ("01", "Ain", "Auvergne-Rhône-Alpes"),
-    ("02", "Aisne", "Hauts-de-France"),
-    ("03", "Allier", "Auvergne-Rhône-Alpes"),
-    ("04", "Alpes-de-Haute-Provence", "Provence-Alpes-Côte d'Azur"),
-    ("05", "Hautes-Alpes", "Provence-Alpes-Côte d'Azur"),
-    ("06", "Alpes-Maritimes", "Provence-Alpes-Côte d'Azur"),
-    ("07", "Ardèche", "Auvergne-Rhône-Alpes"),
-    ("08", "Ardennes", "Grand Est"),
-    ("09", "Ariège", "Occitanie"),
-    ("10", "Aube", "Grand Est"),
-    ("11", "Aude", "Occitanie"),
-    ("12", "Aveyron", "Occitanie"),
-    ("13", "Bouches-du-Rhône", "Provence-Alpes-Côte d'Azur"),
-    ("14", "Calvados", "Normandie"),
-    ("15", "Cantal", "Auvergne-Rhône-Alpes"),
-    ("16", "Charente", "Nouvelle-Aquitaine"),
-    ("17", "Charente-Maritime", "Nouvelle-Aquitaine"),
-    ("18", "Cher", "Centre-Val de Loire"),
-    ("19", "Corrèze", "Nouvelle-Aquitaine"),
-    ("21", "Côte-d'Or", "Bourgogne-Franche-Comté"),
-    ("22", "Côtes-d'Armor", "Bretagne"),
-    ("23", "Creuse", "Nouvelle-Aquitaine"),
-    ("24", "Dordogne", "Nouvelle-Aquitaine"),
-    ("25", "Doubs", "Bourgogne-Franche-Comté"),
-    ("26", "Drôme", "Auvergne-Rhône-Alpes"),
-    ("27", "Eure", "Normandie"),
-    ("28", "Eure-et-Loir", "Centre-Val de Loire"),
-    ("29", "Finistère", "Bretagne"),
-    ("2A", "Corse-du-Sud", "Corse"),
-    ("2B", "Haute-Corse", "Corse"),
-    ("30", "Gard", "Occitanie"),
-    ("31", "Haute-Garonne", "Occitanie"),
-    ("32", "Gers", "Occitanie"),
-    ("33", "Gironde", "Nouvelle-Aquitaine"),
-    ("34", "Hérault", "Occitanie"),
-    ("35", "Ille-et-Vilaine", "Bretagne"),
-    ("36", "Indre", "Centre-Val de Loire"),
-    ("37", "Indre-et-Loire", "Centre-Val de Loire"),
-    ("38", "Isère", "Auvergne-Rhône-Alpes"),
-    ("39", "Jura", "Bourgogne-Franche-Comté"),
-    ("40", "Landes", "Nouvelle-Aquitaine"),
-    ("41", "Loir-et-Cher", "Centre-Val de Loire"),
-    ("42", "Loire", "Auvergne-Rhône-Alpes"),
-    ("43", "Haute-Loire", "Auvergne-Rhône-Alpes"),
-    ("44", "Loire-Atlantique", "Pays de la Loire"),
-    ("45", "Loiret", "Centre-Val de Loire"),
-    ("46", "Lot", "Occitanie"),
-    ("47", "Lot-et-Garonne", "Nouvelle-Aquitaine"),
-    ("48", "Lozère", "Occitanie"),
-    ("49", "Maine-et-Loire", "Pays de la Loire"),
-    ("50", "Manche", "Normandie"),
-    ("51", "Marne", "Grand Est"),
-    ("52", "Haute-Marne", "Grand Est"),
-    ("53", "Mayenne", "Pays de la Loire"),
-    ("54", "Meurthe-et-Moselle", "Grand Est"),
-    ("55", "Meuse", "Grand Est"),
-    ("56", "Morbihan", "Bretagne"),
-    ("57", "Moselle", "Grand Est"),
-    ("58", "Nièvre", "Bourgogne-Franche-Comté"),
-    ("59", "Nord", "Hauts-de-France"),
-    ("60", "Oise", "Hauts-de-France"),
-    ("61", "Orne", "Normandie"),
-    ("62", "Pas-de-Calais", "Hauts-de-France"),
-    ("63", "Puy-de-Dôme", "Auvergne-Rhône-Alpes"),
-    ("64", "Pyrénées-Atlantiques", "Nouvelle-Aquitaine"),
-    ("65", "Hautes-Pyrénées", "Occitanie"),
-    ("66", "Pyrénées-Orientales", "Occitanie"),
-    ("67", "Bas-Rhin", "Grand Est"),
-    ("68", "Haut-Rhin", "Grand Est"),
-    ("69", "Rhône", "Auvergne-Rhône-Alpes"),
-    ("70", "Haute-Saône", "Bourgogne-Franche-Comté"),
-    ("71", "Saône-et-Loire", "Bourgogne-Franche-Comté"),
-    ("72", "Sarthe", "Pays de la Loire"),
-    ("73", "Savoie", "Auvergne-Rhône-Alpes"),
-    ("74", "Haute-Savoie", "Auvergne-Rhône-Alpes"),
-    ("75", "Paris", "Île-de-France"),
-    ("76", "Seine-Maritime", "Normandie"),
-    ("77", "Seine-et-Marne", "Île-de-France"),
-    ("78", "Yvelines", "Île-de-France"),
-    ("79", "Deux-Sèvres", "Nouvelle-Aquitaine"),
-    ("80", "Somme", "Hauts-de-France"),
-    ("81", "Tarn", "Occitanie"),
-    ("82", "Tarn-et-Garonne", "Occitanie"),
-    ("83", "Var", "Provence-Alpes-Côte d'Azur"),
-    ("84", "Vaucluse", "Provence-Alpes-Côte d'Azur"),
-    ("85", "Vendée", "Pays de la Loire"),
-    ("86", "Vienne", "Nouvelle-Aquitaine"),
-    ("87", "Haute-Vienne", "Nouvelle-Aquitaine"),
-    ("88", "Vosges", "Grand Est"),
-    ("89", "Yonne", "Bourgogne-Franche-Comté"),
-    ("90", "Territoire de Belfort", "Bourgogne-Franche-Comté"),
-    ("91", "Essonne", "Île-de-France"),
-    ("92", "Hauts-de-Seine", "Île-de-France"),
-    ("93", "Seine-Saint-Denis", "Île-de-France"),
-    ("94", "Val-de-Marne", "Île-de-France"),
-    ("95", "Val-d'Oise", "Île-de-France"),
-    ("971", "Guadeloupe", "Guadeloupe"),
-    ("972", "Martinique", "Martinique"),
-    ("973", "Guyane", "Guyane"),
-    ("974", "La Réunion", "La Réunion"),
-    ("975", "Saint-Pierre-et-Miquelon", "Collectivités d'outre-mer"),
-    ("976", "Mayotte", "Mayotte"),
-    ("977", "Saint-Barthélemy", "Collectivités d'outre-mer"),
-    ("978", "Saint-Martin", "Collectivités d'outre-mer"),
-    ("984", "Terres australes et antarctiques", "Collectivités d'outre-mer"),
-    ("986", "Wallis-et-Futuna", "Collectivités d'outre-mer"),
-    ("987", "Polynésie française", "Collectivités d'outre-mer"),
-    ("988", "Nouvelle-Calédonie", "Collectivités d'outre-mer"),
+    ("01", "Ain", "Auvergne-Rhône-Alpes", True),
+    ("02", "Aisne", "Hauts-de-France", True),
+    ("03", "Allier", "Auvergne-Rhône-Alpes", True),
+    ("04", "Alpes-de-Haute-Provence", "Provence-Alpes-Côte d'Azur", True),
+    ("05", "Hautes-Alpes", "Provence-Alpes-Côte d'Azur", True),
+    ("06", "Alpes-Maritimes", "Provence-Alpes-Côte d'Azur", True),
+    ("07", "Ardèche", "Auvergne-Rhône-Alpes", True),
+    ("08", "Ardennes", "Grand Est", True),
+    ("09", "Ariège", "Occitanie", True),
+    ("10", "Aube", "Grand Est", True),
+    ("11", "Aude", "Occitanie", True),
+    ("12", "Aveyron", "Occitanie", True),
+    ("13", "Bouches-du-Rhône", "Provence-Alpes-Côte d'Azur", True),
+    ("14", "Calvados", "Normandie", True),
+    ("15", "Cantal", "Auvergne-Rhône-Alpes", True),
+    ("16", "Charente", "Nouvelle-Aquitaine", True),
+    ("17", "Charente-Maritime", "Nouvelle-Aquitaine", True),
+    ("18", "Cher", "Centre-Val de Loire", True),
+    ("19", "Corrèze", "Nouvelle-Aquitaine", True),
+    ("21", "Côte-d'Or", "Bourgogne-Franche-Comté", True),
+    ("22", "Côtes-d'Armor", "Bretagne", True),
+    ("23", "Creuse", "Nouvelle-Aquitaine", True),
+    ("24", "Dordogne", "Nouvelle-Aquitaine", True),
+    ("25", "Doubs", "Bourgogne-Franche-Comté", True),
+    ("26", "Drôme", "Auvergne-Rhône-Alpes", True),
+    ("27", "Eure", "Normandie", True),
+    ("28", "Eure-et-Loir", "Centre-Val de Loire", True),
+    ("29", "Finistère", "Bretagne", True),
+    ("2A", "Corse-du-Sud", "Corse", True),
+    ("2B", "Haute-Corse", "Corse", True),
+    ("30", "Gard", "Occitanie", True),
+    ("31", "Haute-Garonne", "Occitanie", True),
+    ("32", "Gers", "Occitanie", True),
+    ("33", "Gironde", "Nouvelle-Aquitaine", True),
+    ("34", "Hérault", "Occitanie", True),
+    ("35", "Ille-et-Vilaine", "Bretagne", True),
+    ("36", "Indre", "Centre-Val de Loire", True),
+    ("37", "Indre-et-Loire", "Centre-Val de Loire", True),
+    ("38", "Isère", "Auvergne-Rhône-Alpes", True),
+    ("39", "Jura", "Bourgogne-Franche-Comté", True),
+    ("40", "Landes", "Nouvelle-Aquitaine", True),
+    ("41", "Loir-et-Cher", "Centre-Val de Loire", True),
+    ("42", "Loire", "Auvergne-Rhône-Alpes", True),
+    ("43", "Haute-Loire", "Auvergne-Rhône-Alpes", True),
+    ("44", "Loire-Atlantique", "Pays de la Loire", True),
+    ("45", "Loiret", "Centre-Val de Loire", True),
+    ("46", "Lot", "Occitanie", True),
+    ("47", "Lot-et-Garonne", "Nouvelle-Aquitaine", True),
+    ("48", "Lozère", "Occitanie", True),
+    ("49", "Maine-et-Loire", "Pays de la Loire", True),
+    ("50", "Manche", "Normandie", True),
+    ("51", "Marne", "Grand Est", True),
+    ("52", "Haute-Marne", "Grand Est", True),
+    ("53", "Mayenne", "Pays de la Loire", True),
+    ("54", "Meurthe-et-Moselle", "Grand Est", True),
+    ("55", "Meuse", "Grand Est", True),
+    ("56", "Morbihan", "Bretagne", True),
+    ("57", "Moselle", "Grand Est", True),
+    ("58", "Nièvre", "Bourgogne-Franche-Comté", True),
+    ("59", "Nord", "Hauts-de-France", True),
+    ("60", "Oise", "Hauts-de-France", True),
+    ("61", "Orne", "Normandie", True),
+    ("62", "Pas-de-Calais", "Hauts-de-France", True),
+    ("63", "Puy-de-Dôme", "Auvergne-Rhône-Alpes", True),
+    ("64", "Pyrénées-Atlantiques", "Nouvelle-Aquitaine", True),
+    ("65", "Hautes-Pyrénées", "Occitanie", True),
+    ("66", "Pyrénées-Orientales", "Occitanie", True),
+    ("67", "Bas-Rhin", "Grand Est", True),
+    ("68", "Haut-Rhin", "Grand Est", True),
+    ("69", "Rhône", "Auvergne-Rhône-Alpes", True),
+    ("70", "Haute-Saône", "Bourgogne-Franche-Comté", True),
+    ("71", "Saône-et-Loire", "Bourgogne-Franche-Comté", True),
+    ("72", "Sarthe", "Pays de la Loire", True),
+    ("73", "Savoie", "Auvergne-Rhône-Alpes", True),
+    ("74", "Haute-Savoie", "Auvergne-Rhône-Alpes", True),
+    ("75", "Paris", "Île-de-France", True),
+    ("76", "Seine-Maritime", "Normandie", True),
+    ("77", "Seine-et-Marne", "Île-de-France", True),
+    ("78", "Yvelines", "Île-de-France", True),
+    ("79", "Deux-Sèvres", "Nouvelle-Aquitaine", True),
+    ("80", "Somme", "Hauts-de-France", True),
+    ("81", "Tarn", "Occitanie", True),
+    ("82", "Tarn-et-Garonne", "Occitanie", True),
+    ("83", "Var", "Provence-Alpes-Côte d'Azur", True),
+    ("84", "Vaucluse", "Provence-Alpes-Côte d'Azur", True),
+    ("85", "Vendée", "Pays de la Loire", True),
+    ("86", "Vienne", "Nouvelle-Aquitaine", True),
+    ("87", "Haute-Vienne", "Nouvelle-Aquitaine", True),
+    ("88", "Vosges", "Grand Est", True),
+    ("89", "Yonne", "Bourgogne-Franche-Comté", True),
+    ("90", "Territoire de Belfort", "Bourgogne-Franche-Comté", True),
+    ("91", "Essonne", "Île-de-France", True),
+    ("92", "Hauts-de-Seine", "Île-de-France", True),
+    ("93", "Seine-Saint-Denis", "Île-de-France", True),
+    ("94", "Val-de-Marne", "Île-de-France", True),
+    ("95", "Val-d'Oise", "Île-de-France", True),
+    ("971", "Guadeloupe", "Guadeloupe", False),
+    ("972", "Martinique", "Martinique", False),
+    ("973", "Guyane", "Guyane", False),
+    ("974", "La Réunion", "La Réunion", False),
+    ("975", "Saint-Pierre-et-Miquelon", "Collectivités d'outre-mer", False),
+    ("976", "Mayotte", "Mayotte", False),
+    ("977", "Saint-Barthélemy", "Collectivités d'outre-mer", False),
+    ("978", "Saint-Martin", "Collectivités d'outre-mer", False),
+    ("984", "Terres australes et antarctiques", "Collectivités d'outre-mer", False),
+    ("986", "Wallis-et-Futuna", "Collectivités d'outre-mer", False),
+    ("987", "Polynésie française", "Collectivités d'outre-mer", False),
+    ("988", "Nouvelle-Calédonie", "Collectivités d'outre-mer", False),
 ]
 
 
 def builtin_reference(spark: SparkSession) -> DataFrame:
     """The table above; use ``sources.tables.read_reference`` for one of your own."""
-    return spark.createDataFrame([(*a, a[2] not in OVERSEAS_REGIONS) for a in AREAS], SCHEMA)
+    return spark.createDataFrame(AREAS, SCHEMA)
