@@ -101,7 +101,8 @@ class MonthTable:
         records = self.stray_records(spark, version).filter("hors_chargement + sans_date > 0").collect()  # a row per name
         named = spark.createDataFrame([(r[LOAD], r["chargement"]) for r in records], f"{LOAD} string, chargement string")
         found = self._read(spark, [f"{LOAD}={r[LOAD]}/{STRAY}=true" for r in records], [LOAD])
-        return found.join(named, LOAD).drop(LOAD)
+        # Spark knows the size of neither: it would broadcast the rows, whose many null columns make them look few.
+        return found.join(F.broadcast(named), LOAD).drop(LOAD)
 
     def _read(self, spark: SparkSession, folders: list[str], extra: Sequence[str] = ()) -> DataFrame:
         schema = T.StructType([*self.schema.fields, *(T.StructField(n, T.StringType()) for n in extra)])

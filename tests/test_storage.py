@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from lamina.functions import fixed
 from lamina.operators import ledger
 from lamina.operators.checks import ContractError, check_freshness, gate, is_true, not_null, run_checks, unique
-from lamina.plans.flow import Lake, load_bronze, load_warehouse, read_bronze, read_ledger, read_months, read_silver, run
+from lamina.plans.flow import Lake, load_bronze, load_warehouse, read_bronze, read_ledger, read_months, read_silver, read_strays, run
 from lamina.plans.reference import builtin_reference
 from lamina.sources import exports, snapshots
 from lamina.sources.landing import file_headers, file_ranges, read_by_spark, read_landing
@@ -383,3 +383,13 @@ def test_first_lines_without_reading_on(spark, tmp_path):
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
     assert found == {**{f"{i}.csv": f"h{i},x" for i in range(5)}, "big.csv": "hb,x"}
+
+
+def test_stray_rows_are_not_gathered_to_name_their_load(spark, tmp_path):
+    """The names are broadcast; the rows, of which any number may be stray, stay where they are."""
+    lake = Lake(str(tmp_path / "lake"))
+    load(spark, lake, tmp_path / "m2", [certificate("S", day="2024-01-03"), certificate("U", day="?")], [(2024, 2, 1)])
+    rows = read_strays(spark, lake)
+    assert sorted((r["chargement"], r["numero_dpe"]) for r in rows.collect()) == [("2024-02", "S"), ("2024-02", "U")]
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "BuildRight" in plan and "BuildLeft" not in plan
