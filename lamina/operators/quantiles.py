@@ -1,7 +1,7 @@
 """Exact interpolated quantiles that hold when one group has most of the rows.
 
-Four methods give the same answers; the caller chooses, and no job runs while a plan is
-built:
+Four methods give the same answers; the caller chooses, and only ``fenced`` runs jobs while
+a plan is built:
 
 ``ranges`` (the default) is a distributed rank selection.  Each group's distinct values are
 counted, map-side first, and partitioned by ranges of (group, value), whose bounds Spark
@@ -31,6 +31,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
+from lamina.sources.shared import materialise
+
 METHODS = ("ranges", "counts", "state", "fenced")
 ACCURACY = 10_000
 MARGIN = 0.001
@@ -148,15 +150,16 @@ def fenced_quantiles(
 ) -> DataFrame:
     """Quantiles by two rounds of fencing.
 
-    ``df`` is planned three times, so it should be a scan or stored.  Fences are joined
-    without a hint: Spark broadcasts them if it finds them small.
+    ``df`` is planned three times, so it should be a scan or stored.  The fences, a row per
+    group, are stored: Spark then knows their size and broadcasts them if they are small, so that
+    rows stay where they are.  Without that it would shuffle and sort all rows by their group.
     """
     names = list(probs)
     rows = df.select(*keys, F.col(value).cast("double").alias("_v"))
     valid = rows.filter(F.col("_v").isNotNull())
 
-    first = _first_fences(valid, keys, probs, small_group)
-    second = _second_fences(_attach(valid, first, keys), keys, probs, small_group)
+    first = _stored(_first_fences(valid, keys, probs, small_group), keys)
+    second = _stored(_second_fences(_attach(valid, first, keys), keys, probs, small_group), keys)
     kept = _kept_values(_attach(valid, second, keys), keys, len(names))
     found = _pick(kept, keys, probs)
     if not keys:
@@ -166,6 +169,11 @@ def fenced_quantiles(
     return found.unionByName(groups, allowMissingColumns=True)
 
 
+def _stored(fences: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Fences of groups are stored; those of the whole table are read at once (see ``_attach``)."""
+    return materialise(fences, "fences") if keys else fences
+
+
 def _attach(rows: DataFrame, fences: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Puts each group's fences beside its rows.
 

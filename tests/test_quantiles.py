@@ -134,3 +134,18 @@ def test_several_medians_from_one_scan(spark, uncoalesced):
     assert sorted(map(str, one_pass.collect())) == sorted(map(str, apart.collect()))
     final = one_pass._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     assert final.count("FileScan") == 1 and final.count("ReusedExchange") == 1
+
+
+def test_fences_of_groups_come_to_the_rows(spark, rows):
+    """Spark knows how small the fences are, and shuffles no rows to their group's fence."""
+    df = spark.createDataFrame(rows, "k string, v double").repartition(5)
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(threshold)
+    spark.conf.set(threshold, "65536")
+    try:
+        found = fenced_quantiles(df, ["k"], "v", PROBS, small_group=100)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        check(found.collect(), rows)
+    finally:
+        spark.conf.set(threshold, before)
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
