@@ -2,8 +2,8 @@
 
 Row-level contracts of one table are evaluated together in a single scan of it, with
 the columns they need and nothing else.  The contracts about keys (uniqueness, references)
-of one table, as child or as parent, share a second scan and one aggregation by all their
-keys (grouping sets), which shrinks a hot key to a row per task before anything moves.
+of one table, as child or as parent, share a second scan, and all tables share one aggregation
+by their keys, which shrinks a hot key to a row per task before anything moves.
 References need no join: the keys of child and parent are counted side by side.
 """
 
@@ -217,55 +217,59 @@ def _as_rows(counted: DataFrame, contracts: Sequence[Contract]) -> DataFrame:
 
 
 def _key_summary(contracts: Sequence[KeyContract]) -> DataFrame:
-    """All key contracts, each table scanned once."""
-    # What is asked of each table: (contract, keys, whether as a parent).
-    asked: dict[int, tuple[DataFrame, list[tuple[int, tuple[str, ...], bool]]]] = {}
-    types = {}
-    for i, c in enumerate(contracts):
-        asked.setdefault(id(c.rows), (c.rows, []))[1].append((i, c.keys, False))
+    """All key contracts, each table scanned once, from one aggregation by every key that is asked for.
+
+    A reference's child and parent keys meet under one ``domain``, which a uniqueness contract on the
+    same child key shares.  Keys move once: what is summed after that are verdicts, not keys.
+    """
+    domains = []  # per contract: (table, keys, types, parent and its key)
+    for c in contracts:
+        types = tuple(c.rows.select(*c.keys).schema[i].dataType for i in range(len(c.keys)))
         if c.parent is not None:
-            asked.setdefault(id(c.parent), (c.parent, []))[1].append((i, (c.parent_key,), True))
-            types[i] = c.rows.select(*c.keys).union(c.parent.select(c.parent_key)).schema[0].dataType
-    parts = [_keys_of(df, roles, contracts, types) for df, roles in asked.values()]
-    met = reduce(DataFrame.unionByName, parts).groupBy("contract", *[f"key{i}" for i in types])
-    summed = met.agg(*[F.sum(n).alias(n) for n in ("repeated", "children", "parents")])
-    broken = F.col("repeated") + F.when(F.col("parents") == 0, F.col("children")).otherwise(0)
-    zero = F.lit(0).cast("bigint")
-    counts = [F.coalesce(F.sum(F.when(F.col("contract") == i, broken)), zero).alias(f"_{i}") for i in range(len(contracts))]
-    return _as_rows(summed.agg(*counts), contracts)
-
-
-def _keys_of(df: DataFrame, roles: Sequence[tuple[int, tuple[str, ...], bool]], contracts: Sequence[KeyContract], types: Mapping) -> DataFrame:
-    """Repeated keys, and the keys of references, from one aggregation by every key that is asked for."""
-    sets = list(dict.fromkeys(keys for _, keys, _ in roles))
-    columns = list(dict.fromkeys(c for keys in sets for c in keys))
-    given = df.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(columns)])
-    number = {c: i for i, c in enumerate(columns)}
-    counted = given.groupingSets([[f"_k{number[c]}" for c in keys] for keys in sets], *given.columns).agg(
-        F.count(F.lit(1)).alias("_n"), *[F.grouping(c).alias(f"_g{c}") for c in given.columns]
-    )
-    none, one = F.lit(0).cast("bigint"), F.lit(1).cast("bigint")
-    entries = []
-    for i, keys, as_parent in roles:
-        mine = F.lit(True)
-        for c in given.columns:
-            mine = mine & (F.col(f"_g{c}") == (0 if int(c[2:]) in {number[k] for k in keys} else 1))
-        if not contracts[i].null_counts:
-            for k in keys:
-                mine = mine & F.col(f"_k{number[k]}").isNotNull()
-        reference = contracts[i].parent is not None
-        entry = F.struct(
-            F.lit(i).alias("contract"),
-            *[
-                (F.col(f"_k{number[keys[0]]}") if r == i else F.lit(None)).cast(kind).alias(f"key{r}")
-                for r, kind in types.items()
-            ],
-            (none if reference else F.when(F.col("_n") > 1, one).otherwise(none)).alias("repeated"),
-            (F.col("_n") if reference and not as_parent else none).alias("children"),
-            (one if as_parent else none).alias("parents"),
+            types = (c.rows.select(*c.keys).union(c.parent.select(c.parent_key)).schema[0].dataType,)
+        domains.append((id(c.rows), c.keys, types, None if c.parent is None else (id(c.parent), c.parent_key)))
+    shared: list[tuple] = []
+    for d in sorted(set(domains), key=lambda d: (d[3] is None, domains.index(d))):
+        # A domain with a parent serves for uniqueness too.
+        if d[3] is not None or not any(d[:3] == other[:3] for other in shared):
+            shared.append(d)
+    uses = [next(i for i, other in enumerate(shared) if d == other or (d[3] is None and d[:3] == other[:3])) for d in domains]
+    # Keys of one type share columns.
+    slots = [[f"_{t.simpleString()}_{[*types[:j]].count(t)}" for j, t in enumerate(types)] for _, _, types, _ in shared]
+    kinds = {n: t for names, (_, _, types, _) in zip(slots, shared) for n, t in zip(names, types)}
+    frames = {id(df): df for c in contracts for df in (c.rows, c.parent) if df is not None}
+
+    def entry(i: int, keys: Sequence[str], child: bool) -> Column:
+        given = dict(zip(slots[i], keys))
+        return F.struct(
+            F.lit(i).alias("_domain"),
+            *[(F.col(f"`{given[n]}`") if n in given else F.lit(None)).cast(t).alias(n) for n, t in kinds.items()],
+            F.lit(child).alias("_child"),
         )
-        entries.append(F.when(mine, entry))
-    return counted.select(F.inline(F.array(*entries))).filter("contract is not null")
+
+    parts = []
+    for at, df in frames.items():
+        asked = [entry(i, keys, True) for i, (t, keys, _, _) in enumerate(shared) if t == at]
+        asked += [entry(i, (parent[1],), False) for i, (_, _, _, parent) in enumerate(shared) if parent and parent[0] == at]
+        names = [f"_{i}" for i in range(len(asked))]
+        rows = df.select(*[e.alias(n) for n, e in zip(names, asked)]).unpivot([], names, "_from", "_key")
+        parts.append(rows.select("_key.*"))
+    children, parents = F.count_if(F.col("_child")), F.count_if(~F.col("_child"))
+    met = reduce(DataFrame.unionByName, parts).groupBy("_domain", *[f"`{n}`" for n in kinds]).agg(
+        children.alias("_children"), parents.alias("_parents")
+    )
+    counts = []
+    for i, (c, at) in enumerate(zip(contracts, uses)):
+        mine = F.col("_domain") == at
+        if not c.null_counts:
+            for n in slots[at]:
+                mine = mine & F.col(f"`{n}`").isNotNull()
+        if c.parent is None:
+            counts.append(F.count_if(mine & (F.col("_children") > 1)).alias(f"_{i}"))
+        else:
+            lost = F.when(mine & (F.col("_parents") == 0), F.col("_children"))
+            counts.append(F.coalesce(F.sum(lost), F.lit(0).cast("bigint")).alias(f"_{i}"))
+    return _as_rows(met.agg(*counts), contracts)
 
 
 def _group_summary(c: GroupContract) -> DataFrame:

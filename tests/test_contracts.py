@@ -67,3 +67,18 @@ def test_at_most_two_scans_a_table(spark):
     plan = summary._jdf.queryExecution().executedPlan().toString()
     assert plan.count("lineitem.parquet") == 2 and plan.count("orders.parquet") == 2
     assert plan.count("Join") == 0 and plan.count("Expand") == 2
+
+
+def test_keys_move_once(spark, tables):
+    """Uniqueness and references of two tables: one shuffle by key, in which both tables' keys meet."""
+    child, parent = tables["child"], tables["parent"]
+    summary = checks.run_checks(tables, [
+        checks.unique("child", child, "k", checks.WARN),
+        checks.unique_combo("child", child, ["k", "n"]),
+        checks.relationship("child", child, child.select(F.col("n").alias("k")), "k"),
+        checks.relationship("child", child, parent, "k", parent_key="id"),
+        checks.unique("parent", parent, "id"),
+    ])
+    plan = summary._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert [r["violations"] for r in summary.collect()] == [2, 1, 0, 51, 1]
