@@ -125,6 +125,30 @@ def mark_listed(
     return joined.withColumn(flag, F.col("_listed").isNotNull()).drop("_listed")
 
 
+def superseded_as_written(df: DataFrame, key: str, replaces: str, name: str = "_replaced") -> DataFrame:
+    """Distinct keys, untrimmed as rows write them, whose trimmed form is referenced; also references no row has.
+
+    A reference is itself the key of the rows that write it without padding.  Only keys
+    that are written with padding must be looked up by their trimmed form, so that the
+    other keys are neither shuffled nor collected in memory.
+    """
+    refs = referenced_keys(df, replaces, name)
+    padded = df.select(F.col(key).alias("_written"), F.trim(F.col(key)).alias(name))
+    padded = padded.filter(F.col("_written") != F.col(name)).distinct()
+    return refs.unionByName(padded.join(refs, name).select(F.col("_written").alias(name)))
+
+
+def mark_written(df: DataFrame, key: str, listed: DataFrame, flag: str = "est_remplace") -> DataFrame:
+    """Flag rows whose ``key`` is, as written, in the only column of ``listed``, which is distinct.
+
+    For rows stored in buckets of ``key`` (``materialise_by_key``): they are neither shuffled nor
+    sorted, because each bucket meets its part of the list as a hash table.
+    """
+    marks = listed.toDF("_listed").hint("shuffle_hash")
+    joined = df.join(marks, F.col(key) == F.col("_listed"), "left")
+    return joined.withColumn(flag, F.col("_listed").isNotNull()).drop("_listed")
+
+
 def mark_superseded(df: DataFrame, key: str, replaces: str, flag: str = "est_remplace") -> DataFrame:
     """Flag rows whose trimmed key is referenced by the ``replaces`` column of any row.
 

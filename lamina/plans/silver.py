@@ -14,9 +14,11 @@ from lamina.operators.clean import (
     cast_columns,
     dedup_latest,
     mark_listed,
+    mark_written,
     normalise_names,
+    referenced_keys,
     row_fingerprint,
-    superseded_keys,
+    superseded_as_written,
 )
 from lamina.operators.enrich import enrich
 from lamina.operators.quality import (
@@ -29,7 +31,7 @@ from lamina.operators.quality import (
     status_flags,
     tally,
 )
-from lamina.sources.shared import materialise
+from lamina.sources.shared import finer_tasks, materialise, materialise_by_key
 from lamina.sources.tables import bronze_schema, write_metrics, write_partitions
 
 CURRENT_KEYS = ("code_region_ban", "annee_etablissement")
@@ -72,15 +74,23 @@ def prepare(
     nothing, and both come before the quality rules.
 
     The deduplicated rows are written to the shared folder, or to ``work``: bronze is read and shuffled
-    once, however many outputs follow.  Which keys are superseded is then a join of two
-    columns of that table; its result is stored too, so that Spark knows its size, and
-    is as a rule small enough to mark the wide rows without shuffling them again.  The
+    once, however many outputs follow.  They lie in buckets of their key, and the keys
+    that are superseded follow from two columns of that table and are stored too: marking
+    the wide rows neither shuffles nor sorts them again, however long that list is.  The
     rules and dimensions on top are plain expressions, cheaper to repeat than to store.
     """
-    once = materialise(latest(bronze, order, keep_null_keys), "latest", work)
-    replaced = materialise(superseded_keys(once, fixed.PRIMARY_KEY, "numero_dpe_remplace"), "superseded", work)
-    spread = [c for c in KEYLESS_SPREAD if c in once.columns]
-    return judge(mark_listed(once, fixed.PRIMARY_KEY, replaced, spread=spread), as_of, rules)
+    key, replaces = fixed.PRIMARY_KEY, "numero_dpe_remplace"
+    rows = latest(bronze, order, keep_null_keys)
+    with finer_tasks(bronze.sparkSession):
+        if keep_null_keys:  # there may be any number of rows without a key, which one bucket must not hold
+            once = materialise(rows, "latest", work)
+            replaced = materialise(referenced_keys(once, replaces), "superseded", work)
+            marked = mark_listed(once, key, replaced, spread=[c for c in KEYLESS_SPREAD if c in once.columns])
+        else:
+            once = materialise_by_key(rows, "latest", key, work)
+            replaced = materialise(superseded_as_written(once, key, replaces), "superseded", work)
+            marked = mark_written(once, key, replaced)
+    return judge(marked, as_of, rules)
 
 
 def judge(marked: DataFrame, as_of: Column | None = None, rules: Sequence[Rule] | None = None) -> DataFrame:

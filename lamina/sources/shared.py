@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -35,6 +37,46 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def _set(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    given = spark.conf.get(key)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, given)
+
+
+@contextmanager
+def finer_tasks(spark: SparkSession, size: str = "16m") -> Iterator[None]:
+    """Shuffles that run meanwhile are read in parts of ``size`` at most, unless the session wants smaller ones.
+
+    For jobs that make wide rows of narrow ones: Spark judges a task by what it reads, and
+    64 MB of compressed keys and numbers become gigabytes of text in its sorts.
+    """
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    as_bytes = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
+    with _set(spark, key, min(size, spark.conf.get(key), key=as_bytes)):
+        yield
+
+
+def materialise_by_key(df: DataFrame, name: str, key: str, folder: str | None = None) -> DataFrame:
+    """As ``materialise``, in as many buckets of ``key`` as the session has shuffle partitions.
+
+    Joins on ``key`` then find the rows where they lie.  Spark keeps buckets in its catalog
+    only, which holds the table while it is written; files and the returned rows outlast that.
+    """
+    spark = df.sparkSession
+    path = shared_path(spark, name) if folder is None else f"{folder}/{name}"
+    entry = f"lamina_{uuid.uuid4().hex}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.write.mode("overwrite").option("path", path).bucketBy(buckets, key).format("parquet").saveAsTable(entry)
+    try:
+        return spark.table(entry)
+    finally:
+        spark.sql(f"drop table {entry}")
+
+
 def materialise(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
     """Writes ``df`` once and reads it back, from ``folder`` or from a fresh shared path.
 

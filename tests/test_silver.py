@@ -7,9 +7,18 @@ from builders import row
 from pyspark.sql import functions as F
 
 from lamina.functions import fixed
-from lamina.operators.clean import dedup_latest, mark_superseded, normalise_names, superseded_keys
+from lamina.functions.casts import text_date
+from lamina.operators.clean import (
+    dedup_latest,
+    mark_superseded,
+    mark_written,
+    normalise_names,
+    superseded_as_written,
+    superseded_keys,
+)
 from lamina.operators.quality import standard_rules
 from lamina.plans.silver import current_rows, latest, metrics, prepare, rejected_rows, typed
+from lamina.sources.shared import finer_tasks
 
 
 def by_key(df, *columns):
@@ -203,3 +212,50 @@ def test_dedup_with_one_hot_key_sends_one_row_per_task(spark):
     assert plan.count("WindowGroupLimit") == 2
     assert once.count() == 20001
     assert once.filter("k is null").first()["v"] == 29997
+
+
+def test_marks_neither_shuffle_nor_sort_the_wide_rows(spark, bronze):
+    """Even where the list of superseded keys is too long to broadcast, and when their partitions are many."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = prepare(bronze(row("A"), row(" A"), row("B", replaced="A "), row(None), row(" ", replaced="GONE")))
+        assert by_key(df, "est_remplace") == {"A": True, " A": True, "B": False, None: False, " ": False}
+        text = df._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in text and "Sort [" not in text
+        assert text.count("Exchange") == 1 and "Bucketed: true" in text
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("lamina_")]
+
+
+def test_only_padded_keys_are_looked_up(spark):
+    keys = [("A", None), (" A", " B"), ("A ", "A"), ("B", "C "), ("", " "), (None, "A")]
+    df = spark.createDataFrame(keys, "k string, r string")
+    listed = [r[0] for r in superseded_as_written(df, "k", "r").collect()]
+    assert sorted(listed) == [" A", "A", "A ", "B", "C"]
+    marked = {r["k"]: r["est_remplace"] for r in mark_written(df, "k", superseded_as_written(df, "k", "r")).collect()}
+    assert marked == {"A": True, " A": True, "A ": True, "B": True, "": False, None: False}
+
+
+@pytest.mark.parametrize("text", ["2024-05-1T", "2024-05-1\t", "2024-05", "2024-05- 1", "+024-05-01", "2024-13-01", "２０２４-05-01", "soon"])
+def test_text_that_only_a_lenient_cast_reads_is_no_date(spark, text):
+    assert spark.createDataFrame([(text,)], "t string").select(text_date(F.col("t"))).first()[0] is None
+
+
+def test_dates_are_read_without_a_formatter(spark):
+    df = spark.createDataFrame([("2024-05-12", "12/05/2024"), (" 0001-01-01 ", "")], "t string, u string")
+    found = df.select(text_date(F.col("t")).alias("t"), text_date(F.col("u"), "dd/MM/yyyy").alias("u"))
+    assert [tuple(r) for r in found.collect()] == [(dt.date(2024, 5, 12),) * 2, (dt.date(1, 1, 1), None)]
+    text = df.select(text_date(F.col("t")))._jdf.queryExecution().executedPlan().toString()
+    assert "gettimestamp" not in text.lower() and "to_date" not in text
+
+
+def test_wide_stages_read_small_parts(spark):
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(key)
+    for given, wanted in ((before, "16m"), ("1m", "1m")):
+        spark.conf.set(key, given)
+        with finer_tasks(spark):
+            assert spark.conf.get(key) == wanted
+        assert spark.conf.get(key) == given
+    spark.conf.set(key, before)
