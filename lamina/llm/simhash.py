@@ -14,12 +14,16 @@ bit apart, one is the other with a bit more.
 Meeting places are groups of rows with the same (segment, value).  A task works through
 a group by a search that tests each fingerprint against those not reached yet and gives
 out one link per fingerprint reached, never all pairs; equal fingerprints are one node.
-Components come from the links by rounds of joins, written after each round.
+Components come from the links: tasks reduce parts of them to forests, and several parts are
+joined by rounds of joins, written after each round.
 
 A scheme with ``least_similarity`` takes near fingerprints as candidates only: they are
-linked if the Jaccard similarity of their documents' complete shingle sets reaches it.  First the
-links of the search are verified, at several distances, then all candidates whose ends
-these leave in different components; so every candidate is either verified or joined already.
+linked if the Jaccard similarity of their documents' complete shingle sets reaches it.  A place
+names the near pairs that meet nowhere before.  One with more than ``PAIRS_A_ROW`` a row gives out links
+that join them, and the groups of such links are compared in blocks: a task has the sets of two
+blocks, compares every candidate that no verified link has joined yet, and gives out a link per
+fingerprint reached.  So every candidate is either verified or joined already, and no step makes
+rows by the square of a group; comparisons in a dense group still are its square.
 Equal fingerprints are one node here too.
 
 Shingles shorter than the document's words: the whole sequence is one.  A document
@@ -67,8 +71,6 @@ NEAR_EXACT = Scheme(3, 1, 2, ((0, 32, 1), (32, 32, 0)))
 # 6; 60 are allowed, and what they let through below 0.8 is turned away by the sets.  One of sixteen
 # segments is at most one bit apart for 99.5 % of the pairs at 0.8.
 SIMILAR = Scheme(5, 4, 60, tuple((16 * i, 16, 1) for i in range(16)), 0.8)
-# Distances of the first search: nearest first, so that few of its links are turned away.
-NEARER = (24, 43)
 
 
 def shingle_hashes(words: list[bytes], k: int) -> np.ndarray:
@@ -175,6 +177,12 @@ def balls(scheme: Scheme):
     return run
 
 
+# Near pairs of a place that are named one by one, for each of its rows.
+PAIRS_A_ROW = 2
+# Fingerprints, and bytes of their shingle sets, in a block of a dense group.
+BLOCK_ROWS, BLOCK_BYTES = 4096, 16 << 20
+# Links that one task reduces to a forest.
+FOREST_LINKS = 200_000
 # Rows of a group whose distances are taken all at once; most groups are small and have no link.
 AT_ONCE = 256
 
@@ -205,7 +213,7 @@ def _search(words: np.ndarray, max_bits: int) -> list[tuple[int, int]]:
 
 
 def _groups(batches):
-    """The fingerprints of each place that has several."""
+    """Each place that has several fingerprints, and these."""
     place, held = None, []
     for b in batches:
         places = b.column(0).to_numpy(zero_copy_only=False)
@@ -216,24 +224,21 @@ def _groups(batches):
                 continue
             if places[a] != place:
                 if sum(map(len, held)) > 1:
-                    yield [p for c in held for p in c.to_pylist()]
+                    yield place, [p for c in held for p in c.to_pylist()]
                 place, held = places[a], []
             held.append(column.slice(a, z - a))
     if sum(map(len, held)) > 1:
-        yield [p for c in held for p in c.to_pylist()]
+        yield place, [p for c in held for p in c.to_pylist()]
 
 
 def met(scheme: Scheme):
     """Links between the fingerprints of each place; rows come sorted by place."""
-    distances = (*NEARER, scheme.max_bits) if scheme.least_similarity else (scheme.max_bits,)
 
     def run(batches):
         out: list[tuple[bytes, bytes]] = []
-        for prints in _groups(batches):
-            words = _words(prints, scheme.words64)
-            for most in distances:
-                for a, z in spanning_links(words, most):
-                    out.append((min(prints[a], prints[z]), max(prints[a], prints[z])))
+        for _, prints in _groups(batches):
+            for a, z in spanning_links(_words(prints, scheme.words64), scheme.max_bits):
+                out.append((min(prints[a], prints[z]), max(prints[a], prints[z])))
             if len(out) > 20_000:
                 yield _hex_links(out)
                 out = []
@@ -243,32 +248,78 @@ def met(scheme: Scheme):
     return run
 
 
-def met_apart(scheme: Scheme):
-    """All near pairs of each place with different roots; rows are fingerprint and root in one."""
-    size = 8 * scheme.words64
+def first_places(one: np.ndarray, other: np.ndarray, scheme: Scheme) -> np.ndarray:
+    """The first place where the rows of each pair meet, -1 if they don't."""
+    places = np.full(max(len(one), len(other)), -1, dtype=np.int64)
+    for s, (first, width, radius) in reversed(list(enumerate(scheme.segments))):
+        a, b = ((w[:, first // 64] >> np.uint64(first % 64)) & np.uint64((1 << width) - 1) for w in (one, other))
+        bits = np.bitwise_count(a ^ b)
+        meets = bits <= radius
+        if radius:  # both with a bit more
+            meets |= (bits == 2) & (np.bitwise_count((a ^ b) & a) == 1)
+        places = np.where(meets, (a | b | np.uint64(s << width)).astype(np.int64), places)
+    return places
+
+
+def named_here(words: np.ndarray, place: int, scheme: Scheme) -> tuple[list, bool]:
+    """The near pairs that meet here first, or links that join them if there are too many, and whether there are."""
+    most, found = PAIRS_A_ROW * len(words), []
+    if len(words) <= AT_ONCE:
+        near = np.bitwise_count(words[:, None] ^ words[None]).sum(axis=2, dtype=np.int16) <= scheme.max_bits
+        if np.count_nonzero(near) == len(words):
+            return [], False
+        pairs = np.argwhere(np.triu(near, 1))
+        found = pairs[first_places(words[pairs[:, 0]], words[pairs[:, 1]], scheme) == place].tolist()
+        return (found, False) if len(found) <= most else (_forest(found), True)
+    for i in range(len(words) - 1):
+        near = i + 1 + np.flatnonzero(np.bitwise_count(words[i + 1 :] ^ words[i]).sum(axis=1) <= scheme.max_bits)
+        if len(near):
+            found += [(i, j) for j in near[first_places(words[near], words[i : i + 1], scheme) == place].tolist()]
+        if len(found) > most:
+            return spanning_links(words, scheme.max_bits), True
+    return found, False
+
+
+def _forest(pairs) -> list:
+    """The pairs that join rows no earlier one joins."""
+    top: dict[int, int] = {}
+    links = []
+    for pair in pairs:
+        a, b = pair
+        while a in top:
+            a = top[a]
+        while b in top:
+            b = top[b]
+        if a != b:
+            top[b] = a
+            links.append(pair)
+    return links
+
+
+def met_closely(scheme: Scheme):
+    """The near pairs of each place that meet there first, or links that join them where they are too many (``dense``)."""
 
     def run(batches):
-        out: list[tuple[bytes, bytes]] = []
-        for rows in _groups(batches):
-            numbers: dict[bytes, int] = {}
-            roots = np.array([numbers.setdefault(r[size:], len(numbers)) for r in rows])
-            if not roots.any():
-                continue
-            words = _words(rows, scheme.words64)
-            for i in range(len(rows) - 1):
-                near = np.bitwise_count(words[i + 1 :] ^ words[i]).sum(axis=1) <= scheme.max_bits
-                for j in np.flatnonzero(near & (roots[i + 1 :] != roots[i])).tolist():
-                    a, z = rows[i][:size], rows[i + 1 + j][:size]
-                    out.append((min(a, z), max(a, z)))
-                if len(out) > 20_000:
-                    yield _hex_links(out)
-                    out = []
+        out: list[tuple[bytes, bytes, bool]] = []
+        for place, prints in _groups(batches):
+            pairs, dense = named_here(_words(prints, scheme.words64), place, scheme)
+            for a, z in pairs:
+                out.append((min(prints[a], prints[z]), max(prints[a], prints[z]), dense))
+            if len(out) > 20_000:
+                yield _candidates(out)
+                out = []
         if out:
-            yield _hex_links(out)
+            yield _candidates(out)
 
     return run
 
 
+def _candidates(rows):
+    low, high, dense = zip(*rows)
+    links = _hex_links(zip(low, high))
+    return pa.RecordBatch.from_arrays([*links.columns, pa.array(dense, pa.bool_())], ["low", "high", "dense"])
+
+
 def _hex_links(pairs):
     return _links([(low.hex(), high.hex()) for low, high in pairs])
 
@@ -279,15 +330,15 @@ def _links(pairs):
 
 def links(nodes: DataFrame, scheme: Scheme) -> DataFrame:
     """Pairs (low, high) of near fingerprints, enough to connect every component."""
-    return _meetings(nodes.select("fingerprint"), scheme, met(scheme))
+    return _meetings(nodes, scheme, met(scheme), "low string, high string")
 
 
-def _meetings(nodes: DataFrame, scheme: Scheme, pairs) -> DataFrame:
+def _meetings(nodes: DataFrame, scheme: Scheme, pairs, schema: str) -> DataFrame:
     return (
-        nodes.mapInArrow(balls(scheme), "place long, fingerprint binary")
+        nodes.select("fingerprint").mapInArrow(balls(scheme), "place long, fingerprint binary")
         .repartition("place")
         .sortWithinPartitions("place")
-        .mapInArrow(pairs, "low string, high string")
+        .mapInArrow(pairs, schema)
         .distinct()
     )
 
@@ -337,37 +388,125 @@ def similar_pairs(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     return joined.select("low", "high", "low_shingles", "high_shingles").mapInArrow(run, "low string, high string").distinct()
 
 
+def similar_in(words: np.ndarray, sets: list[np.ndarray], sides: np.ndarray, scheme: Scheme) -> list[tuple[int, int]]:
+    """Links that join all similar candidates of a block (one side), or of two blocks, one row of each."""
+    _, labels = np.unique(words, axis=0, return_inverse=True)
+    sizes = np.array([len(x) for x in sets])
+    ends = np.cumsum(sizes)
+    _, ids = np.unique(np.concatenate(sets), return_inverse=True)
+    here = np.zeros(len(ids), dtype=np.int32)
+    least, links = scheme.least_similarity, []
+    two = np.flatnonzero(sides == sides.max())
+    alone = len(two) == len(sides)
+    for i in range(len(sides)) if alone else np.flatnonzero(sides != sides.max()).tolist():
+        at = two[i + 1 :] if alone else two
+        at = at[(labels[at] != labels[i]) & (sizes[at] > 0)]
+        at = at[np.bitwise_count(words[at] ^ words[i]).sum(axis=1) <= scheme.max_bits]
+        fits = (1 + least) * np.minimum(sizes[at], sizes[i]) >= least * (sizes[at] + sizes[i]) - 1e-6
+        at = at[fits & (first_places(words[at], words[i : i + 1], scheme) >= 0)]
+        if not len(at):
+            continue
+        own = ids[ends[i] - sizes[i] : ends[i]]
+        here[own] = 1
+        taken = here[np.concatenate([ids[ends[j] - sizes[j] : ends[j]] for j in at.tolist()])]
+        both = np.add.reduceat(taken, np.cumsum(sizes[at]) - sizes[at])
+        here[own] = 0
+        for j in at[both / np.maximum(1, sizes[at] + sizes[i] - both) >= least].tolist():
+            if labels[j] != labels[i]:
+                links.append((i, j))
+                labels[labels == labels[j]] = labels[i]
+    return links
+
+
+def similar_in_groups(groups: DataFrame, sets: DataFrame, scheme: Scheme) -> DataFrame:
+    """Pairs (low, high) that join all similar candidates within groups (node, root), each compared in blocks."""
+    members = store(sets.join(groups.withColumnRenamed("node", "fingerprint"), "fingerprint"), "members")
+    n, held = F.count(F.lit(1)), F.sum(F.length("shingles"))
+    blocks = members.groupBy("root").agg(F.ceil(F.greatest(n / BLOCK_ROWS, held / BLOCK_BYTES, F.lit(1))).cast("int").alias("blocks"))
+    own, other = F.pmod(F.xxhash64("fingerprint"), F.col("blocks")).cast("int"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    dealt = members.join(blocks, "root").select("root", "fingerprint", "shingles", own.alias("own"), other.alias("other"))
+
+    def run(batches):
+        key, held = None, []
+
+        def close():
+            if len(held) < 2:
+                return None
+            prints = [bytes.fromhex(h[0]) for h in held]
+            found = [np.frombuffer(h[1], np.uint64) for h in held]
+            links = similar_in(_words(prints, scheme.words64), found, np.array([h[2] for h in held]), scheme)
+            return _hex_links([(min(prints[a], prints[z]), max(prints[a], prints[z])) for a, z in links]) if links else None
+
+        for b in batches:
+            for root, one, two, *row in zip(*(b.column(i).to_pylist() for i in range(6))):
+                if (root, one, two) != key:
+                    if (out := close()) is not None:
+                        yield out
+                    key, held = (root, one, two), []
+                held.append(row)
+        if (out := close()) is not None:
+            yield out
+
+    pair = ["root", "one", "two"]
+    return (
+        dealt.select("root", F.least("own", "other").alias("one"), F.greatest("own", "other").alias("two"), "fingerprint", "shingles", "own")
+        .repartition(*pair)
+        .sortWithinPartitions(*pair)
+        .mapInArrow(run, "low string, high string")
+        .distinct()
+    )
+
+
 def verified_links(docs: DataFrame, printed: DataFrame, nodes: DataFrame, scheme: Scheme) -> DataFrame:
     """Pairs (low, high) whose similarity is verified, enough to connect every component of the verified candidates."""
-    first = store(links(nodes, scheme), "candidates")
-    sets = store(shingle_sets(docs, printed, first, scheme), "shingle-sets")
-    sure = store(similar_pairs(first, sets, scheme.least_similarity), "similar")
-    roots = components(sure).select(F.col("node").alias("fingerprint"), "root")
-    # Near fingerprints are joined by a chain of the first search's links.  Where all of a chain's links are verified,
-    # its ends have one root already: only chains with a link that was turned away are searched for near pairs apart.
-    chains = components(first)
-    turned_away = first.join(sure, ["low", "high"], "left_anti").select(F.col("low").alias("node"))
-    broken = chains.join(turned_away.join(chains, "node").select("root").distinct(), "root").select(F.col("node").alias("fingerprint"))
-    rooted = store(
-        broken.join(roots, "fingerprint", "left")
-        .select(F.concat("fingerprint", F.coalesce("root", "fingerprint")).alias("fingerprint")),
-        "rooted",
-    )
-    apart = store(_meetings(rooted, scheme, met_apart(scheme)).join(first, ["low", "high"], "left_anti"), "candidates-apart")
-    return sure.unionByName(similar_pairs(apart, sets, scheme.least_similarity))
+    candidates = store(_meetings(nodes, scheme, met_closely(scheme), "low string, high string, dense boolean"), "candidates")
+    sets = store(shingle_sets(docs, printed, candidates, scheme), "shingle-sets")
+    dense = candidates.filter("dense").select("low", "high")
+    single = similar_pairs(candidates.filter("not dense").select("low", "high"), sets, scheme.least_similarity)
+    if dense.isEmpty():
+        return single
+    return single.unionByName(similar_in_groups(components(dense), sets, scheme))
+
+
+def forests(batches):
+    """Each node of the links with the smallest node they join it to, in bounded parts."""
+    parent: dict[str, str] = {}
+
+    def top(x):
+        while (up := parent.setdefault(x, x)) != x:
+            parent[x] = parent[up]
+            x = up
+        return x
+
+    def roots():
+        rows = [(x, r) for x in list(parent) if (r := top(x)) != x]
+        for i in range(0, len(rows), 20_000):
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in zip(*rows[i : i + 20_000])], ["a", "b"])
+
+    for batch in batches:
+        for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            a, b = top(a), top(b)
+            parent[max(a, b)] = min(a, b)
+        if len(parent) > 2 * FOREST_LINKS:
+            yield from roots()
+            parent.clear()
+    yield from roots()
 
 
 def components(pairs: DataFrame, low: str = "low", high: str = "high") -> DataFrame:
     """(node, root) for every node of stored pairs; the root is the component's smallest node.
 
-    Each round, every node points its neighbours (large star), then its smaller ones (small
+    First, tasks reduce parts of the pairs to forests of stars.  If there are several parts,
+    rounds join them: each round, every node points its neighbours (large star), then its smaller ones (small
     star), at the smallest of them.  Rounds grow with the logarithm of the longest path.
     Minima are aggregated before they are joined back, so a node with very many neighbours
     is never gathered.
     """
     edges = pairs.select(F.col(low).alias("a"), F.col(high).alias("b")).filter("a <> b")
+    parts = max(1, -(-edges.count() // FOREST_LINKS))
+    edges = store(edges.coalesce(parts).mapInArrow(forests, "a string, b string"), "forests")
     before = None
-    while True:
+    while parts > 1:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("least"))
         edges = (  # large star

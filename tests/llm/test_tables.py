@@ -217,6 +217,32 @@ def test_candidates_apart_are_verified_too(documents):
     assert {r["doc_id"]: r["component_id"] for r in got} == {0: 0, 1: 1, 2: 1}
 
 
+def test_dense_groups_make_no_rows_by_their_square(documents, monkeypatch):
+    """Texts that are all near and all below 0.8 but for one pair: every stored table is linear in them."""
+    scheme = simhash.Scheme(5, 4, 256, ((0, 1, 1),), 0.8)  # everything meets everything
+    rng, made = random.Random(4), {}
+    base = [f"w{rng.randrange(10**6)}" for _ in range(200)]
+    texts = [[f"x{rng.randrange(10**6)}" if rng.random() < 0.08 else w for w in base] for _ in range(60)]
+    texts.append([*texts[7][:-1], "end"])
+    kept = simhash.store
+
+    def counted(df, name):
+        made[name] = (stored := kept(df, name)).count()
+        return stored
+
+    monkeypatch.setattr(simhash, "store", counted)
+    got = rows(simhash.near_duplicates(documents(*enumerate(map(" ".join, texts))), scheme))
+    assert {r["doc_id"]: r["component_id"] for r in got} == {i: 7 if i == 60 else i for i in range(61)}
+    assert max(made.values()) <= 4 * 61
+
+
+def test_components_of_several_parts(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "FOREST_LINKS", 50)
+    pairs = spark.createDataFrame([(f"{i:04d}", f"{i + 1:04d}") for i in range(300) if i != 99], "low string, high string")
+    got = {r["node"]: r["root"] for r in simhash.components(pairs).collect()}
+    assert got == {f"{i:04d}": "0000" if i < 100 else "0100" for i in range(301)}
+
+
 def test_simhash_edges(documents):
     assert simhash.near_duplicates(documents()).count() == 0
     got = rows(simhash.near_duplicates(documents((4, None), (3, " "), (3, " "), (None, "one two"), (9, "ONE two"))))
