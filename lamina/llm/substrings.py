@@ -9,7 +9,9 @@ So shards are made of windows that can be equal.  A window is named by its minim
 its runs of ``GRAM`` words the one with the least hash.  Equal windows have equal minimizers,
 and neighbouring windows mostly share theirs, so a document falls into short segments.
 
-1. Segments whose minimizer occurs once in the corpus can't repeat and are dropped.
+1. Segments whose minimizer occurs once in the corpus can't repeat and are dropped.  They meet by
+   minimizer in one shuffle.  Those whose minimizer occurs again in the batch that reads them are
+   known to repeat: they are dealt by document, and one witness a batch goes to the meeting.
 2. Of the others, equal segments are collapsed to the first (in the task that reads them,
    then by a hash of 128 bits), so a passage in a third of all documents is one segment.
 3. Different segments with the same minimizer meet in a shard.  There an FM-index of them
@@ -154,8 +156,15 @@ def _unpack(place: int) -> tuple[int, int]:
     return place >> COUNT_BITS, place & ((1 << COUNT_BITS) - 1)
 
 
+SEGMENTS = "gram long, id long, version long, place long"
+
+
 def segments_of(window: int, gram: int):
-    """(minimizer, id, version, place) of every segment."""
+    """(minimizer, id, version, place) of every segment.
+
+    Places are negative (``~place``) where the minimizer repeats in the batch, which then also has a
+    witness for it: a row without a place.
+    """
 
     def run(batches):
         hashes = WordHashes()
@@ -169,13 +178,48 @@ def segments_of(window: int, gram: int):
                 places.append(_pack(start, count))
             if not grams:
                 continue
-            columns = [pa.array(np.concatenate(c).astype(np.int64)) for c in (grams, ids, versions, places)]
+            found, of, times = np.unique(np.concatenate(grams).astype(np.int64), return_inverse=True, return_counts=True)
+            place, seen = np.concatenate(places).astype(np.int64), found[times > 1]
+            place = np.where(times[of] > 1, ~place, place)
+            rows = [found[of], *(np.concatenate(c).astype(np.int64) for c in (ids, versions)), place]
+            columns = [pa.array(np.concatenate([c, seen if i == 0 else np.zeros(len(seen), np.int64)])) for i, c in enumerate(rows[:3])]
+            columns.append(pa.concat_arrays([pa.array(place), pa.nulls(len(seen), pa.int64())]))
             for a in range(0, len(columns[0]), 50_000):
                 yield pa.RecordBatch.from_arrays([c.slice(a, 50_000) for c in columns], ["gram", "id", "version", "place"])
 
     return run
 
 
+def again(batches):
+    """The segments whose minimizer occurs again; rows come sorted by minimizer."""
+    last, last_row, passed = None, None, True
+    for b in batches:
+        if not b.num_rows:
+            continue
+        grams = b.column(0).to_numpy()
+        places = b.column(3).fill_null(0).to_numpy()
+        witness = b.column(3).is_null().to_numpy(zero_copy_only=False)
+        same = grams[1:] == grams[:-1]
+        before = np.concatenate([[last == grams[0]], same])
+        after = np.concatenate([same, [False]])
+        if before[0] and not passed:
+            yield last_row
+        kept = np.flatnonzero(~witness & (before | after | (places < 0)))
+        last, last_row = grams[-1], b.slice(b.num_rows - 1)
+        passed = bool(before[-1] or witness[-1] or places[-1] < 0)
+        if len(kept):
+            places = np.where(places < 0, ~places, places)
+            columns = [c.take(pa.array(kept)) for c in b.columns[:3]]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(places[kept])], ["gram", "id", "version", "place"])
+
+
+def repeated_segments(texts: DataFrame, window: int, gram: int) -> DataFrame:
+    """The segments whose minimizer occurs more than once in the corpus."""
+    every = texts.mapInArrow(segments_of(window, gram), SEGMENTS)
+    deal = F.when(F.col("place") < 0, F.xxhash64("id", "version")).otherwise(F.col("gram"))
+    return every.repartition(deal).sortWithinPartitions("gram").mapInArrow(again, SEGMENTS)
+
+
 OCCURRENCE = "segment binary, shard long, id long, version long, start int, windows int, content binary"
 # Bytes of different contents that a task gathers before it passes them on.
 GATHERED = 64 << 20
@@ -377,11 +421,9 @@ def deduplicated(
     """One row per document: doc_id, n_words, n_removed, kept_sha256, and the kept words if asked for."""
     prepare(docs.sparkSession)
     texts = documents(docs)
-    every = texts.mapInArrow(segments_of(window, gram), "gram long, id long, version long, place long")
-    often = every.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("gram")
     # A document's repeated segments: bounded by its words.
     found = (
-        every.join(often, "gram")
+        repeated_segments(texts, window, gram)
         .groupBy("id", "version")
         .agg(F.collect_set(F.struct("gram", "place")).alias("found"))
     )

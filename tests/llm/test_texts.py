@@ -3,7 +3,7 @@
 import hashlib
 import random
 import time
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -109,6 +109,26 @@ def test_texts_of_one_id_are_told_apart(documents):
         assert sorted((r["n_words"], r["n_removed"]) for r in got) == [(40, 0), (60, 0), (70, 40)]
 
 
+def test_segments_meet_in_one_shuffle(documents, spark):
+    """Those that repeat only across batches or tasks stay, also around a batch's end; lone ones go."""
+    rng = random.Random(6)
+    passage, other = ([f"p{rng.randrange(10**6)}" for _ in range(40)] for _ in range(2))
+    texts = [(i, " ".join([f"w{rng.randrange(10**6)}" for _ in range(30)] + (passage if i % 3 == 0 else other if i in (1, 98) else []))) for i in range(100)]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        segments = substrings.repeated_segments(substrings.documents(documents(*texts).repartition(9)), 20, 6)
+        got, plan = segments.collect(), segments._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    hashes, want = substrings.WordHashes(), []
+    for i, text in texts:
+        for start, count, gram in zip(*substrings.minimizers(hashes(text.encode()), 20, 6)):
+            want.append((int(gram), i, substrings._pack(int(start), int(count))))
+    grams = Counter(w[0] for w in want)
+    assert sorted((r["gram"], r["id"], r["place"]) for r in got) == sorted(w for w in want if grams[w[0]] > 1)
+    assert plan.count("MapInArrow run") == 1 and "Join" not in plan  # texts are read once
+
+
 def test_word_hashes_depend_on_the_word_alone(monkeypatch):
     hashes = substrings.WordHashes()
     words = [f"w{i % 700}é".encode() for i in range(5000)]
