@@ -90,6 +90,18 @@ MART_SOURCES = [
 ]
 
 
+# What dedup, supersession and the rules read of a bronze row.
+RULE_SOURCES = [
+    "numero_dpe", "numero_dpe_remplace", "date_etablissement_dpe", "date_reception_dpe",
+    "date_derniere_modification_dpe", "identifiant_ban", "etiquette_dpe", "code_insee_ban",
+    "surface_habitable_logement", "conso_5_usages_par_m2_ep",
+]
+# What the flags and bands read besides; null in queries that return none of what follows from it.
+FLAG_SOURCES = ["date_fin_validite_dpe", "statut_geocodage", "score_ban", "annee_construction"]
+PROFILE_SOURCES = [*RULE_SOURCES, "annee_construction", "type_batiment", "emission_ges_5_usages_par_m2", "cout_total_5_usages"]
+STAR_SOURCES = [c for c in MART_SOURCES if c not in {"date_fin_validite_dpe", "cout_chauffage"}]
+
+
 # What the rules and the facts read of a bronze row.
 FACT_SOURCES = [
     *[c for c in MART_SOURCES if c not in {
@@ -107,7 +119,10 @@ def prepared(spark: SparkSession, sf: str, columns: list[str] | None = None) ->
         F.desc_nulls_last("date_reception_dpe"),
         F.asc("identifiant_ban"),
     ]
-    rows = bronze(spark, sf) if columns is None else bronze(spark, sf).select(*columns)
+    rows = bronze(spark, sf)
+    if columns is not None:
+        unread = [F.lit(None).cast("string").alias(c) for c in FLAG_SOURCES if c not in columns]
+        rows = rows.select(*columns, *unread)
     return silver.prepare(rows, F.lit(AS_OF).cast("date"), order=order)
 
 
@@ -207,7 +222,7 @@ def certificates_prepared(spark, sf):
     """,
 )
 def certificates_rejected(spark, sf):
-    return silver.rejected_rows(prepared(spark, sf, MART_SOURCES))
+    return silver.rejected_rows(prepared(spark, sf, [*RULE_SOURCES, "code_region_ban"]))
 
 
 @query(
@@ -223,7 +238,7 @@ def certificates_rejected(spark, sf):
     """,
 )
 def certificates_metrics(spark, sf):
-    return silver.metrics(bronze(spark, sf), prepared(spark, sf, MART_SOURCES))
+    return silver.metrics(bronze(spark, sf), prepared(spark, sf, [*RULE_SOURCES, "statut_geocodage"]))
 
 
 @query(
@@ -310,7 +325,7 @@ STAR_COLUMNS = [
 
 def stars(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     """Facts and dimension, each read back from files as the marts find them."""
-    facts = materialise(staged(spark, sf, MART_SOURCES).select(*STAR_COLUMNS), "facts")
+    facts = materialise(staged(spark, sf, STAR_SOURCES).select(*STAR_COLUMNS), "facts")
     return facts, materialise(gold.dim_commune(facts), "dim")
 
 
@@ -379,7 +394,7 @@ PROFILE = PREPARED + f"""
 
 
 def profile(spark: SparkSession, sf: str) -> DataFrame:
-    return gold.mart_profil(gold.fact(staged(spark, sf, MART_SOURCES)))
+    return gold.mart_profil(gold.fact(staged(spark, sf, PROFILE_SOURCES)))
 
 
 @query("certificates_mart_profil", PROFILE + "select * from profile")
@@ -466,7 +481,7 @@ def certificates_new_houses(spark, sf):
     """,
 )
 def certificates_heating_cost(spark, sf):
-    facts = gold.fact(staged(spark, sf, MART_SOURCES))
+    facts = gold.fact(staged(spark, sf, [*RULE_SOURCES, "cout_chauffage"]))
     return plain(analysis.cost_per_size(facts, "etiquette_dpe", "cout_annuel_chauffage_eur", "surface_m2"))
 
 
@@ -492,7 +507,7 @@ def certificates_extremes(spark, sf):
     """,
 )
 def certificates_anomalies(spark, sf):
-    facts = gold.fact(staged(spark, sf, MART_SOURCES))
+    facts = gold.fact(staged(spark, sf, RULE_SOURCES))
     return analysis.label_anomalies(facts, "etiquette_dpe", "conso_ep_kwh_m2_an", "surface_m2")
 
 

@@ -259,3 +259,19 @@ def test_wide_stages_read_small_parts(spark):
             assert spark.conf.get(key) == wanted
         assert spark.conf.get(key) == given
     spark.conf.set(key, before)
+
+
+def test_queries_prepare_only_what_they_read(spark, monkeypatch):
+    """Columns that no rule and no result of a query needs are not rendered, shuffled and stored."""
+    from lamina.catalog import certificates
+
+    plans, prepare = [], certificates.silver.prepare
+
+    def noted(bronze, *args, **kwargs):
+        plans.append(bronze._jdf.queryExecution().optimizedPlan().toString())
+        return prepare(bronze, *args, **kwargs)
+
+    monkeypatch.setattr(certificates.silver, "prepare", noted)
+    for query in (certificates.certificates_rejected, certificates.certificates_new_houses, certificates.certificates_heating_cost):
+        query(spark, "/root/testdata/sf0.001")
+    assert len(plans) == 3 and not [p for p in plans if "VILLE " in p or "concat(0., lpad" in p]
