@@ -123,7 +123,7 @@ def prepared(spark: SparkSession, sf: str, columns: list[str] | None = None) ->
     if columns is not None:
         unread = [F.lit(None).cast("string").alias(c) for c in FLAG_SOURCES if c not in columns]
         rows = rows.select(*columns, *unread)
-    return silver.prepare(rows, F.lit(AS_OF).cast("date"), order=order)
+    return silver.prepare(rows, F.lit(AS_OF).cast("date"), order=order, n_rows=table(spark, sf, "lineitem").count())
 
 
 def staged(spark: SparkSession, sf: str, columns: list[str] | None = None) -> DataFrame:

@@ -67,6 +67,7 @@ def prepare(
     order: Sequence[Column] | None = None,
     keep_null_keys: bool = False,
     work: str | None = None,
+    n_rows: int | None = None,
 ) -> DataFrame:
     """Every bronze key once, with its flags and motive; rejects nothing yet.
 
@@ -78,10 +79,13 @@ def prepare(
     that are superseded follow from two columns of that table and are stored too: marking
     the wide rows neither shuffles nor sorts them again, however long that list is.  The
     rules and dimensions on top are plain expressions, cheaper to repeat than to store.
+
+    The number of buckets follows the rows of bronze.  They are counted, which a stored table answers from
+    its footers; ``n_rows`` says about how many there are where counting would compute them.
     """
     key, replaces = fixed.PRIMARY_KEY, "numero_dpe_remplace"
     rows = latest(bronze, order, keep_null_keys)
-    with finer_tasks(bronze.sparkSession):
+    with finer_tasks(bronze.sparkSession, rows=bronze.count() if n_rows is None else n_rows):
         if keep_null_keys:  # there may be any number of rows without a key, which one bucket must not hold
             once = materialise(rows, "latest", work)
             replaced = materialise(referenced_keys(once, replaces), "superseded", work)

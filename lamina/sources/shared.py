@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 # Names the folder where a running session has no ``spark.checkpoint.dir``, which can't be set any more.
 OWN_SETTING = "lamina.shared.dir"
+# Rows of a shuffle partition whose wide rows a task sorts: some 100 MB.
+TASK_ROWS = 1 << 17
 
 
 def shared_root(spark: SparkSession) -> str | None:
@@ -48,20 +50,24 @@ def _set(spark: SparkSession, key: str, value: str) -> Iterator[None]:
 
 
 @contextmanager
-def finer_tasks(spark: SparkSession, size: str = "16m") -> Iterator[None]:
+def finer_tasks(spark: SparkSession, size: str = "16m", rows: int = 0) -> Iterator[None]:
     """Shuffles that run meanwhile are read in parts of ``size`` at most, unless the session wants smaller ones.
 
     For jobs that make wide rows of narrow ones: Spark judges a task by what it reads, and
     64 MB of compressed keys and numbers become gigabytes of text in its sorts.
+
+    Spark puts small partitions together but never splits one for a window or a bucket.  So where ``rows``
+    are to be shuffled, there is a partition for each ``TASK_ROWS`` of them at least, and tasks don't grow with the table.
     """
-    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    key, partitions = "spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.shuffle.partitions"
     as_bytes = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
-    with _set(spark, key, min(size, spark.conf.get(key), key=as_bytes)):
+    wanted = max(int(spark.conf.get(partitions)), -(-rows // TASK_ROWS))
+    with _set(spark, key, min(size, spark.conf.get(key), key=as_bytes)), _set(spark, partitions, str(wanted)):
         yield
 
 
 def materialise_by_key(df: DataFrame, name: str, key: str, folder: str | None = None) -> DataFrame:
-    """As ``materialise``, in as many buckets of ``key`` as the session has shuffle partitions.
+    """As ``materialise``, in as many buckets of ``key`` as the session has shuffle partitions (see ``finer_tasks``).
 
     Joins on ``key`` then find the rows where they lie.  Spark keeps buckets in its catalog
     only, which holds the table while it is written; files and the returned rows outlast that.

@@ -261,6 +261,23 @@ def test_wide_stages_read_small_parts(spark):
     spark.conf.set(key, before)
 
 
+@pytest.mark.parametrize("keep_null_keys", [False, True])
+def test_buckets_follow_the_rows_and_not_the_session(spark, bronze, monkeypatch, tmp_path, keep_null_keys):
+    """No window, sort or bucket of the stored rows holds more than its share, however many rows there are."""
+    monkeypatch.setattr("lamina.sources.shared.TASK_ROWS", 50, raising=False)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        rows = bronze(row()).drop("numero_dpe", "numero_dpe_remplace").crossJoin(spark.range(2000))
+        rows = rows.selectExpr("*", "concat('K', id) numero_dpe", "if(id % 4 = 0, concat('K', id + 1), null) numero_dpe_remplace").drop("id")
+        df = prepare(rows, keep_null_keys=keep_null_keys, work=str(tmp_path))
+        assert (df.count(), df.filter("est_remplace").count()) == (2000, 500)
+        stored = spark.read.parquet(f"{tmp_path}/latest").groupBy(F.input_file_name()).count()
+        assert stored.agg(F.max("count")).first()[0] < 120
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "4"
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
 def test_queries_prepare_only_what_they_read(spark, monkeypatch):
     """Columns that no rule and no result of a query needs are not rendered, shuffled and stored."""
     from lamina.catalog import certificates
