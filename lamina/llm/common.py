@@ -23,9 +23,9 @@ def prepare(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
-def store(df: DataFrame, name: str) -> DataFrame:
+def store(df: DataFrame, name: str, **options: str) -> DataFrame:
     """Writes a table to the shared folder and reads it back: cuts lineage for every later read."""
-    return materialise(df, name)
+    return materialise(df, name, **options)
 
 
 def text_bytes(text: str | Column = "text") -> Column:

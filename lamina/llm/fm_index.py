@@ -81,9 +81,8 @@ class FMIndex:
         self.text = np.maximum(text - (len(segments) - 1), 0)  # marks are 0
         self.sigma = sigma + 1
         counts = np.bincount(self.text, minlength=self.sigma)
-        self.below = np.cumsum(counts) - counts
+        self.counts, self.below = counts, np.cumsum(counts) - counts
         self.matrix = WaveletMatrix(self.text[order - 1], self.sigma)
-        self.n = len(text)
 
     def intervals(self, starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
         """Backward search of the patterns of ``length`` words that begin at places of the text.
@@ -91,9 +90,11 @@ class FMIndex:
         Returns the interval of suffixes that begin with each.  A pattern whose interval
         shrinks to one suffix occurs once; its search stops there.
         """
-        low, high = np.zeros(len(starts), dtype=np.int64), np.full(len(starts), self.n, dtype=np.int64)
-        live = np.arange(len(starts))
-        for step in range(length - 1, -1, -1):
+        last = self.text[starts + length - 1]  # all suffixes that begin with the last word: nothing to rank
+        low = self.below[last]
+        high = low + self.counts[last]
+        live = np.flatnonzero(high - low > 1)
+        for step in range(length - 2, -1, -1):
             symbols = self.text[starts[live] + step]
             low[live] = self.below[symbols] + self.matrix.rank(symbols, low[live])
             high[live] = self.below[symbols] + self.matrix.rank(symbols, high[live])

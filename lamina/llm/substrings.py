@@ -13,7 +13,7 @@ and neighbouring windows mostly share theirs, so a document falls into short seg
    minimizer in one shuffle.  Those whose minimizer occurs again in the batch that reads them are
    known to repeat: they are dealt by document, and one witness a batch goes to the meeting.
 2. Of the others, equal segments are collapsed to the first (in the task that reads them,
-   then by a hash of 128 bits), so a passage in a third of all documents is one segment.
+   then in its shard), so a passage in a third of all documents is one segment.
 3. Different segments with the same minimizer meet in a shard.  There an FM-index of them
    is built, and every window is searched backwards in it; an interval of more than one
    suffix reports the places with the same words, of which the first counts.
@@ -32,6 +32,7 @@ ignored; an empty table gives no rows.
 from __future__ import annotations
 
 import hashlib
+import itertools
 
 import numpy as np
 import pyarrow as pa
@@ -152,10 +153,16 @@ def _pack(start, count):
     return (start << COUNT_BITS) | count
 
 
-def _unpack(place: int) -> tuple[int, int]:
+def _unpack(place):
     return place >> COUNT_BITS, place & ((1 << COUNT_BITS) - 1)
 
 
+def _fields(lists: pa.ListArray) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Lengths of lists of structs, null as empty, and the structs' fields, all lists in one."""
+    lengths = lists.value_lengths().fill_null(0).to_numpy()
+    return lengths, [f.to_numpy() for f in lists.flatten().flatten()]
+
+
 SEGMENTS = "gram long, id long, version long, place long"
 
 
@@ -225,32 +232,39 @@ OCCURRENCE = "segment binary, shard long, id long, version long, start int, wind
 GATHERED = 64 << 20
 
 
+def named(content: bytes) -> bytes:
+    return xxhash.xxh3_128_digest(content)
+
+
 def occurrences(window: int):
     """The repeated segments of each document, and each content with its first place in the task.
 
-    Places have no content, and contents no windows.
+    Places have no content, and contents neither windows nor a name, which follows from them.
     """
 
     def run(batches):
         first: dict[bytes, list] = {}
         held = 0
         for b in batches:
-            rows = []
-            for doc, version, packed, found in zip(*(b.column(i).to_pylist() for i in range(4))):
+            lengths, (grams, places) = _fields(b.column(3))
+            starts, counts = _unpack(places)
+            found = zip(grams.tolist(), starts.tolist(), (starts + counts + window - 1).tolist())
+            names = []
+            for doc, version, packed, n in zip(*(b.column(i).to_pylist() for i in range(3)), lengths.tolist()):
                 words = zstandard.decompress(packed).split()
-                for s in found:
-                    start, count = _unpack(s["place"])
-                    content = b" ".join(words[start : start + count + window - 1])
-                    name, place = xxhash.xxh3_128_digest(content), (doc, version, start)
-                    rows.append((name, None, *place, count, None))
+                for gram, start, end in itertools.islice(found, n):
+                    content = b" ".join(words[start:end])
+                    name, place = named(content), (doc, version, start)
+                    names.append(name)
                     known = first.get(name)
                     if known is None:
-                        first[name] = [s["gram"], place, content]
+                        first[name] = [gram, place, content]
                         held += len(content) + 200
                     elif place < known[1]:
                         known[1] = place
-            if rows:
-                yield _occurrences(rows)
+            if names:
+                ids, versions = (np.repeat(b.column(i).to_numpy(), lengths) for i in (0, 1))
+                yield _occurrences(names, None, ids, versions, starts, counts, None)
             if held > GATHERED:
                 yield from _contents(first)
                 first, held = {}, 0
@@ -260,15 +274,18 @@ def occurrences(window: int):
 
 
 def _contents(first: dict[bytes, list]):
-    rows = [(name, gram, *place, 0, content) for name, (gram, place, content) in first.items()]
+    rows = [(gram, *place, content) for gram, place, content in first.values()]
     for i in range(0, len(rows), 20_000):
-        yield _occurrences(rows[i : i + 20_000])
+        grams, ids, versions, starts, contents = zip(*rows[i : i + 20_000])
+        yield _occurrences(None, grams, ids, versions, starts, [0] * len(ids), contents)
 
 
-def _occurrences(rows):
+def _occurrences(*columns):
     types = (pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
+    n = len(columns[2])
     return pa.RecordBatch.from_arrays(
-        [pa.array(c, t) for c, t in zip(zip(*rows), types)], ["segment", "shard", "id", "version", "start", "windows", "content"]
+        [pa.nulls(n, t) if c is None else pa.array(c).cast(t) if isinstance(c, np.ndarray) else pa.array(c, t) for c, t in zip(columns, types)],
+        ["segment", "shard", "id", "version", "start", "windows", "content"],
     )
 
 
@@ -281,8 +298,10 @@ def first_places(segments: list[tuple[bytes, int, int, int, bytes]], window: int
 
     Places are None where every window is first in its own segment.
     """
-    numbers: dict[bytes, int] = {}
-    texts = [np.array([numbers.setdefault(w, len(numbers) + 1) for w in s[4].split()]) for s in segments]
+    words = b" ".join(s[4] for s in segments).split()
+    numbers = {w: i for i, w in enumerate(dict.fromkeys(words), 1)}
+    ends = np.cumsum([s[4].count(b" ") + 1 for s in segments])
+    texts = np.split(np.fromiter(map(numbers.__getitem__, words), np.int64, len(words)), ends[:-1])
     index = FMIndex(texts, len(numbers))
     counts = np.array([len(t) - window + 1 for t in texts])
     of = np.repeat(np.arange(len(segments)), counts)
@@ -296,10 +315,17 @@ def first_places(segments: list[tuple[bytes, int, int, int, bytes]], window: int
     if len(order):
         begins = np.concatenate([[True], low[order][1:] != low[order][:-1]])
         first[order] = order[np.flatnonzero(begins)][np.cumsum(begins) - 1]
-    rows = [{"id": a, "version": b, "start": c} for a, b, c in zip(ids[first].tolist(), versions[first].tolist(), starts[first].tolist())]
-    ends = np.cumsum(counts).tolist()
-    moved = np.add.reduceat(first != np.arange(len(of)), np.cumsum(counts) - counts) > 0
-    return [(s[0], s[1:4], rows[e - n : e] if m else None, False) for s, n, e, m in zip(segments, counts.tolist(), ends, moved.tolist())]
+    ends = np.cumsum(counts)
+    moved = np.add.reduceat(first != np.arange(len(of)), ends - counts) > 0
+    fields = ids[first], versions[first], starts[first]
+
+    def places(begin: int, end: int) -> list[dict]:
+        return [{"id": a, "version": b, "start": c} for a, b, c in zip(*(f[begin:end].tolist() for f in fields))]
+
+    return [
+        (s[0], s[1:4], places(e - n, e) if m else None, False)
+        for s, n, e, m in zip(segments, counts.tolist(), ends.tolist(), moved.tolist())
+    ]
 
 
 def searched(window: int, shard_words: int, split: int):
@@ -316,14 +342,14 @@ def searched(window: int, shard_words: int, split: int):
             """The group's segments to the index, or as they are; nothing of a crowded one is left."""
             nonlocal size
             if len(group) > 1:
-                held.extend((name, *place, content) for name, (place, content) in group.items())
-                size += sum(len(content) for _, content in group.values()) // 6
+                held.extend((named(content), *place, content) for content, place in group.items())
+                size += sum(map(len, group)) // 6
                 return []
-            return [(name, place, None, False) for name, (place, _) in group.items()]
+            return [(named(content), place, None, False) for content, place in group.items()]
 
         for b in batches:
             out = []
-            for of, name, doc, version, start, content in zip(*(b.column(i).to_pylist() for i in range(6))):
+            for of, doc, version, start, content in zip(*(b.column(i).to_pylist() for i in range(5))):
                 if of != shard:
                     out += close()
                     shard, group, crowded = of, {}, False
@@ -332,14 +358,14 @@ def searched(window: int, shard_words: int, split: int):
                         held, size = [], 0
                 place = (doc, version, start)
                 if crowded:
-                    out.append((name, place, None, True))
-                elif name not in group:
-                    group[name] = (place, content)
+                    out.append((named(content), place, None, True))
+                elif content not in group:
+                    group[content] = place
                     if len(group) > split:
-                        out += [(n, p, None, True) for n, (p, _) in group.items()]
+                        out += [(named(c), p, None, True) for c, p in group.items()]
                         group, crowded = {}, True
-                elif place < group[name][0]:
-                    group[name] = (place, content)
+                elif place < group[content]:
+                    group[content] = place
             if out:
                 yield _known(out)
         out = close() + (first_places(held, window) if held else [])
@@ -363,13 +389,14 @@ def _kept(window: int, with_text: bool):
     def run(batches):
         for b in batches:
             rows = []
-            for doc, packed, removed in zip(*(b.column(i).to_pylist() for i in range(3))):
+            lengths, (starts, windows) = _fields(b.column(2))
+            stops, ends = starts + windows + (window - 1), np.cumsum(lengths).tolist()
+            for doc, packed, n, end in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), lengths.tolist(), ends):
                 words = zstandard.decompress(packed).split()
                 kept = words
-                if removed:
-                    gone = np.zeros(len(words) + 1, dtype=np.int64)
-                    for r in removed:
-                        np.add.at(gone, [r["start"], r["start"] + window + r["windows"] - 1], [1, -1])
+                if n:
+                    runs, edges = slice(end - n, end), len(words) + 1
+                    gone = np.bincount(starts[runs], minlength=edges) - np.bincount(stops[runs], minlength=edges)
                     left = np.cumsum(gone)[:-1] == 0
                     kept = [w for w, k in zip(words, left.tolist()) if k]
                 data = b" ".join(kept)
@@ -383,6 +410,12 @@ def _kept(window: int, with_text: bool):
     return run
 
 
+def with_names(batches):
+    for b in batches:
+        names = pa.array([named(c) for c in b.column(0).to_pylist()], pa.binary())
+        yield pa.RecordBatch.from_arrays([names, b.column(0)], ["segment", "content"])
+
+
 WINDOWS = "name binary, segment binary, offset int, id long, version long, start int"
 
 
@@ -430,19 +463,22 @@ def deduplicated(
     repeated = store(
         compressed(texts).join(found, ["id", "version"]).select("id", "version", "packed", "found").mapInArrow(occurrences(window), OCCURRENCE),
         "occurrences",
+        compression="zstd",
     )
     contents = repeated.filter("content is not null")
     looked_up = store(
-        contents.select("shard", "segment", "id", "version", "start", "content")
+        contents.select("shard", "id", "version", "start", "content")
         .repartition("shard")
         .sortWithinPartitions("shard")
         .mapInArrow(searched(window, shard_words, split), KNOWN),
         "looked-up",
+        compression="zstd",
     )
     known = looked_up.filter("not crowded")
     crowded = looked_up.filter("crowded").groupBy("segment").agg(F.min("own").alias("own"))
     if not crowded.isEmpty():  # else its joins would shuffle all contents for nothing
-        texts_of = contents.groupBy("segment").agg(F.max("content").alias("content"))
+        texts_of = contents.select("content").mapInArrow(with_names, "segment binary, content binary")
+        texts_of = texts_of.groupBy("segment").agg(F.max("content").alias("content"))
         known = known.unionByName(by_windows(crowded.join(texts_of, "segment"), window))
     known = known.drop("crowded")
     # Runs of windows that start earlier elsewhere: the whole segment, or single windows of its first place.

@@ -83,13 +83,13 @@ def materialise_by_key(df: DataFrame, name: str, key: str, folder: str | None =
         spark.sql(f"drop table {entry}")
 
 
-def materialise(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
-    """Writes ``df`` once and reads it back, from ``folder`` or from a fresh shared path.
+def materialise(df: DataFrame, name: str, folder: str | None = None, **options: str) -> DataFrame:
+    """Writes ``df`` once, with the Parquet ``options``, and reads it back, from ``folder`` or from a fresh shared path.
 
     Cuts the lineage: what follows neither recomputes ``df`` nor depends on executors
     that computed it, and the optimizer knows the real size.  In a folder of its own a
     run replaces what the last one left.
     """
     path = shared_path(df.sparkSession, name) if folder is None else f"{folder}/{name}"
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -129,6 +129,27 @@ def test_segments_meet_in_one_shuffle(documents, spark):
     assert plan.count("MapInArrow run") == 1 and "Join" not in plan  # texts are read once
 
 
+def test_contents_are_stored_and_moved_without_their_names(documents, spark, monkeypatch):
+    """A content's name follows from it; stored tables take a codec that finds the words neighbouring segments share."""
+    rng = random.Random(8)
+    words = [f"w{rng.randrange(10**9)}" for _ in range(400)]
+    texts = [(i, " ".join(words[i * 7 : i * 7 + 300])) for i in range(12)]
+    plans, stored, store = {}, {}, substrings.store
+
+    def noted(df, name, **options):
+        plans[name] = df._jdf.queryExecution().optimizedPlan().toString()
+        stored[name] = store(df, name, **options)
+        return stored[name]
+
+    monkeypatch.setattr(substrings, "store", noted)
+    assert as_digests(substrings.deduplicated(documents(*texts))) == R.kept_words(texts)
+    contents = stored["occurrences"].filter("content is not null")
+    assert contents.count() > 0 and contents.filter("segment is not null").count() == 0
+    moved = next(line for line in plans["looked-up"].splitlines() if "Project" in line)
+    assert "content" in moved and "segment" not in moved
+    assert all(f.endswith(".zstd.parquet") for name in stored for f in stored[name].inputFiles())
+
+
 def test_word_hashes_depend_on_the_word_alone(monkeypatch):
     hashes = substrings.WordHashes()
     words = [f"w{i % 700}é".encode() for i in range(5000)]
