@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
-from contextlib import contextmanager
+from contextlib import ExitStack, contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -51,18 +51,22 @@ def _set(spark: SparkSession, key: str, value: str) -> Iterator[None]:
 
 @contextmanager
 def finer_tasks(spark: SparkSession, size: str = "16m", rows: int = 0) -> Iterator[None]:
-    """Shuffles that run meanwhile are read in parts of ``size`` at most, unless the session wants smaller ones.
+    """Shuffles and files are read meanwhile in parts of ``size`` at most, unless the session wants smaller ones.
 
     For jobs that make wide rows of narrow ones: Spark judges a task by what it reads, and
     64 MB of compressed keys and numbers become gigabytes of text in its sorts.
 
     Spark puts small partitions together but never splits one for a window or a bucket.  So where ``rows``
     are to be shuffled, there is a partition for each ``TASK_ROWS`` of them at least, and tasks don't grow with the table.
+    Beyond 200 partitions Spark keeps what a task shuffles in memory, hence the smaller parts of files.
     """
-    key, partitions = "spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.shuffle.partitions"
     as_bytes = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
+    partitions = "spark.sql.shuffle.partitions"
     wanted = max(int(spark.conf.get(partitions)), -(-rows // TASK_ROWS))
-    with _set(spark, key, min(size, spark.conf.get(key), key=as_bytes)), _set(spark, partitions, str(wanted)):
+    with ExitStack() as settings:
+        for key in ("spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.files.maxPartitionBytes"):
+            settings.enter_context(_set(spark, key, min(size, spark.conf.get(key), key=as_bytes)))
+        settings.enter_context(_set(spark, partitions, str(wanted)))
         yield
 
 

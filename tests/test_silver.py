@@ -278,6 +278,14 @@ def test_buckets_follow_the_rows_and_not_the_session(spark, bronze, monkeypatch,
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
 
 
+def test_many_partitions_come_with_small_parts_of_files(spark):
+    keys = ("spark.sql.files.maxPartitionBytes", "spark.sql.shuffle.partitions")
+    before = [spark.conf.get(k) for k in keys]
+    with finer_tasks(spark, rows=100_000_000):
+        assert [spark.conf.get(k) for k in keys] == ["16m", "763"]
+    assert [spark.conf.get(k) for k in keys] == before
+
+
 def test_queries_prepare_only_what_they_read(spark, monkeypatch):
     """Columns that no rule and no result of a query needs are not rendered, shuffled and stored."""
     from lamina.catalog import certificates
